@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import elias_fano, mpeg_audio, quality_rules, sentencepiece_viterbi, url_rules, warc
+from . import elias_fano, language_id, mpeg_audio, packing, quality_rules, sentencepiece_viterbi, simhash, toxicity, url_rules, warc
 from .common import table
 
 
@@ -36,15 +36,37 @@ def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages")).drop("hits")
 
 
+def op6_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit_model(docs, table(spark, sf_dir, "labels")))
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.link_components(table(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.fit_model(docs))
+
+
 QUERIES = {
     "op1_mpeg_audio": op1_mpeg_audio,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_elias_fano": op3_elias_fano,
     "op4_quality_rules": op4_quality_rules,
     "op5_url_rules": op5_url_rules,
+    "op6_best_fit": op6_best_fit,
+    "op7_toxicity": op7_toxicity,
+    "op8_simhash": op8_simhash,
     "op9_warc": op9_warc,
+    "op10_language_id": op10_language_id,
 }

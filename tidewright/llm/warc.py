@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import _arrow_schema, drop_folder, map_rows, materialize, new_folder, to_batch
+from .common import _arrow_schema, drop_folder, lookup, map_rows, materialize, new_folder, to_batch
 
 MAGIC = b"\x1f\x8b\x08"
 #: Bytes of an archive that a reading task owns.
@@ -32,8 +32,6 @@ SPLIT_BYTES = 8 << 20
 #: Bytes after which a writing task opens its next archive.
 ARCHIVE_BYTES = 256 << 20
 _READ = 1 << 20
-#: Digests with at least this share of all rows are joined by broadcast: at most 1 / HOT_SHARE of them exist.
-HOT_SHARE = 1e-3
 
 
 def digest(payload: bytes) -> str:
@@ -75,17 +73,8 @@ def plan_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     rows = rows.withColumn("key", F.when(F.length("payload") >= min_bytes, F.sha1("payload")))
     groups = rows.where("key is not null").groupBy("key").agg(F.max("page_id").alias("last"), F.count("*").alias("n"))
     groups = materialize(groups.where("n > 1"), "payload-groups")
-    total = groups.agg(F.sum("n")).first()[0] or 0
-    hot = F.broadcast(groups.where(F.col("n") > F.greatest(F.lit(100), F.lit(HOT_SHARE * total))).select(F.col("key").alias("hot_key"), F.col("last").alias("hot_last")))
-    cold = groups.where(F.col("n") <= F.greatest(F.lit(100), F.lit(HOT_SHARE * total))).select("key", "last")
-    # rows with a hot key, or none, enter the second join with keys of their own, so no task gets all of them
-    rows = rows.join(hot, F.col("key") == F.col("hot_key"), "left")
-    apart = F.concat(F.lit("-"), F.xxhash64("page_id", "url").cast("string"))
-    rows = rows.withColumn("cold_key", F.coalesce(F.when(F.col("hot_key").isNull(), F.col("key")), apart))
-    cold = cold.withColumnRenamed("key", "group_key")
-    rows = rows.join(cold, F.col("cold_key") == F.col("group_key"), "left")
-    last = F.coalesce("hot_last", "last")
-    return rows.select("page_id", "url", "payload", F.when(~F.col("page_id").eqNullSafe(last), last).alias("refers_to"))
+    rows = lookup(rows, "key", groups, F.xxhash64("page_id", "url").cast("string"))
+    return rows.select("page_id", "url", "payload", F.when(~F.col("page_id").eqNullSafe(F.col("last")), F.col("last")).alias("refers_to"))
 
 
 def write_archives(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
