@@ -1,0 +1 @@
+"""Analytics over high-frequency event and market series, declared as Spark plans."""
