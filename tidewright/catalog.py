@@ -1,9 +1,10 @@
 """The queries over the test tables, each with its SQL twin."""
 
 from .plans.audit import A
+from .plans.evaluation import V
 from .plans.labels import R
 from .plans.market import M
 
-_ALL = (M, R, A)
+_ALL = (M, R, A, V)
 QUERIES = {name: f for registry in _ALL for name, f in registry.queries.items()}
 ORACLE_SQL = {name: sql for registry in _ALL for name, sql in registry.sql.items()}

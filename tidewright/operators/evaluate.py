@@ -153,12 +153,12 @@ def top_candidates(candidates: DataFrame, decision: Sequence[str], value: str, t
     """
     names = [c for c in candidates.columns if c not in decision]
     ok = F.col(value) >= threshold
-    key = F.struct((-F.col(value)).alias("_v"), *ties, *(F.col(n) for n in names))
+    key = F.struct((-F.col(value)).alias("v"), *(t.alias(f"t{i}") for i, t in enumerate(ties)), F.struct(*names).alias("row"))
     picked = candidates.groupBy(*decision).agg(
         F.count("*").alias("candidates"), F.count_if(ok).alias("eligible"), F.min(F.when(ok, key)).alias("_top"), F.slice(F.sort_array(F.collect_list(F.when(ok, F.col(value))), asc=False), 1, 2).alias("_two")
     )
     margin = F.when(F.size("_two") > 1, F.element_at("_two", 1) - F.element_at("_two", 2))
-    return picked.where("eligible > 0").select(*decision, *(F.col("_top")[n].alias(n) for n in names), "candidates", "eligible", margin.alias("margin"))
+    return picked.where("eligible > 0").select(*decision, *(F.col("_top.row")[n].alias(n) for n in names), "candidates", "eligible", margin.alias("margin"))
 
 
 def rank_correlation(rows: DataFrame, left: str, right: str) -> DataFrame:
