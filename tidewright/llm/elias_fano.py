@@ -19,6 +19,8 @@ texts are whole; a document never crosses blocks. Columns beside doc_id and text
 from __future__ import annotations
 
 import functools
+import json
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import TwoGenerations, _arrow_schema, map_rows, materialize, to_batch, whole_text
+from .common import _arrow_schema, map_rows, materialize, to_batch, whole_text
 
 MAGIC = b"TWEF"
 SAMPLE = 64
@@ -134,10 +136,12 @@ class Block:
         return self.ids[self.bounds.select(i) : self.bounds.select(i + 1)]
 
 
-#: Words whose ids a task keeps.
-CACHE = 300_000
+#: Words whose ids a task keeps; beyond, it starts anew.
+CACHE = 700_000
 _TAIL = ".,;:!?#$%&*|"
 _PLAIN_END = frozenset("abcdefghijklmnopqrstuvwxyz0123456789")
+#: White space to str.split, but not to a tokenizer's patterns.
+_SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
 class WordEncoder:
@@ -146,71 +150,84 @@ class WordEncoder:
     That is so for a tokenizer which normalises characters on their own (NFC, white space, lower case) and whose pre-tokens never
     hold white space: then no token crosses white space. It is tried on a probe before the cache is used. A text
     with a special token's opening is encoded whole. At an ASCII letter or digit before closing punctuation a pre-token ends, so
-    such punctuation is looked up by itself.
+    such punctuation is looked up by itself. Words of letters alone are one pre-token each; where the model marks the last token of a
+    pre-token, many of them are encoded in one call and told apart by those marks.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache = TwoGenerations(CACHE)
-        specials = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
-        self.openings = {s[:2] for s in specials}
-        probe = "A b's, Don't  c.\tÉtÉ́ 12,3!! ##x ǅİ Σας ΑΣ, é.\n"
-        whole, parts = self._plain([probe])[0], b"".join(self._plain(probe.split()))
-        # what the closing punctuation, and upper case beside it, do to the words of the probe
-        pieces = b"".join(self._plain(["x1", ",", "y", "!!", "z", "."]))
-        self.by_word = whole == parts and self._plain(["X1, Y!! Z."])[0] == pieces
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        self.kind = np.dtype("<u2" if len(self.ends) < 1 << 16 else "<u4")
+        self.openings = {t.content[:2] for t in self.tokenizer.get_added_tokens_decoder().values()}
+        self.table: dict[str, bytes] = {}
+        probe = "A b's, Don't  c.\tÉtÉ́ 12,3!! ##x ǅİ Σας ΑΣ, é. X1, Y!! Z. thereafter ñandú wörter\n"
+        whole = self._plain([probe])[0]
+        self.by_word = bool(suffix) and self._by_words([probe])[0].tobytes() == whole
 
     def _plain(self, texts: list[str]) -> list[bytes]:
-        encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in encode(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text."""
-        if not self.by_word:
-            return [np.frombuffer(x, "<u4") for x in self._plain(texts)]
-        cache = self.cache
-        split: list[list[str] | None] = []
-        missing: dict[str, None] = {}
-        known: dict[str, bytes] = {}
-        get = cache.new.get
-        for text in texts:
-            if any(s in text for s in self.openings):
-                split.append(None)
+        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _letters(self, words: list[str]) -> None:
+        """Learns words of letters alone."""
+        lots = [words[i : i + 64] for i in range(0, len(words), 64)]
+        width = self.kind.itemsize
+        for lot, e in zip(lots, self.tokenizer.encode_batch_fast([" ".join(lot) for lot in lots], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, self.kind)
+            stops = (np.flatnonzero(self.ends[ids]) + 1) * width
+            if len(stops) != len(lot):
+                self.table.update(zip(lot, self._plain(lot), strict=True))
                 continue
-            words = text.lower().split() if text.isascii() else [w.lower() if w.isascii() else w for w in text.split()]
-            split.append(words)
-            for w in set(words):
-                if w not in known:
-                    found = get(w) or cache.get(w)
-                    get = cache.new.get
-                    if found is None:
-                        missing[w] = None
-                    else:
-                        known[w] = found
-        cut: dict[str, tuple[str, str]] = {}
-        wanted: dict[str, None] = {}
+            raw, start = ids.tobytes(), 0
+            for word, stop in zip(lot, stops.tolist(), strict=True):
+                self.table[word] = raw[start:stop]
+                start = stop
+
+    def _learn(self, missing: set[str]) -> None:
+        table = self.table
+        cut, parts = [], set()
         for w in missing:
             core = w.rstrip(_TAIL)
-            parts = (core, w[len(core) :]) if len(core) < len(w) and core and core[-1] in _PLAIN_END else (w, "")
-            cut[w] = parts
-            for part in parts:
-                if part and part not in known:
-                    found = cache.get(part)
-                    if found is None:
-                        wanted[part] = None
-                    else:
-                        known[part] = found
-        order = list(wanted)
-        for w, ids in zip(order, self._plain(order) if order else (), strict=True):
-            known[w] = ids
-            if len(w) < 64:
-                cache.put(w, ids)
-        for w, (core, tail) in cut.items():
-            if tail:
-                known[w] = known[core] + known[tail]
-        return [np.frombuffer(self._plain([text])[0] if words is None else b"".join(map(known.__getitem__, words)), "<u4") for text, words in zip(texts, split, strict=True)]
+            if len(core) < len(w) and core and core[-1] in _PLAIN_END:
+                tail = w[len(core) :]
+                cut.append((w, core, tail))
+                parts.add(core)
+                parts.add(tail)
+            else:
+                parts.add(w)
+        parts = sorted(parts.difference(table))
+        letters = [w for w in parts if w.isalpha()]
+        others = [w for w in parts if not w.isalpha()]
+        if letters:
+            self._letters(letters)
+        if others:
+            table.update(zip(others, self._plain(others), strict=True))
+        for w, core, tail in cut:
+            table[w] = table[core] + table[tail]
+
+    def _by_words(self, texts: list[str]) -> list[np.ndarray]:
+        split = [None if any(s in text for s in self.openings) or _SEPARATORS.search(text) else text.encode().lower().decode().split() for text in texts]
+        table = self.table
+        if len(table) > CACHE:
+            table.clear()
+        words = set().union(*(x for x in split if x))
+        missing = words.difference(table)
+        if missing:
+            self._learn(missing)
+        out = [self._plain([text])[0] if x is None else b"".join(map(table.__getitem__, x)) for text, x in zip(texts, split, strict=True)]
+        for w in missing:
+            if len(w) > 64:
+                del table[w]
+        return [np.frombuffer(x, self.kind) for x in out]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        return self._by_words(texts) if self.by_word else [np.frombuffer(x, self.kind) for x in self._plain(texts)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -231,7 +248,7 @@ def write_blocks(docs: DataFrame, tokenizer: str, end_id: int, block_ids: int =
         from pyspark import TaskContext
 
         encoder, shard, block = _encoder(tokenizer), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], "<u4")
+        end = np.array([end_id], encoder.kind)
         doc_ids: list[int | None] = []
         parts: list[np.ndarray] = []
         lengths: list[int] = []
