@@ -52,18 +52,29 @@ def membership(rows: DataFrame, windows: DataFrame, decision: str, label_end: st
     return each.withColumn("fold", F.col("_f.fold")).withColumn("part", part).where("part is not null").drop("_f")
 
 
-def uniform_sample(rows: DataFrame, order: Sequence[str], most: int) -> DataFrame:
-    """Rows at equally spaced places of an order: floor(i * (n - 1) / (most - 1)).
+def holdout(bounds: DataFrame, times: DataFrame, decision: str, share: float = 0.7) -> DataFrame:
+    """One test window (fold 1) from the time at a share of the distinct decisions to the end: for data too short for folds."""
+    distinct = times.select(decision).distinct()
+    place = int(distinct.count() * share)
+    ordered = uniform_rank(distinct, decision).where(F.col("_place") == place)
+    return ordered.crossJoin(bounds).select(F.lit(1).alias("fold"), F.col(decision).alias("test_start_ns"), (F.col("last_ns") + 1).alias("test_end_ns"))
 
-    Places come from a range sort with counts of its partitions, not from one window over all rows.
-    """
-    n = rows.count()
-    if n <= most:
-        return rows
+
+def uniform_rank(rows: DataFrame, *order: str) -> DataFrame:
+    """rows with _place, from 0, in an order: a range sort with counts of its partitions, not one window over all rows."""
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id())
     starts = dealt.groupBy("_p").agg(F.count("*").alias("_n"), F.min("_m").alias("_first"))
     starts = starts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    placed = dealt.join(F.broadcast(starts.select("_p", "_first", "_before")), "_p").withColumn("_place", F.col("_m") - F.col("_first") + F.col("_before"))
+    placed = dealt.join(F.broadcast(starts.select("_p", "_first", "_before")), "_p")
+    return placed.withColumn("_place", F.col("_m") - F.col("_first") + F.col("_before")).drop("_p", "_m", "_first", "_before")
+
+
+def uniform_sample(rows: DataFrame, order: Sequence[str], most: int) -> DataFrame:
+    """Rows at equally spaced places of an order: floor(i * (n - 1) / (most - 1))."""
+    n = rows.count()
+    if n <= most:
+        return rows
+    placed = uniform_rank(rows, *order)
     # a place is wanted if the next slot's floor passes it
     slot = F.ceil(F.col("_place").cast("decimal(20,0)") * (most - 1) / (n - 1))
     wanted = F.floor(slot.cast("decimal(20,0)") * (n - 1) / (most - 1)) == F.col("_place")

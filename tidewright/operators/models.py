@@ -11,7 +11,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -55,3 +55,17 @@ def predict_boosted(models: list[PipelineModel], rows: DataFrame, features: Sequ
         out = model.transform(out).withColumn(f"_p{k}", F.element_at(vector_to_array("probability"), 2)).drop(*made)
     whole = sum((F.col(f"_p{k}") for k in range(1, len(models))), start=F.col("_p0"))
     return out.select(*rows.columns, F.array(*(F.col(f"_p{k}") / whole for k in range(len(models)))).alias("probabilities"))
+
+
+def freeze(path: str, model: PipelineModel, parameters: dict) -> None:
+    """Saves a fitted model with its calibration and estimates; what is there stays as it is."""
+    import json
+
+    model.write().save(f"{path}/model")
+    SparkSession.active().createDataFrame([(json.dumps(parameters, sort_keys=True),)], "value string").coalesce(1).write.text(f"{path}/parameters")
+
+
+def thaw(spark: SparkSession, path: str) -> tuple[PipelineModel, dict]:
+    import json
+
+    return PipelineModel.load(f"{path}/model"), json.loads(spark.read.text(f"{path}/parameters").first()["value"])

@@ -91,3 +91,19 @@ def acceptance(found: DataFrame) -> DataFrame:
     """clean without issues, gapped with gap warnings only, else rejected; from (code, severity, issues)."""
     errors = F.count_if((F.col("severity") == "error") | ~F.col("code").endswith("_gap"))
     return found.agg(F.when(F.count("*") == 0, "clean").when(errors == 0, "gapped").otherwise("rejected").alias("verdict"))
+
+
+def file_order(rows: DataFrame, by: Sequence[str], order: str, time: str, id: str) -> DataFrame:
+    """Rows of files that go back in time (backward) or repeat the id of the row before (repeated), in the files' order."""
+    w = Window.partitionBy(*by).orderBy(order)
+    problem = F.when(F.col(time) < F.lag(time).over(w), "backward").when(F.col(id) == F.lag(id).over(w), "repeated")
+    return rows.withColumn("problem", problem).where("problem is not null")
+
+
+def consistency(left: DataFrame, right: DataFrame, key: str, rules: dict[str, Column]) -> DataFrame:
+    """Violations by name: keys of left without a row of right (unmatched), repeated keys of right, and rules over the joined rows."""
+    joined = left.join(right, key)
+    broken = [F.count_if(F.coalesce(c, F.lit(True))).alias(n) for n, c in rules.items()]
+    unmatched = left.join(right, key, "left_anti").agg(F.count("*").alias("unmatched"))
+    repeated = right.groupBy(key).count().where("count > 1").agg(F.count("*").alias("repeated"))
+    return joined.agg(*broken).crossJoin(unmatched).crossJoin(repeated)

@@ -60,6 +60,26 @@ def one_position_in_pandas(picks: DataFrame, by: str, loss_limit: float = 0.01)
     return picks.groupBy(by).applyInPandas(run, f"{by} {kind}, decision_at_ns long, exit_at_ns long, size double, pnl_bps double, equity double")
 
 
+def execution_picks(picks: DataFrame, by: str) -> DataFrame:
+    """Picks of resting orders as one_position takes them. picks also have fill_status, expires_at_ns, fill_fraction and unwind_bps.
+
+    NO_FILL holds the slot until the order expires, without a result; PARTIAL_FILL is unwound then, at its share of the size; FULL_FILL runs to its exit.
+    """
+    status = F.col("fill_status")
+    until = F.when(status == "FULL_FILL", F.col("exit_at_ns")).otherwise(F.col("expires_at_ns"))
+    size = F.when(status == "PARTIAL_FILL", F.col("size") * F.col("fill_fraction")).otherwise(F.col("size"))
+    pnl = F.when(status == "FULL_FILL", F.col("pnl_bps")).when(status == "PARTIAL_FILL", -F.col("unwind_bps")).otherwise(0.0)
+    return picks.select(by, "decision_at_ns", until.alias("exit_at_ns"), size.alias("size"), pnl.alias("pnl_bps"))
+
+
+def win_rate_of_positions(ledger: DataFrame, by: str) -> DataFrame:
+    """Per model the attempts, positions (attempts with a result) and the share of positions that won."""
+    return ledger.groupBy(by).agg(
+        F.count("*").alias("attempts"), F.count_if(F.col("pnl_bps") != 0).alias("positions"),
+        (F.count_if(F.col("pnl_bps") > 0) / F.nullif(F.count_if(F.col("pnl_bps") != 0), F.lit(0))).alias("win_rate"),
+    )
+
+
 def drawdown(ledger: DataFrame, by: str) -> DataFrame:
     """The ledger with peak and drawdown, 1 - equity over its running peak (of at least 1)."""
     w = Window.partitionBy(by).orderBy("decision_at_ns").rowsBetween(Window.unboundedPreceding, 0)

@@ -272,3 +272,86 @@ def greedy_throttle(spark, sf):
 def model_matrix(spark, sf):
     c = cands(spark, sf).where("y <> 2")
     return c.select("sequence", "side", fixed(F.log1p("a")).alias("log_a"), F.when(F.col("side") == "LONG", 1).otherwise(-1).alias("side_code"), *((F.col("symbol") == s).cast("int").alias(f"is_{s}") for s in ("click", "purchase")))
+
+
+_FILL = "CASE sequence % 3 WHEN 0 THEN 'FULL_FILL' WHEN 1 THEN 'PARTIAL_FILL' ELSE 'NO_FILL' END"
+_EXECUTION = _REPLAY.replace("decision_at_ns + (1 + sequence % 9) * 3600000000000 AS exit_at_ns", "decision_at_ns + CASE WHEN sequence % 3 = 0 THEN (1 + sequence % 9) * 3600000000000 ELSE 1800000000000 END AS exit_at_ns").replace(
+    "least(0.05::DOUBLE, 0.007::DOUBLE / ((stop + 11.5) / 10000)) AS size", "least(0.05::DOUBLE, 0.007::DOUBLE / ((stop + 11.5) / 10000)) * (CASE WHEN sequence % 3 = 1 THEN 0.4::DOUBLE ELSE 1 END) AS size"
+).replace("(CASE y WHEN 0 THEN stop * 1.5 WHEN 1 THEN -stop ELSE 2 END - 8.5)::DOUBLE AS pnl_bps", "(CASE sequence % 3 WHEN 0 THEN CASE y WHEN 0 THEN stop * 1.5 WHEN 1 THEN -stop ELSE 2 END - 8.5 WHEN 1 THEN -12 ELSE 0 END)::DOUBLE AS pnl_bps")
+
+
+def _execution(spark, sf):
+    p = picks(spark, sf)
+    n = F.col("sequence") % 3
+    pnl = F.when(F.col("y") == 0, F.col("stop") * 1.5).when(F.col("y") == 1, -F.col("stop")).otherwise(2.0) - 8.5
+    rows = p.select(
+        "model", "decision_at_ns", (F.col("decision_at_ns") + (1 + F.col("sequence") % 9) * HOUR_NS).alias("exit_at_ns"), (F.col("decision_at_ns") + HOUR_NS // 2).alias("expires_at_ns"),
+        F.when(n == 0, "FULL_FILL").when(n == 1, "PARTIAL_FILL").otherwise("NO_FILL").alias("fill_status"), F.lit(0.4).alias("fill_fraction"), F.lit(12.0).alias("unwind_bps"),
+        E.position_fraction(F.col("stop") + 11.5).alias("size"), pnl.alias("pnl_bps"),
+    )
+    return Y.one_position(Y.execution_picks(rows, "model"), "model")
+
+
+@V.add(f"{_EXECUTION} SELECT model, decision_at_ns, exit_at_ns, {r('size')} AS size, pnl_bps, {r('equity')} AS equity FROM fold WHERE taken")
+def execution_replay(spark, sf):
+    return _execution(spark, sf).withColumns({"size": fixed(F.col("size")), "equity": fixed(F.col("equity"))})
+
+
+@V.add(f"{_EXECUTION} SELECT model, count(*) AS attempts, count(*) FILTER (pnl_bps <> 0) AS positions, {r('count(*) FILTER (pnl_bps > 0) / (count(*) FILTER (pnl_bps <> 0))::DOUBLE')} AS win_rate FROM fold WHERE taken GROUP BY model")
+def execution_win_rate(spark, sf):
+    return Y.win_rate_of_positions(_execution(spark, sf), "model").withColumn("win_rate", fixed(F.col("win_rate")))
+
+
+@V.add(f"""{with_sql('ticks')}, {_CANDS}, f AS (SELECT *, {_FILL} AS status FROM cands) SELECT status, symbol, side, count(*) AS attempts, {r('avg(stop)')} AS mean_stop, {r('sum(a)')} AS total
+FROM f GROUP BY GROUPING SETS ((status), (symbol), (side), (symbol, side), ())""")
+def attempt_breakdown(spark, sf):
+    n = F.col("sequence") % 3
+    c = cands(spark, sf).withColumn("status", F.when(n == 0, "FULL_FILL").when(n == 1, "PARTIAL_FILL").otherwise("NO_FILL"))
+    sets = [["status"], ["symbol"], ["side"], ["symbol", "side"], []]
+    return c.groupingSets(sets, "status", "symbol", "side").agg(F.count("*").alias("attempts"), fixed(F.avg("stop")).alias("mean_stop"), fixed(F.sum("a")).alias("total"))
+
+
+@V.add(f"""{with_sql('ticks')}, {_CANDS}, o AS (SELECT sequence, CASE WHEN sequence % 11 = 0 THEN 'AMBIGUOUS' ELSE ['TP_FIRST', 'SL_FIRST', 'TIMEOUT'][y + 1] END AS outcome, CASE WHEN sequence % 7 > 0 THEN stop END AS ret FROM cands)
+SELECT count(*) FILTER (outcome <> 'AMBIGUOUS' AND ret IS NOT NULL) AS usable, count(*) FILTER (outcome = 'AMBIGUOUS') AS ambiguous, count(*) FILTER (outcome <> 'AMBIGUOUS' AND ret IS NULL) AS unpriced FROM o""")
+def usable_labels(spark, sf):
+    c = cands(spark, sf)
+    outcome = F.when(F.col("sequence") % 11 == 0, "AMBIGUOUS").otherwise(F.element_at(F.array(*(F.lit(x) for x in E.CLASSES)), F.col("y") + 1))
+    o = c.select(outcome.alias("outcome"), F.when(F.col("sequence") % 7 > 0, F.col("stop")).alias("ret"))
+    known = F.col("outcome").isin(*E.CLASSES)
+    return o.agg(F.count_if(known & F.col("ret").isNotNull()).alias("usable"), F.count_if(~known).alias("ambiguous"), F.count_if(known & F.col("ret").isNull()).alias("unpriced"))
+
+
+@V.add(f"""{with_sql('ticks')}, {_FOLDS_SQL}, x AS (SELECT sequence, fold, CASE WHEN received_at_ns >= test_start_ns AND received_at_ns < test_end_ns THEN 'test' WHEN received_at_ns + 43200000000000 <= test_start_ns - {_FOLDS[2]} THEN 'train' END AS part FROM ticks, folds)
+SELECT a.fold AS train_fold, b.fold AS test_fold, count(*) AS shared FROM x a JOIN x b ON a.sequence = b.sequence AND a.part = 'train' AND b.part = 'test' GROUP BY ALL""")
+def fold_overlap(spark, sf):
+    m = E.membership(_labelled(spark, sf), folds(spark, sf), "decision_at_ns", "label_end_ns", _FOLDS[2]).select("sequence", "fold", "part")
+    train = m.where("part = 'train'").select("sequence", F.col("fold").alias("train_fold"))
+    test = m.where("part = 'test'").select("sequence", F.col("fold").alias("test_fold"))
+    return train.join(test, "sequence").groupBy("train_fold", "test_fold").agg(F.count("*").alias("shared"))
+
+
+@V.add(f"""{with_sql('ticks')}, b AS (SELECT max(received_at_ns) AS l FROM ticks), d AS (SELECT DISTINCT received_at_ns AS t FROM ticks), n AS (SELECT t, row_number() OVER (ORDER BY t) - 1 AS k, count(*) OVER () AS n FROM d)
+SELECT 1 AS fold, t AS test_start_ns, l + 1 AS test_end_ns FROM n, b WHERE k = floor(n * 0.7::DOUBLE)::BIGINT""")
+def holdout_window(spark, sf):
+    t = ticks(spark, sf)
+    return E.holdout(t.agg(F.max("received_at_ns").alias("last_ns")), t, "received_at_ns")
+
+
+@V.add("""WITH j AS (SELECT l.*, o.o_orderdate FROM lineitem l JOIN orders o ON l_orderkey = o_orderkey)
+SELECT (SELECT count(*) FROM j WHERE l_shipdate < o_orderdate) AS shipped_before, (SELECT count(*) FROM j WHERE l_quantity <= 0) AS no_quantity,
+  (SELECT count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)) AS unmatched, (SELECT count(*) FROM (SELECT o_orderkey FROM orders GROUP BY o_orderkey HAVING count(*) > 1)) AS repeated""")
+def consistency_checks(spark, sf):
+    from ..operators import quality as Q
+
+    left = read(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_shipdate", "l_quantity")
+    rules = {"shipped_before": F.col("l_shipdate") < F.col("o_orderdate"), "no_quantity": F.col("l_quantity") <= 0}
+    return Q.consistency(left, read(spark, sf, "orders").select("o_orderkey", "o_orderdate"), "o_orderkey", rules)
+
+
+@V.add("""WITH p AS (SELECT event_type, event_id, ts, user_id % 50 AS id, lag(ts) OVER w AS t0, lag(user_id % 50) OVER w AS i0 FROM events WINDOW w AS (PARTITION BY event_type ORDER BY event_id))
+SELECT event_type, event_id, CASE WHEN ts < t0 THEN 'backward' ELSE 'repeated' END AS problem FROM p WHERE ts < t0 OR id = i0""")
+def file_order_issues(spark, sf):
+    from ..operators import quality as Q
+
+    e = read(spark, sf, "events").select("event_type", "event_id", "ts", (F.col("user_id") % 50).alias("id"))
+    return Q.file_order(e, ["event_type"], "event_id", "ts", "id").select("event_type", "event_id", "problem")
