@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from compare import connect, normal, rows
+from odd_rows import prose
 from pyspark.sql import functions as F
 
 from tidewright.llm import elias_fano, language_id, mpeg_audio, packing, quality_rules, queries, sentencepiece_viterbi, simhash, toxicity, url_rules, warc
@@ -377,8 +378,6 @@ def test_components_of_long_paths(spark):
 
 
 def test_one_of_each_group_stays(spark, odd, empty):
-    from conftest import prose
-
     base = prose(20, 200).split()
     near = base[:100] + ["edit"] + base[101:]
     far = base[:100] + prose(21, 100).split()
