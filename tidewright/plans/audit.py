@@ -173,7 +173,7 @@ def partition_scan(spark, sf):
 @A.add("""SELECT 1 + (ts::DATE - DATE '2024-01-01') AS day, count(*) AS n, ((ts::DATE - DATE '2024-01-01') - coalesce(lag(ts::DATE - DATE '2024-01-01') OVER (ORDER BY ts::DATE), -1)) = 1 AS consecutive FROM events GROUP BY ts::DATE""")
 def catalog_days(spark, sf):
     days = read(spark, sf, "events").groupBy(F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")).alias("d")).agg(F.count("*").alias("n"))
-    return N.consecutive(days, "d").select((F.col("d") + 1).alias("day"), "n", "consecutive")
+    return N.consecutive(days, "d").select((F.col("d") + 1).cast("long").alias("day"), "n", "consecutive")
 
 
 @A.add("""SELECT event_id, epoch_us(ts)::BIGINT * 1000 AS event_ns FROM events""")

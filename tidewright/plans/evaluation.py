@@ -240,7 +240,7 @@ def expected_bins(spark, sf):
 @V.add(f"""{with_sql('ticks')}, {_CANDS}, {_PICKS}, d AS (SELECT ntile(10) OVER (ORDER BY net, model, decision_at_ns) AS decile, net FROM picks WHERE model = 0) SELECT decile, count(*) AS n, {r('avg(net)')} AS mean_net FROM d GROUP BY decile""")
 def expected_deciles(spark, sf):
     # a ledger holds one pick a decision: the fold's output, not the corpus
-    p = picks(spark, sf).where("model = 0").withColumn("decile", F.ntile(10).over(Window.partitionBy("model").orderBy("net", "decision_at_ns")))
+    p = picks(spark, sf).where("model = 0").withColumn("decile", F.ntile(10).over(Window.partitionBy("model").orderBy("net", "decision_at_ns")).cast("long"))
     return p.groupBy("decile").agg(F.count("*").alias("n"), fixed(F.avg("net")).alias("mean_net"))
 
 
