@@ -89,13 +89,21 @@ def calibrated(probabilities: Column, temperature: Column, weight: Column, prior
 
 
 def calibration_grid(rows: DataFrame, classes: int, prior: Column, temperatures: Sequence[float] = TEMPERATURES, weights: Sequence[float] = PRIOR_WEIGHTS) -> DataFrame:
-    """Mean log-loss of each temperature and prior weight, from rows (probabilities, y). The grid is exploded, then averaged map-side."""
-    from .joins import scenarios
+    """Mean log-loss of each temperature and prior weight, from rows (probabilities, y).
 
-    each = scenarios(rows, temperature=list(temperatures), weight=list(weights))
-    q = calibrated(F.col("probabilities"), F.col("temperature"), F.col("weight"), prior)
-    loss = -F.log(F.greatest(F.element_at(q, F.col("y") + 1), F.lit(1e-12)))
-    return each.groupBy("temperature", "weight").agg(F.avg(loss).alias("log_loss"))
+    Logarithms are taken once a row, rows are repeated per temperature only, and all weights are averaged in one pass.
+    """
+    logs = rows.select("y", *(F.log(F.greatest(F.element_at("probabilities", i + 1), F.lit(1e-12))).alias(f"l{i}") for i in range(classes)))
+    each = logs.withColumn("temperature", F.explode(F.array(*(F.lit(t) for t in temperatures))))
+    each = each.select("y", "temperature", *(F.exp(F.col(f"l{i}") / F.col("temperature")).alias(f"e{i}") for i in range(classes)))
+    whole = sum((F.col(f"e{i}") for i in range(1, classes)), start=F.col("e0"))
+    own = F.col("e0")
+    for i in range(1, classes):
+        own = F.when(F.col("y") == i, F.col(f"e{i}")).otherwise(own)
+    each = each.select("temperature", (own / whole).alias("q"), F.element_at(prior, F.col("y") + 1).alias("p"))
+    means = [F.avg(-F.log(F.greatest((1 - F.lit(w)) * F.col("q") + F.lit(w) * F.col("p"), F.lit(1e-12)))).alias(f"w{j}") for j, w in enumerate(weights)]
+    listed = F.array(*(F.struct(F.lit(w).alias("weight"), F.col(f"w{j}").alias("log_loss")) for j, w in enumerate(weights)))
+    return each.groupBy("temperature").agg(*means).select("temperature", F.inline(listed))
 
 
 def best_calibration(grid: DataFrame) -> DataFrame:

@@ -57,17 +57,23 @@ def trailing(trades: DataFrame, width_ns: int, by: Sequence[str] = ("symbol",))
     signed = F.when(F.col("side") == "Buy", F.col("size")).otherwise(-F.col("size"))
     own = trades.withColumn("_s", signed).withColumn("_b", div(F.col("received_at_ns"), width_ns)).withColumn("_past", F.lit(False))
     both = own.unionByName(own.withColumn("_b", F.col("_b") + 1).withColumn("_past", F.lit(True)))
-    w = Window.partitionBy(*by, "_b").orderBy("received_at_ns").rangeBetween(-width_ns, 0)
-    key = F.struct("received_at_ns", "event_ts_ms", "sequence")
-    exact = lambda c: F.sum(c.cast("decimal(24,6)")).over(w).cast("double")
-    n, base, flow = F.count("*").over(w), exact(F.col("size")), exact(F.col("_s"))
-    out = both.select(
-        *by, "received_at_ns", "sequence", "_past",
-        n.alias("trade_count"), base.alias("base"), exact(F.col("price") * F.col("size")).alias("notional"),
-        F.when(base == 0, 0.0).otherwise(flow / base).alias("imbalance"),
-        F.when(n < 2, 0.0).otherwise(F.max_by("price", key).over(w) / F.min_by("price", key).over(w) - 1).alias("trade_return"),
+    # sums run once; a window's own sum is the difference of those at its ends, so that no frame is summed anew for each row
+    w = Window.partitionBy(*by, "_b").orderBy("received_at_ns", "event_ts_ms", "sequence").rowsBetween(Window.unboundedPreceding, 0)
+    exact = {"base": F.col("size"), "notional": F.col("price") * F.col("size"), "flow": F.col("_s")}
+    both = both.withColumns({f"_{n}": c.cast("decimal(24,6)") for n, c in exact.items()} | {"_rank": F.row_number().over(w)})
+    both = both.withColumns({f"_to_{n}": F.sum(f"_{n}").over(w) for n in exact})
+    frame = Window.partitionBy(*by, "_b").orderBy("received_at_ns")
+    first = F.min(F.struct("_rank", *((F.col(f"_to_{n}") - F.col(f"_{n}")).alias(n) for n in exact), "price")).over(frame.rangeBetween(-width_ns, 0))
+    last = F.max(F.struct("_rank", *(F.col(f"_to_{n}").alias(n) for n in exact), "price")).over(frame.rangeBetween(0, 0))
+    out = both.select(*by, "received_at_ns", "sequence", "_past", first.alias("_f"), last.alias("_l")).where(~F.col("_past"))
+    within = lambda n: (F.col(f"_l.{n}") - F.col(f"_f.{n}")).cast("double")
+    count = (F.col("_l._rank") - F.col("_f._rank") + 1).cast("long")
+    return out.select(
+        *by, "received_at_ns", "sequence",
+        count.alias("trade_count"), within("base").alias("base"), within("notional").alias("notional"),
+        F.when(within("base") == 0, 0.0).otherwise(within("flow") / within("base")).alias("imbalance"),
+        F.when(count < 2, 0.0).otherwise(F.col("_l.price") / F.col("_f.price") - 1).alias("trade_return"),
     )
-    return out.where(~F.col("_past")).drop("_past")
 
 
 def prefix_sums(trades: DataFrame, columns: dict[str, str], by: Sequence[str], order: Sequence[str], time: str, bucket_ns: int) -> DataFrame:
