@@ -129,17 +129,19 @@ HOT_SHARE = 1e-3
 HOT_LEAST = 100
 
 
-def lookup(rows: DataFrame, key: str, found: DataFrame, apart: Column) -> DataFrame:
+def lookup(rows: DataFrame, key: str, found: DataFrame, apart: Column, hint: str | None = None) -> DataFrame:
     """rows with the columns of found (one row per key, n: rows that have it) where the key is there, else null.
 
     Keys with at least HOT_SHARE of the rows that found stands for are at most 1 / HOT_SHARE; they are broadcast. The others are joined
     by a shuffle, which rows with a frequent key enter under apart, a key of each row's own (a string), so that no task gets them all.
+    hint: of the shuffle join, where it shall be the same at every size.
     """
     total = found.agg(F.sum("n")).first()[0] or 0
     least = max(HOT_LEAST, int(HOT_SHARE * total) + 1)
     values = [c for c in found.columns if c not in (key, "n")]
     hot = F.broadcast(found.where(F.col("n") >= least).select(F.col(key).alias("_hot"), F.struct(*values).alias("_hot_row")))
     cold = found.where(F.col("n") < least).select(F.hex(key).alias("_key"), F.struct(*values).alias("_row"))
+    cold = cold.hint(hint) if hint else cold
     names = rows.columns
     out = rows.join(hot, F.col(key) == F.col("_hot"), "left")
     out = out.withColumn("_cold", F.coalesce(F.when(F.col("_hot").isNull(), F.hex(key)), F.concat(F.lit("-"), apart)))

@@ -278,7 +278,7 @@ def similar_classes(docs: DataFrame, similarity: float = SIMILARITY, size: int =
 
     # equal candidate sets of different shards have equal names and count once
     proposed = materialize(map_rows(shards(points, radius), lambda: candidates, "name binary, node binary").distinct(), "candidates")
-    wanted = proposed.select("node").distinct()
+    wanted = proposed.select("node").distinct().hint("merge")  # the same plan at every size
     first = texts.join(wanted, texts["class"] == wanted["node"], "left_semi")
     shingles = map_rows(first, lambda: lambda row: [(row["class"], np.unique(shingle_hashes(words_of(row["text"]), size)).view(np.int64).tolist())], "class binary, shingles array<long>")
     shingles = shingles.groupBy("class").agg(F.any_value("shingles").alias("shingles"))
@@ -309,7 +309,7 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     roots = sizes.where("root is not null").groupBy("root").agg(F.min("least").alias("root_least"))
     # only classes with copies or similar ones have rows to drop
     listed = sizes.where("root is not null or n > 1").join(roots, "root", "left").select("class", F.coalesce("root_least", "least").alias("least"), "n")
-    rows = lookup(whole, "class", materialize(listed, "winners"), F.xxhash64("row").cast("string"))
+    rows = lookup(whole, "class", materialize(listed, "winners"), F.xxhash64("row").cast("string"), hint="merge")
     kept = rows.where(F.col("least").isNull() | F.col("least").eqNullSafe(F.col("place")))
     repeated = materialize(whole.groupBy("place").count().where("count > 1").select("place"), "repeated-rows")
     if repeated.isEmpty():
