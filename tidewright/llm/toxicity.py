@@ -1,8 +1,9 @@
 """Toxicity by multiple-instance learning: a document is a bag of sentences, of which only the document's label is known.
 
-A sentence's score is a logistic function of its distinct words, and a word's weight the sum of those of the word and its beginnings. A document's score is the noisy-or of its sentences, 1 - prod(1 - p). The
-weights are fitted to document labels by the likelihood's gradient through the noisy-or; afterwards the same weights locate the
-sentences that offend.
+A sentence's score is a logistic function of its distinct words, and a word's weight the sum of those of the word and its
+beginnings. No weight is negative: words can only offend, so a long clean sentence doesn't hide an offence. A document's score is
+the noisy-or of its sentences, 1 - prod(1 - p). The weights are fitted to document labels by the likelihood's gradient through the
+noisy-or; afterwards the same weights locate the sentences that offend.
 
 The fit takes a bounded sample of labelled rows (FIT_ROWS, by a hash of doc_id) in one task; the model that it gives is as large
 as the sample's words allow. Scoring sees every whole text, in tasks that need nothing else.
@@ -36,9 +37,9 @@ CACHE = 300_000
 MIN_DOCS = 3
 EPOCHS = 150
 RATE = 0.3
-#: A word's weight stays 0 unless its pull on the mean log-likelihood passes this, or PENALTY_DOCS documents' share if that is more.
-PENALTY = 4e-4
-PENALTY_DOCS = 0.8
+#: A weight stays 0 unless its pull on the mean log-likelihood passes this, or PENALTY_DOCS documents' share if that is more.
+PENALTY = 5e-5
+PENALTY_DOCS = 0.25
 #: Weights nearer to zero than this are left out of the model.
 LEAST = 0.02
 
@@ -127,10 +128,10 @@ def fit(texts: list[str], labels: list[int]) -> Model:
         gradient[size] = push.sum() / len(y)
         mean = 0.9 * mean + 0.1 * gradient
         square = 0.99 * square + 0.01 * gradient**2
-        scale = RATE / (np.sqrt(square / (1 - 0.99**step)) + 1e-6)
+        scale = RATE * (1 - step / (EPOCHS + 1)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-6)
         w += scale * mean / (1 - 0.9**step)
-        # the proximal step of the absolute penalty, in Adam's metric; not for the bias
-        w[:size] = np.sign(w[:size]) * np.maximum(np.abs(w[:size]) - scale[:size] * penalty, 0)
+        # the proximal step of the penalty and the bound at 0, in Adam's metric; not for the bias
+        w[:size] = np.maximum(w[:size] - scale[:size] * penalty, 0)
     return Model(float(w[size]), {f: float(w[i]) for f, i in vocabulary.items() if abs(w[i]) >= LEAST})
 
 
@@ -150,7 +151,7 @@ def fit_model(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> M
         model = fit([text for (_, text), _ in rows], [toxic for _, toxic in rows])
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((model.bias, model.weights, model.constant))], pa.binary())], ["model"])
 
-    found = training_rows(docs, labels, fit_rows).coalesce(1).mapInArrow(run, "model binary").collect()
+    found = training_rows(docs, labels, fit_rows).repartition(1).mapInArrow(run, "model binary").collect()
     bias, weights, constant = pickle.loads(found[0]["model"]) if found else (-20.0, {}, 0.0)
     return Model(bias, weights, constant)
 
