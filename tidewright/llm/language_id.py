@@ -135,6 +135,11 @@ def runs_of(text: str) -> list[str]:
     return _RUN.findall(text.lower())
 
 
+def has_letter(runs: list[str]) -> bool:
+    """Runs may also hold numerals that are no digits, such as fractions; those alone aren't language."""
+    return any(map(str.isalpha, runs)) or any(c.isalpha() for r in runs for c in r)
+
+
 def fit(samples: list[tuple[str, str]], seed: int = 7) -> Model:
     """Trains on (run, language) pairs by backpropagation through time, with Adam."""
     languages = sorted({lang for _, lang in samples})
@@ -224,7 +229,7 @@ def fit_model(docs: DataFrame, fit_docs: int = FIT_DOCS, fit_runs: int = FIT_RUN
         model = fit(samples)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((model.languages, model.params))], pa.binary())], ["model"])
 
-    found = training_rows(docs, fit_docs).coalesce(1).mapInArrow(run, "model binary").collect()
+    found = training_rows(docs, fit_docs).repartition(1).mapInArrow(run, "model binary").collect()
     languages, params = pickle.loads(found[0]["model"]) if found else ([], {})
     return Model(languages, params)
 
@@ -242,7 +247,7 @@ class Pooler:
         if not languages:
             return [(UND, 0.0)] * len(texts)
         if len(languages) == 1:
-            return [(languages[0], 1.0) if runs else (UND, 0.0) for runs in all_runs]
+            return [(languages[0], 1.0) if has_letter(runs) else (UND, 0.0) for runs in all_runs]
         if len(self.rows) > KEPT_RUNS:
             self.rows, self.sums = {}, self.sums[:0]
         flat = [r for runs in all_runs for r in runs]
@@ -256,7 +261,7 @@ class Pooler:
         ends = np.cumsum([len(runs) for runs in all_runs])
         out = []
         for runs, end in zip(all_runs, ends, strict=True):
-            if not runs:
+            if not has_letter(runs):
                 out.append((UND, 0.0))
                 continue
             total = running[end] - running[end - len(runs)]
