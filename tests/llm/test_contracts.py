@@ -390,6 +390,47 @@ def test_one_of_each_group_stays(spark, odd, empty):
     assert simhash.keep_one(empty).count() == 0
 
 
+def test_near_copies_that_differ_by_a_passage_are_found(spark):
+    rng = random.Random(31)
+    words = [f"w{i}" for i in range(4000)]
+    text = lambda n: [rng.choice(words) for _ in range(n)]
+    boilerplate = text(40)
+    rows = []
+    for n in (80, 150, 269, 700) * 15:
+        base = text(n) + boilerplate
+        n += 40
+        at = rng.randrange(n // 2)
+        part = int(n * rng.uniform(0.02, 0.25))
+        rows += [base, base + text(part), base[: n - part], base[:at] + text(part // 2) + base[at + part // 2 :], text(20) + boilerplate]
+    docs = [(i, " ".join(t)) for i, t in enumerate(rows)]
+    sets = [simhash.shingle_set(t) for _, t in docs]
+    union = simhash.Union(len(docs))
+    for i, mine in enumerate(sets):
+        for j in range(i):
+            common = len(np.intersect1d(mine, sets[j]))
+            if common >= 0.8 * (len(mine) + len(sets[j]) - common):
+                union.join(i, j)
+    kept = simhash.keep_one(spark.createDataFrame(docs, "doc_id long, text string").repartition(3))
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i in range(len(docs)) if union.root(i) == i]
+
+
+def test_prefixes_lose_no_similar_pair():
+    rng = np.random.default_rng(5)
+    lost = 0
+    for _ in range(2000):
+        n, cut = rng.integers(1, 120), rng.integers(0, 30)
+        pool = np.unique(rng.integers(0, 2**63, n + cut, dtype=np.uint64))
+        frequent = np.sort(pool[rng.random(len(pool)) < rng.random()])
+        a, b = pool[rng.random(len(pool)) < 0.95], pool[rng.random(len(pool)) < 0.95]
+        common = len(np.intersect1d(a, b))
+        if not common or common < 0.8 * (len(a) + len(b) - common):
+            continue
+        first = [simhash.prefix(x, frequent, 0.8).tolist() for x in (a, b)]
+        shared = [simhash.prefix_pairs([(b"a", b"a", len(a), first[0].index(x)), (b"b", b"b", len(b), first[1].index(x))], 0.8) for x in set(first[0]) & set(first[1])]
+        lost += not any(shared)
+    assert not lost
+
+
 # 9 WARC
 
 

@@ -17,6 +17,7 @@ Columns beside doc_id and text are ignored (kept, by keep_one). An empty table g
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -205,13 +206,17 @@ def link_components(docs: DataFrame, size: int = 3, radius: int = 2) -> DataFram
     return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-# Near copies by similarity: SimHash proposes, an exact check of shingle sets decides.
+# Near copies by similarity: SimHash and common rare shingles propose, an exact check of shingle sets decides.
 
 #: Fingerprints per text, each with hashes of its own.
 SEEDS = 8
 RADIUS = 3
 SHINGLE = 5
 SIMILARITY = 0.8
+#: Texts whose shingles are counted, about, to find frequent ones; how many of them count, and from how many texts on.
+COUNTED = 10_000
+FREQUENT = 50_000
+FREQUENT_LEAST = 3
 
 
 def class_of(column: str = "text") -> Column:
@@ -252,19 +257,76 @@ def similar_sets(sets: list[np.ndarray], similarity: float) -> Union:
     return union
 
 
+def shingle_set(text: str, size: int = SHINGLE) -> np.ndarray:
+    """The text's distinct shingle hashes in ascending order."""
+    return np.unique(shingle_hashes(words_of(text), size))
+
+
+def frequent_shingles(docs: DataFrame, size: int = SHINGLE) -> np.ndarray:
+    """Hashes of shingles that many of about COUNTED texts have, in ascending order. They only order shingles: no result rests on the choice."""
+    every = max(1, docs.count() // COUNTED)
+    some = docs.select(whole_text().alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(every)) == 0)
+    hashes = map_rows(some, lambda: lambda row: [(shingle_set(row["text"], size).view(np.int64).tolist(),)], "shingles array<long>")
+    counts = hashes.select(F.explode("shingles").alias("shingle")).groupBy("shingle").count().where(F.col("count") >= FREQUENT_LEAST)
+    found = counts.orderBy(F.desc("count"), "shingle").limit(FREQUENT).collect()
+    return np.sort(np.array([r["shingle"] for r in found], np.int64).view(np.uint64))
+
+
+def prefix(shingles: np.ndarray, frequent: np.ndarray, similarity: float) -> np.ndarray:
+    """The first shingles by the order of all texts (frequent ones last, then by hash): sets that are similar enough have one of them in common.
+
+    Of n shingles at least similarity * n are common with such a set, so fewer than those that this leaves out plus one can be absent.
+    """
+    late = np.isin(shingles, frequent, assume_unique=True)
+    n = len(shingles)
+    return np.concatenate([shingles[~late], shingles[late]])[: n - math.ceil(similarity * n - 1e-9) + 1]
+
+
+def prefix_pairs(members: list[tuple], similarity: float) -> list[tuple]:
+    """Pairs (a, b), a < b, of members (class, root, n, place) of one shingle that can be similar enough by their sizes and the shingle's places.
+
+    A pair is certain to come with the first shingle that its sets share. Members of one root are joined already.
+    """
+    members = sorted(members, key=lambda m: (m[2], bytes(m[0])))
+    roots = {}
+    root = np.array([roots.setdefault(bytes(m[1]), len(roots)) for m in members])
+    if len(roots) < 2:
+        return []
+    n = np.array([m[2] for m in members])
+    left = n - np.array([m[3] for m in members])
+    out = []
+    for i in range(1, len(members)):
+        start = int(np.searchsorted(n, similarity * n[i] - 1e-9))
+        if start >= i:
+            continue
+        fit = (root[start:i] != root[i]) & (np.minimum(left[start:i], left[i]) >= similarity / (1 + similarity) * (n[start:i] + n[i]) - 1e-6)
+        mine = bytes(members[i][0])
+        for j in np.flatnonzero(fit):
+            other = bytes(members[start + j][0])
+            out.append((mine, other) if mine < other else (other, mine))
+    return out
+
+
 def similar_classes(docs: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE, seeds: int = SEEDS, radius: int = RADIUS) -> DataFrame:
     """class, root: classes of equal word sequences whose sets of word shingles are similar enough, joined to components.
 
-    A class without a similar one isn't listed. Candidates are the sets that links of any seed's fingerprints join; what they hold in common
-    is then computed from their whole shingle sets, within bounded shards.
+    A class without a similar one isn't listed. Two sources propose candidates: the sets that links of any seed's fingerprints join, which
+    joins most of a large group at once, and then, of classes not joined yet, each pair with a shingle in common among the first of both (a
+    prefix filter, which loses no pair that is similar enough). What they hold in common is computed from their whole shingle sets.
     """
     texts = docs.select(class_of().alias("class"), whole_text().alias("text"))
+    frequent = frequent_shingles(docs, size)
 
     def make():
-        return lambda row: [(row["class"], word_fingerprints(row["text"], seeds).view(np.int64).tolist())]
+        def one(row: dict) -> list[tuple]:
+            shingles = shingle_set(row["text"], size)
+            first = prefix(shingles, frequent, similarity)
+            return [(row["class"], word_fingerprints(row["text"], seeds).view(np.int64).tolist(), len(shingles), first.view(np.int64).tolist())]
 
-    classes = map_rows(texts, make, "class binary, fps array<long>").groupBy("class").agg(F.any_value("fps").alias("fps"))
-    classes = materialize(classes, "word-fingerprints")
+        return one
+
+    classes = map_rows(texts, make, "class binary, fps array<long>, n int, prefix array<long>").groupBy("class")
+    classes = materialize(classes.agg(F.any_value("fps").alias("fps"), F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix")), "word-fingerprints")
     points = classes.select(F.posexplode("fps").alias("seed", "fp"), F.col("class").alias("node"))
 
     def candidates(row: dict) -> list[tuple]:
@@ -276,20 +338,40 @@ def similar_classes(docs: DataFrame, similarity: float = SIMILARITY, size: int =
             out += [(name, m) for m in members]
         return out
 
-    # equal candidate sets of different shards have equal names and count once
-    proposed = materialize(map_rows(shards(points, radius), lambda: candidates, "name binary, node binary").distinct(), "candidates")
-    wanted = proposed.select("node").distinct().hint("merge")  # the same plan at every size
-    first = texts.join(wanted, texts["class"] == wanted["node"], "left_semi")
-    shingles = map_rows(first, lambda: lambda row: [(row["class"], np.unique(shingle_hashes(words_of(row["text"]), size)).view(np.int64).tolist())], "class binary, shingles array<long>")
-    shingles = shingles.groupBy("class").agg(F.any_value("shingles").alias("shingles"))
-    sets = proposed.join(shingles, proposed["node"] == shingles["class"]).groupBy("name").agg(F.collect_list(F.struct("node", "shingles")).alias("members"))
+    def with_shingles(proposed: DataFrame) -> DataFrame:
+        """name, members (array of struct(node, shingles)) of proposed sets (name, node)."""
+        wanted = proposed.select("node").distinct().hint("merge")  # the same plan at every size
+        first = texts.join(wanted, texts["class"] == wanted["node"], "left_semi")
+        shingles = map_rows(first, lambda: lambda row: [(row["class"], shingle_set(row["text"], size).view(np.int64).tolist())], "class binary, shingles array<long>")
+        shingles = shingles.groupBy("class").agg(F.any_value("shingles").alias("shingles"))
+        return proposed.join(shingles, proposed["node"] == shingles["class"]).groupBy("name").agg(F.collect_list(F.struct("node", "shingles")).alias("members"))
+
+    def hashes_of(member: dict) -> np.ndarray:
+        return np.array(member["shingles"], np.int64).view(np.uint64)
 
     def decide(row: dict) -> list[tuple]:
         members = sorted(row["members"], key=lambda m: bytes(m["node"]))
-        union = similar_sets([np.array(m["shingles"], np.int64).view(np.uint64) for m in members], similarity)
+        union = similar_sets([hashes_of(m) for m in members], similarity)
         return [(bytes(members[union.root(i)]["node"]), bytes(m["node"])) for i, m in enumerate(members) if union.root(i) != i]
 
-    found = components(map_rows(sets, lambda: decide, "a binary, b binary"))
+    def decide_pairs(row: dict) -> list[tuple]:
+        """Links between the node that names the set and each other member."""
+        name = bytes(row["name"])
+        (centre,) = (hashes_of(m) for m in row["members"] if bytes(m["node"]) == name)
+        others = ((bytes(m["node"]), hashes_of(m)) for m in row["members"] if bytes(m["node"]) != name)
+        return [(name, node) for node, hashes in others if similar_sets([centre, hashes], similarity).root(1) == 0]
+
+    # equal candidate sets of different shards have equal names and count once
+    proposed = materialize(map_rows(shards(points, radius), lambda: candidates, "name binary, node binary").distinct(), "candidates")
+    links = materialize(map_rows(with_shingles(proposed), lambda: decide, "a binary, b binary"), "links")
+    joined = components(links).select("node", "root").hint("merge")
+    firsts = classes.join(joined, classes["class"] == joined["node"], "left").select("class", F.coalesce("root", "class").alias("root"), "n", F.posexplode("prefix").alias("place", "shingle"))
+    groups = firsts.groupBy("shingle").agg(F.collect_list(F.struct("class", "root", "n", "place")).alias("members")).where(F.size("members") > 1).select("members")
+    pairs = map_rows(groups, lambda: lambda row: prefix_pairs([(m["class"], m["root"], m["n"], m["place"]) for m in row["members"]], similarity), "a binary, b binary").distinct()
+    pairs = materialize(pairs, "pairs")
+    stars = pairs.select(F.col("a").alias("name"), F.col("b").alias("node")).union(pairs.select("a", "a").distinct())
+    more = map_rows(with_shingles(stars), lambda: decide_pairs, "a binary, b binary")
+    found = components(links.union(more))
     return found.select(F.col("node").alias("class"), "root")
 
 
