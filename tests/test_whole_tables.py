@@ -1,0 +1,19 @@
+"""Queries whose SQL judges a sample of the prints, against the same SQL over all of them."""
+
+import pytest
+from compare import connect, normal, rows
+
+from tidewright.catalog import ORACLE_SQL, QUERIES
+
+SAMPLES = {
+    "sequence % 20 = 0": ("triple_barrier_ticks", "triple_barrier_bars", "barrier_distances", "label_outcome_distribution", "range_join_counts"),
+}
+
+
+@pytest.mark.parametrize(("name", "sample"), [(n, s) for s, names in SAMPLES.items() for n in names])
+def test_every_print_counts(spark, sf, name, sample):
+    assert sample in ORACLE_SQL[name]
+    df = QUERIES[name](spark, sf)
+    found = connect(sf).execute(ORACLE_SQL[name].replace(sample, "true"))
+    names = [d[0] for d in found.description]
+    assert normal(rows(df.columns, df.collect())) == normal(rows(names, found.fetchall()))

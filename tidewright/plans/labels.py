@@ -14,7 +14,7 @@ from .common import Registry, r
 R = Registry()
 DAY_NS = 24 * HOUR_NS
 
-#: Decisions: every 20th print, long and short, over three horizons.
+#: The SQL has a sample of the decisions: every 20th print.
 _DECISIONS = """decisions AS (
   SELECT sequence::VARCHAR || '|' || s.side || '|' || h.hours AS decision_id, symbol, s.side, h.hours, received_at_ns AS decision_at_ns,
     received_at_ns + h.hours * 3600000000000 AS label_end_ns, price AS entry_price,
@@ -26,7 +26,8 @@ priced AS (
 
 
 def decisions(spark, sf):
-    t = ticks(spark, sf).where("sequence % 20 = 0").drop("side")
+    """Every print, long and short, over three horizons."""
+    t = ticks(spark, sf).drop("side")
     d = J.scenarios(t, side=["LONG", "SHORT"], hours=[6, 12, 24])
     raw = F.lit(0.002) * F.sqrt(F.col("hours").cast("double")) * (1 + F.col("sequence") % 5) * 10_000
     stop = fixed(F.least(F.greatest(raw, F.lit(25.0)), F.lit(250.0)))
