@@ -97,7 +97,7 @@ def eligible_trades(spark, sf):
     return ticks(spark, sf).groupBy("symbol").agg(F.count_if(L.eligible()).alias("eligible"), F.count("*").alias("n"))
 
 
-#: Orders: prices on a coarse grid, so that prints meet them exactly.
+#: Orders: prices on a coarse grid, so that prints meet them exactly. The SQL has a sample of them: every 25th print.
 _COARSE = "coarse AS (SELECT * REPLACE (floor(price / 10) * 10 AS price) FROM ticks)"
 _ORDERS = """orders_ AS (
   SELECT sequence::VARCHAR || '|' || s.side || '|' || z.size AS order_id, symbol, s.side, price AS entry_price, 20.0::DOUBLE AS queue_ahead, z.size::DOUBLE AS size,
@@ -110,7 +110,7 @@ def coarse(spark, sf):
 
 
 def orders(spark, sf):
-    o = J.scenarios(coarse(spark, sf).where("sequence % 25 = 0").drop("side", "size"), side=["LONG", "SHORT"], size=[30, 90])
+    o = J.scenarios(coarse(spark, sf).drop("side", "size"), side=["LONG", "SHORT"], size=[30, 90])
     order_id = F.concat_ws("|", F.col("sequence").cast("string"), "side", F.col("size").cast("string"))
     return o.select(order_id.alias("order_id"), "symbol", "side", F.col("price").alias("entry_price"), F.lit(20.0).alias("queue_ahead"), F.col("size").cast("double").alias("size"), F.col("received_at_ns").alias("active_at_ns"), (F.col("received_at_ns") + 12 * HOUR_NS).alias("expires_at_ns"))
 
@@ -149,7 +149,7 @@ h AS (SELECT d.order_id, min((t.received_at_ns, t.event_ts_ms, t.sequence)) FILT
 SELECT f.order_id, {_OUTCOME} AS outcome, coalesce(trades_seen, 0) AS trades_seen FROM f LEFT JOIN h USING (order_id)""")
 def post_fill_outcome(spark, sf):
     even = F.col("sequence") % 2 == 0
-    f = ticks(spark, sf).where("sequence % 15 = 0").select(
+    f = ticks(spark, sf).select(
         F.col("sequence").alias("order_id"), "symbol", F.when(even, "LONG").otherwise("SHORT").alias("side"), F.col("received_at_ns").alias("fill_ns"), F.col("sequence").alias("fill_sequence"),
         (F.col("received_at_ns") + 12 * HOUR_NS).alias("horizon_end_ns"), F.col("price").alias("entry_price"),
         (F.col("price") * F.when(even, 0.99).otherwise(1.01)).alias("stop_price"), (F.col("price") * F.when(even, 1.015).otherwise(0.985)).alias("profit_price"),
