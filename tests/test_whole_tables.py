@@ -9,6 +9,7 @@ SAMPLES = {
     "sequence % 20 = 0": ("triple_barrier_ticks", "triple_barrier_bars", "barrier_distances", "label_outcome_distribution", "range_join_counts"),
     "sequence % 25 = 0": ("maker_fill_sizes", "fill_distribution"),
     "sequence % 15 = 0": ("post_fill_outcome",),
+    "sequence % 10 = 0": ("continuity_windows", "candle_completeness"),
 }
 
 

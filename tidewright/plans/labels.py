@@ -174,7 +174,7 @@ x AS (SELECT d.id, d.b, arg_max(c.breaks, (c.received_at_ns, c.sequence)) FILTER
 SELECT id, s0 = s1 AND b - last_ns <= 7200000000000 AS continuous FROM x""")
 def continuity_windows(spark, sf):
     t = ticks(spark, sf)
-    d = t.where("sequence % 10 = 0").select(F.col("sequence").alias("id"), "symbol", F.col("received_at_ns").alias("start_at"), (F.col("received_at_ns") + 2 * HOUR_NS).alias("end_at"))
+    d = t.select(F.col("sequence").alias("id"), "symbol", F.col("received_at_ns").alias("start_at"), (F.col("received_at_ns") + 2 * HOUR_NS).alias("end_at"))
     return L.breaks_between(d, t.select("symbol", "received_at_ns", "sequence", "session_id"), 2 * HOUR_NS, "start_at", "end_at", "id").select("id", "continuous")
 
 
@@ -184,7 +184,7 @@ n AS (SELECT id, count(*) AS n FROM d JOIN b ON b.symbol = d.symbol AND b.s >= d
 SELECT d.id, coalesce(n.n, 0) = (e - 1) // 3600000000000 - (a + 3599999999999) // 3600000000000 + 1 AS complete FROM d LEFT JOIN n USING (id)""")
 def candle_completeness(spark, sf):
     t = ticks(spark, sf)
-    d = t.where("sequence % 10 = 0").select(F.col("sequence").alias("id"), "symbol", F.col("received_at_ns").alias("start_at"), (F.col("received_at_ns") + 3 * HOUR_NS).alias("end_at"))
+    d = t.select(F.col("sequence").alias("id"), "symbol", F.col("received_at_ns").alias("start_at"), (F.col("received_at_ns") + 3 * HOUR_NS).alias("end_at"))
     bars = t.select("symbol", (div(F.col("received_at_ns"), HOUR_NS) * HOUR_NS).alias("start_ns")).distinct()
     return L.bars_complete(d, bars, HOUR_NS, "start_at", "end_at", "id").select("id", "complete")
 
