@@ -365,8 +365,9 @@ def similar_classes(docs: DataFrame, similarity: float = SIMILARITY, size: int =
     proposed = materialize(map_rows(shards(points, radius), lambda: candidates, "name binary, node binary").distinct(), "candidates")
     links = materialize(map_rows(with_shingles(proposed), lambda: decide, "a binary, b binary"), "links")
     joined = components(links).select("node", "root").hint("merge")
-    firsts = classes.join(joined, classes["class"] == joined["node"], "left").select("class", F.coalesce("root", "class").alias("root"), "n", F.posexplode("prefix").alias("place", "shingle"))
-    groups = firsts.groupBy("shingle").agg(F.collect_list(F.struct("class", "root", "n", "place")).alias("members")).where(F.size("members") > 1).select("members")
+    firsts = classes.join(joined, classes["class"] == joined["node"], "left").select("class", "root", "n", F.posexplode("prefix").alias("place", "shingle"))
+    # flat rows are dealt, as most shingles have one class only and an array for each is several times as large
+    groups = firsts.repartition("shingle").groupBy("shingle").agg(F.collect_list(F.struct("class", F.coalesce("root", "class").alias("root"), "n", "place")).alias("members")).where(F.size("members") > 1).select("members")
     pairs = map_rows(groups, lambda: lambda row: prefix_pairs([(m["class"], m["root"], m["n"], m["place"]) for m in row["members"]], similarity), "a binary, b binary").distinct()
     pairs = materialize(pairs, "pairs")
     stars = pairs.select(F.col("a").alias("name"), F.col("b").alias("node")).union(pairs.select("a", "a").distinct())
