@@ -162,3 +162,22 @@ def test_settings(tmp_path, monkeypatch):
     monkeypatch.setenv("TIDEWRIGHT_EVALUATION_EMBARGO_MINUTES", "1")
     with pytest.raises(ValueError, match="embargo"):
         load(str(f))
+
+
+def test_sample_has_every_class(spark):
+    from tidewright.operators import evaluate as E
+
+    rows = spark.range(1000).select("id", F.when(F.col("id") == 7, 1).when(F.col("id") == 9, 2).otherwise(0).alias("y"))
+    found = E.uniform_sample(rows, ["id"], 10, "y", 3).collect()
+    places = [i * 999 // 9 for i in range(10)]
+    assert sorted(r.id for r in found) == sorted([places[0], 7, 9, *places[3:]])
+    with pytest.raises(ValueError):
+        E.uniform_sample(rows, ["id"], 10, "y", 4)
+
+
+def test_estimates_fall_back(spark):
+    from tidewright.operators import joins as J
+
+    samples = spark.createDataFrame([("a", "L", 1.0)] * 3 + [("b", "L", 5.0), ("c", "S", None)], "symbol string, side string, v double")
+    rows = spark.createDataFrame([("a", "L"), ("b", "L"), ("c", "S")], "symbol string, side string")
+    assert {r.symbol: r.estimate for r in J.fallback(rows, samples, "v", ["symbol", "side"], 3).collect()} == {"a": 1.0, "b": 2.0, "c": 2.0}

@@ -1,4 +1,5 @@
 import gzip
+import hashlib
 import json
 
 import pytest
@@ -57,8 +58,14 @@ def test_gzipped_history(spark, tmp_path):
 def test_retention_removes_what_still_agrees(spark, tmp_path):
     a = tmp_path / "a"
     a.write_text("12")
-    plan = spark.createDataFrame([(str(a), 2, "candidate"), (str(tmp_path / "b"), 1, "candidate")], "path string, size long, verdict string")
-    assert tables.apply_retention(spark, plan, str(tmp_path / "receipt")) == 1
+    kind = "path string, size long, sha256 string, verdict string"
+    digest = hashlib.sha256(a.read_bytes()).hexdigest()
+    good = [(str(a), 2, digest, "candidate"), (str(tmp_path / "x"), 2, digest, "keep")]
+    for k, bad in enumerate([(str(tmp_path / "b"), 1, "", "candidate"), (str(a), 2, hashlib.sha256(b"zz").hexdigest(), "candidate")]):
+        with pytest.raises(ValueError):
+            tables.apply_retention(spark, spark.createDataFrame([*good, bad], kind), str(tmp_path / f"refused{k}"))
+        assert a.exists()
+    assert tables.apply_retention(spark, spark.createDataFrame(good, kind), str(tmp_path / "receipt")) == 1
     assert not a.exists()
 
 

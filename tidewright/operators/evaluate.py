@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import div
 
+# The outcomes and the calibration grid.
 CLASSES = ("TP_FIRST", "SL_FIRST", "TIMEOUT")
-TEMPERATURES = (0.5, 0.65, 0.8, 1.0, 1.25, 1.5, 2.0, 3.0)
+TEMPERATURES = (0.5, 0.75, 1.0, 1.25, 1.5, 2.0, 3.0, 5.0)
 PRIOR_WEIGHTS = (0.0, 0.1, 0.25, 0.5, 0.75)
 
+#: Rows that a logistic fit takes at most.
+FIT_ROWS = 500_000
+
 
 @dataclass(frozen=True)
 class Costs:
@@ -69,8 +73,12 @@ def uniform_rank(rows: DataFrame, *order: str) -> DataFrame:
     return placed.withColumn("_place", F.col("_m") - F.col("_first") + F.col("_before")).drop("_p", "_m", "_first", "_before")
 
 
-def uniform_sample(rows: DataFrame, order: Sequence[str], most: int) -> DataFrame:
-    """Rows at equally spaced places of an order: floor(i * (n - 1) / (most - 1))."""
+def uniform_sample(rows: DataFrame, order: Sequence[str], most: int, y: str | None = None, classes: int = 3) -> DataFrame:
+    """Rows at equally spaced places of an order: floor(i * (n - 1) / (most - 1)).
+
+    y: a column of classes, 0 to classes - 1. A class that the sample misses takes the sample's slot of its own number, with the middle one
+    of its rows in that order; a class that rows don't have is an error.
+    """
     n = rows.count()
     if n <= most:
         return rows
@@ -78,6 +86,15 @@ def uniform_sample(rows: DataFrame, order: Sequence[str], most: int) -> DataFram
     # a place is wanted if the next slot's floor passes it
     slot = F.ceil(F.col("_place").cast("decimal(20,0)") * (most - 1) / (n - 1))
     wanted = F.floor(slot.cast("decimal(20,0)") * (n - 1) / (most - 1)) == F.col("_place")
+    if y is None:
+        return placed.where(wanted).select(*rows.columns)
+    seen = {r[0]: (r["n"], r["picked"]) for r in placed.groupBy(y).agg(F.count("*").alias("n"), F.count_if(wanted).alias("picked")).where(F.col(y).between(0, classes - 1)).collect()}
+    missed = [k for k in range(classes) if not seen.get(k, (0, 0))[1]]
+    if any(k not in seen for k in missed):
+        raise ValueError("a class has no row to learn from")
+    for k in missed:
+        middle = uniform_rank(placed.where(F.col(y) == k).select(F.col("_place").alias("_at")), "_at").where(F.col("_place") == seen[k][0] // 2).first()["_at"]
+        wanted = (wanted & (F.col("_place") != k * (n - 1) // (most - 1))) | (F.col("_place") == middle)
     return placed.where(wanted).select(*rows.columns)
 
 

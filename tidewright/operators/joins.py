@@ -12,15 +12,19 @@ from ..functions.scalars import div
 
 def asof(
     probes: DataFrame, records: DataFrame, by: Sequence[str], probe_time: str, record_time: str, values: Sequence[str],
-    order: Sequence[str] = (), forward: bool = False, inclusive: bool = True, bucket_ns: int = 86_400_000_000_000,
+    order: Sequence[str] = (), forward: bool = False, inclusive: bool = True, bucket_ns: int = 86_400_000_000_000, most_age: int | None = None, reason: str | None = None,
 ) -> DataFrame:
     """probes with the values of the last record at or before each (forward: the first at or after).
 
     Records at equal times go by order; the last of them counts backward, the first forward. Where no record is near, values
-    are null. Within a bucket the nearest record comes from one window over probes and records; a probe without one in its bucket takes
+    are null. most_age: a record that is further away counts as none. reason: a column that says "missing" or "stale" where there is
+    no value, else null. Within a bucket the nearest record comes from one window over probes and records; a probe without one in its bucket takes
     that of the nearest bucket with records, of which there is one row per bucket.
     """
     names = probes.columns
+    kept = list(values)
+    if most_age is not None or reason:
+        values = [*values, record_time] if record_time not in kept else values
     stamp = F.struct(F.col(record_time).alias("t"), *(F.col(c) for c in order))
     packed = F.struct(*(F.col(v).alias(v) for v in values))
     r = records.where(F.col(record_time).isNotNull()).select(*by, F.col(record_time).alias("_t"), stamp.alias("_o"), packed.alias("_v"))
@@ -44,7 +48,12 @@ def asof(
     beyond = marks.withColumn("_beyond", (F.first("_edge", ignorenulls=True) if forward else F.last("_edge", ignorenulls=True)).over(bw)).where("_k = 1").select(*by, "_b", "_beyond")
     out = found.join(beyond, [*by, "_b"], "left")
     value = F.coalesce("_near", "_beyond")
-    return out.select("_p.*", *(value[v].alias(v) for v in values))
+    if most_age is None and not reason:
+        return out.select("_p.*", *(value[v].alias(v) for v in kept))
+    age = F.abs(F.col(f"_p.{probe_time}") - value[record_time])
+    stale = age > most_age if most_age is not None else F.lit(False)
+    told = F.when(value.isNull(), "missing").when(stale, "stale")
+    return out.select("_p.*", *(F.when(told.isNull(), value[v]).alias(v) for v in kept), *([told.alias(reason)] if reason else []))
 
 
 def range_pairs(left: DataFrame, right: DataFrame, by: Sequence[str], start: str, end: str, time: str, bucket_ns: int, open_start: bool = True) -> DataFrame:

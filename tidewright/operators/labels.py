@@ -57,10 +57,19 @@ def barrier_outcomes(decisions: DataFrame, trades: DataFrame, bucket_ns: int, id
         F.max_by("price", "k").alias("last_price"),
         F.count("*").alias("trades_seen"),
     )
-    return _resolved(decisions.join(hits, id, "left"), "price_at_hit")
+    return _resolved(decisions.join(hits, id, "left"))
 
 
-def _resolved(rows: DataFrame, _name: str) -> DataFrame:
+def covered(rows: DataFrame, trades: DataFrame, end: str, name: str = "covered") -> DataFrame:
+    """rows with whether the symbol's trades reach the end of their horizon; a label beyond the last trade isn't known yet.
+
+    One row per symbol is counted up and joined.
+    """
+    last = trades.groupBy("symbol").agg(F.max("received_at_ns").alias("_last"))
+    return rows.join(last, "symbol", "left").withColumn(name, F.coalesce(F.col("_last") >= F.col(end), F.lit(False))).drop("_last")
+
+
+def _resolved(rows: DataFrame) -> DataFrame:
     s, p = F.col("stop_key"), F.col("profit_key")
     outcome = (
         F.when(s.isNull() & p.isNull(), "TIMEOUT")
@@ -87,7 +96,7 @@ def barrier_outcomes_on_bars(decisions: DataFrame, bars: DataFrame, bucket_ns: i
         F.max_by("close", "available_at_ns").alias("last_price"),
         F.count("*").alias("trades_seen"),
     )
-    rows = _resolved(decisions.join(hits, id, "left"), "price_at_hit")
+    rows = _resolved(decisions.join(hits, id, "left"))
     return rows.withColumn("hit_at_ns", F.least("stop_key", "profit_key"))
 
 
@@ -154,14 +163,21 @@ def queue_ahead(books: DataFrame, side: str, price: str, multiple: float = 1.0)
 def post_fill(fills: DataFrame, trades: DataFrame, bucket_ns: int, id: str = "order_id") -> DataFrame:
     """Barrier outcomes from eligible trades strictly after the fill's print, to horizon_end_ns.
 
-    fills: id, symbol, side, fill_ns, fill_sequence, horizon_end_ns, entry_price, stop_price, profit_price.
+    fills: id, symbol, side, fill_ns, fill_sequence, fill_price (of the print that filled the order), horizon_end_ns, entry_price, stop_price,
+    profit_price. A fill's print that lies at the stop or beyond is AMBIGUOUS. covered: whether trades reach the horizon's end.
     """
     t = trades.where(eligible()).select("symbol", "price", "sequence", order_key().alias("k"), F.col("received_at_ns").alias("trade_at_ns"))
     pairs = range_pairs(fills.select(id, "symbol", "side", "fill_ns", "fill_sequence", "horizon_end_ns", "stop_price", "profit_price"), t, ["symbol"], "fill_ns", "horizon_end_ns", "trade_at_ns", bucket_ns, open_start=False)
     pairs = pairs.where((F.col("trade_at_ns") > F.col("fill_ns")) | (F.col("sequence") > F.col("fill_sequence")))
     stop, profit = _crossed("side", "stop_price", "profit_price", "price", "price")
     hits = pairs.groupBy(id).agg(F.min(F.when(stop, F.col("k"))).alias("stop_key"), F.min(F.when(profit, F.col("k"))).alias("profit_key"), F.max_by("price", "k").alias("last_price"), F.count("*").alias("trades_seen"))
-    return _resolved(fills.join(hits, id, "left"), "price_at_hit")
+    crossed = F.when(F.col("side") == "LONG", F.col("fill_price") <= F.col("stop_price")).otherwise(F.col("fill_price") >= F.col("stop_price"))
+    out = covered(_resolved(fills.join(hits, id, "left")), trades, "horizon_end_ns")
+    at_fill = F.coalesce(crossed, F.lit(False))
+    return out.withColumns({
+        "outcome": F.when(at_fill, "AMBIGUOUS").otherwise(F.col("outcome")), "return_bps": F.when(~at_fill, F.col("return_bps")),
+        "resolution": F.when(at_fill, "fill_trade_also_crossed_stop_barrier").otherwise(F.col("resolution")),
+    })
 
 
 def breaks_between(windows: DataFrame, snapshots: DataFrame, most_gap_ns: int, start: str, end: str, id: str) -> DataFrame:

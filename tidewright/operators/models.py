@@ -14,6 +14,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .evaluate import FIT_ROWS, uniform_sample
+
 
 def flagged(rows: DataFrame, features: Sequence[str]) -> DataFrame:
     """rows with <feature>_missing: 1 where it is null or not a number."""
@@ -26,7 +28,9 @@ def _steps(features: Sequence[str], scale: bool) -> list:
     return [*steps, StandardScaler(withMean=True, inputCol="raw_features", outputCol="features")] if scale else steps
 
 
-def fit_logistic(rows: DataFrame, features: Sequence[str], y: str, c: float = 0.1, iterations: int = 100) -> PipelineModel:
+def fit_logistic(rows: DataFrame, features: Sequence[str], y: str, c: float = 0.1, iterations: int = 100, order: Sequence[str] = (), most: int = FIT_ROWS, classes: int = 3) -> PipelineModel:
+    """order: columns of time; with them at most `most` rows are learnt from, at equally spaced places, each class among them."""
+    rows = uniform_sample(rows, order, most, y, classes) if order else rows
     n = max(1, rows.count())
     model = LogisticRegression(family="multinomial", featuresCol="features", labelCol=y, regParam=1.0 / (c * n), maxIter=iterations)
     return Pipeline(stages=[*_steps(features, True), model]).fit(flagged(rows, features))

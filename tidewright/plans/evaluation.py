@@ -99,6 +99,9 @@ def ece_bins(spark, sf):
 
 
 _PRIOR = (0.3, 0.4, 0.3)
+# The calibration grid, stated apart from the operator's.
+_TEMPERATURES = "(0.5::DOUBLE), (0.75::DOUBLE), (1::DOUBLE), (1.25::DOUBLE), (1.5::DOUBLE), (2::DOUBLE), (3::DOUBLE), (5::DOUBLE)"
+_WEIGHTS = "(0::DOUBLE), (0.1::DOUBLE), (0.25::DOUBLE), (0.5::DOUBLE), (0.75::DOUBLE)"
 
 
 def _mixed(i: int) -> str:
@@ -106,28 +109,27 @@ def _mixed(i: int) -> str:
 
 
 @V.add(f"""{with_sql('ticks')}, {_CANDS} SELECT t AS temperature, w AS weight, {r(f'avg(-ln(CASE y WHEN 0 THEN {_mixed(0)} WHEN 1 THEN {_mixed(1)} ELSE {_mixed(2)} END))')} AS log_loss
-FROM probs, (VALUES {', '.join(f'({t}::DOUBLE)' for t in E.TEMPERATURES)}) g(t), (VALUES {', '.join(f'({w}::DOUBLE)' for w in E.PRIOR_WEIGHTS)}) h(w) GROUP BY ALL""")
+FROM probs, (VALUES {_TEMPERATURES}) g(t), (VALUES {_WEIGHTS}) h(w) GROUP BY ALL""")
 def temperature_calibration_grid(spark, sf):
     out = E.calibration_grid(cands(spark, sf), 3, F.array(*(F.lit(p) for p in _PRIOR)))
     return out.withColumn("log_loss", fixed(F.col("log_loss")))
 
 
 @V.add(f"""{with_sql('ticks')}, {_CANDS}, g AS (SELECT t AS temperature, w AS weight, avg(-ln(CASE y WHEN 0 THEN {_mixed(0)} WHEN 1 THEN {_mixed(1)} ELSE {_mixed(2)} END)) AS log_loss
-FROM probs, (VALUES {', '.join(f'({t}::DOUBLE)' for t in E.TEMPERATURES)}) g(t), (VALUES {', '.join(f'({w}::DOUBLE)' for w in E.PRIOR_WEIGHTS)}) h(w) GROUP BY ALL)
-SELECT temperature, weight, {r('log_loss')} AS log_loss FROM g ORDER BY log_loss, temperature, weight LIMIT 1""")
+FROM probs, (VALUES {_TEMPERATURES}) g(t), (VALUES {_WEIGHTS}) h(w) GROUP BY ALL)
+SELECT temperature, weight, {r('log_loss')} AS log_loss FROM g ORDER BY g.log_loss + CASE WHEN temperature = 1 AND weight = 0 THEN 0 ELSE 1e-15::DOUBLE END, NOT (temperature = 1 AND weight = 0), temperature, weight LIMIT 1""")
 def best_calibration(spark, sf):
     grid = E.calibration_grid(cands(spark, sf), 3, F.array(*(F.lit(p) for p in _PRIOR)))
     return E.best_calibration(grid).withColumn("log_loss", fixed(F.col("log_loss")))
 
 
-@V.add(f"""{with_sql('ticks')}, {_CANDS}, s AS (SELECT symbol, side, a AS v FROM cands WHERE sequence % 97 < 20 AND NOT (symbol = 'click' AND sequence % 7 > 0)),
+@V.add(f"""{with_sql('ticks')}, {_CANDS}, s AS (SELECT symbol, side, a AS v FROM cands),
 f AS (SELECT symbol, side, avg(v) AS m FROM s GROUP BY ALL HAVING count(*) >= 150), d AS (SELECT side, avg(v) AS m FROM s GROUP BY ALL), w AS (SELECT avg(v) AS m FROM s),
 u AS (SELECT DISTINCT symbol, side FROM cands)
 SELECT u.symbol, u.side, {r('coalesce(f.m, d.m, w.m)')} AS estimate FROM u LEFT JOIN f USING (symbol, side) LEFT JOIN d USING (side), w""")
 def hierarchical_means(spark, sf):
     c = cands(spark, sf)
-    s = c.where("sequence % 97 < 20 and not (symbol = 'click' and sequence % 7 > 0)")
-    out = J.fallback(c.select("symbol", "side").distinct(), s, "a", ["symbol", "side"], 150)
+    out = J.fallback(c.select("symbol", "side").distinct(), c, "a", ["symbol", "side"], 150)
     return out.withColumn("estimate", fixed(F.col("estimate")))
 
 
@@ -237,11 +239,12 @@ def expected_bins(spark, sf):
     return listed.join(b, "bin", "left").select("bin", F.coalesce("n", F.lit(0)).alias("n"), fixed(F.col("m")).alias("mean_net"))
 
 
-@V.add(f"""{with_sql('ticks')}, {_CANDS}, {_PICKS}, d AS (SELECT ntile(10) OVER (ORDER BY net, model, decision_at_ns) AS decile, net FROM picks WHERE model = 0) SELECT decile, count(*) AS n, {r('avg(net)')} AS mean_net FROM d GROUP BY decile""")
+@V.add(f"""{with_sql('ticks')}, {_CANDS}, {_PICKS}, d AS (SELECT model, ntile(10) OVER (PARTITION BY model ORDER BY net, decision_at_ns) AS decile, net FROM picks)
+SELECT model, decile, count(*) AS n, {r('avg(net)')} AS mean_net FROM d GROUP BY model, decile""")
 def expected_deciles(spark, sf):
-    # a ledger holds one pick a decision: the fold's output, not the corpus
-    p = picks(spark, sf).where("model = 0").withColumn("decile", F.ntile(10).over(Window.partitionBy("model").orderBy("net", "decision_at_ns")).cast("long"))
-    return p.groupBy("decile").agg(F.count("*").alias("n"), fixed(F.avg("net")).alias("mean_net"))
+    """Deciles of every model's picks. A ledger holds one pick a decision: the fold's output, not the corpus."""
+    p = picks(spark, sf).withColumn("decile", F.ntile(10).over(Window.partitionBy("model").orderBy("net", "decision_at_ns")).cast("long"))
+    return p.groupBy("model", "decile").agg(F.count("*").alias("n"), fixed(F.avg("net")).alias("mean_net"))
 
 
 @V.add(f"""{with_sql('ticks')}, {_CANDS}, k AS (SELECT a, stop, rank() OVER (ORDER BY a) + (count(*) OVER (PARTITION BY a) - 1) / 2.0::DOUBLE AS ra, rank() OVER (ORDER BY stop) + (count(*) OVER (PARTITION BY stop) - 1) / 2.0::DOUBLE AS rs FROM cands)

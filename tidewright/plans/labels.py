@@ -14,12 +14,12 @@ from .common import Registry, r
 R = Registry()
 DAY_NS = 24 * HOUR_NS
 
-#: The SQL has a sample of the decisions: every 20th print.
+#: Every print as a decision, long and short, over three horizons.
 _DECISIONS = """decisions AS (
   SELECT sequence::VARCHAR || '|' || s.side || '|' || h.hours AS decision_id, symbol, s.side, h.hours, received_at_ns AS decision_at_ns,
     received_at_ns + h.hours * 3600000000000 AS label_end_ns, price AS entry_price,
     floor((least(greatest(0.002::DOUBLE * sqrt(h.hours::DOUBLE) * (1 + sequence % 5) * 10000, 25), 250)) * 1e6::DOUBLE + 0.5) / 1e6::DOUBLE AS stop_bps
-  FROM ticks, (VALUES ('LONG'), ('SHORT')) s(side), (VALUES (6), (12), (24)) h(hours) WHERE sequence % 20 = 0),
+  FROM ticks, (VALUES ('LONG'), ('SHORT')) s(side), (VALUES (6), (12), (24)) h(hours)),
 priced AS (
   SELECT *, entry_price * (1 - (CASE WHEN side = 'LONG' THEN 1 ELSE -1 END) * stop_bps / 10000) AS stop_price,
     entry_price * (1 + (CASE WHEN side = 'LONG' THEN 1 ELSE -1 END) * stop_bps * 1.5::DOUBLE / 10000) AS profit_price FROM decisions)"""
@@ -97,12 +97,12 @@ def eligible_trades(spark, sf):
     return ticks(spark, sf).groupBy("symbol").agg(F.count_if(L.eligible()).alias("eligible"), F.count("*").alias("n"))
 
 
-#: Orders: prices on a coarse grid, so that prints meet them exactly. The SQL has a sample of them: every 25th print.
+#: Orders: prices on a coarse grid, so that prints meet them exactly. Every print is one, on both sides and in two sizes.
 _COARSE = "coarse AS (SELECT * REPLACE (floor(price / 10) * 10 AS price) FROM ticks)"
 _ORDERS = """orders_ AS (
   SELECT sequence::VARCHAR || '|' || s.side || '|' || z.size AS order_id, symbol, s.side, price AS entry_price, 20.0::DOUBLE AS queue_ahead, z.size::DOUBLE AS size,
     received_at_ns AS active_at_ns, received_at_ns + 43200000000000 AS expires_at_ns
-  FROM coarse, (VALUES ('LONG'), ('SHORT')) s(side), (VALUES (30), (90)) z(size) WHERE sequence % 25 = 0)"""
+  FROM coarse, (VALUES ('LONG'), ('SHORT')) s(side), (VALUES (30), (90)) z(size))"""
 
 
 def coarse(spark, sf):
@@ -143,18 +143,20 @@ def fill_distribution(spark, sf):
 
 
 @R.add(f"""{with_sql('ticks')}, f AS (SELECT sequence AS order_id, symbol, CASE WHEN sequence % 2 = 0 THEN 'LONG' ELSE 'SHORT' END AS side, received_at_ns AS fill_ns, sequence AS fill_sequence, received_at_ns + 43200000000000 AS horizon_end_ns, price AS entry_price,
-    price * (CASE WHEN sequence % 2 = 0 THEN 0.99::DOUBLE ELSE 1.01::DOUBLE END) AS stop_price, price * (CASE WHEN sequence % 2 = 0 THEN 1.015::DOUBLE ELSE 0.985::DOUBLE END) AS profit_price FROM ticks WHERE sequence % 15 = 0),
+    CASE WHEN sequence % 7 = 0 THEN price * CASE WHEN sequence % 2 = 0 THEN 0.985::DOUBLE ELSE 1.015::DOUBLE END ELSE price END AS fill_price, price * (CASE WHEN sequence % 2 = 0 THEN 0.99::DOUBLE ELSE 1.01::DOUBLE END) AS stop_price, price * (CASE WHEN sequence % 2 = 0 THEN 1.015::DOUBLE ELSE 0.985::DOUBLE END) AS profit_price FROM ticks),
 h AS (SELECT d.order_id, min((t.received_at_ns, t.event_ts_ms, t.sequence)) FILTER ({_CROSS.format(low='t.price', high='t.price')}) AS sk, min((t.received_at_ns, t.event_ts_ms, t.sequence)) FILTER ({_GAIN.format(low='t.price', high='t.price')}) AS pk, count(*) AS trades_seen
   FROM f d JOIN ticks t ON t.symbol = d.symbol AND NOT t.is_block AND NOT t.is_rpi AND (t.received_at_ns > d.fill_ns OR (t.received_at_ns = d.fill_ns AND t.sequence > d.fill_sequence)) AND t.received_at_ns <= d.horizon_end_ns GROUP BY ALL)
-SELECT f.order_id, {_OUTCOME} AS outcome, coalesce(trades_seen, 0) AS trades_seen FROM f LEFT JOIN h USING (order_id)""")
+SELECT f.order_id, CASE WHEN CASE WHEN side = 'LONG' THEN fill_price <= stop_price ELSE fill_price >= stop_price END THEN 'AMBIGUOUS' ELSE {_OUTCOME} END AS outcome, coalesce(trades_seen, 0) AS trades_seen,
+  horizon_end_ns <= (SELECT max(received_at_ns) FROM ticks x WHERE x.symbol = f.symbol) AS covered FROM f LEFT JOIN h USING (order_id)""")
 def post_fill_outcome(spark, sf):
     even = F.col("sequence") % 2 == 0
     f = ticks(spark, sf).select(
         F.col("sequence").alias("order_id"), "symbol", F.when(even, "LONG").otherwise("SHORT").alias("side"), F.col("received_at_ns").alias("fill_ns"), F.col("sequence").alias("fill_sequence"),
         (F.col("received_at_ns") + 12 * HOUR_NS).alias("horizon_end_ns"), F.col("price").alias("entry_price"),
+        F.when(F.col("sequence") % 7 == 0, F.col("price") * F.when(even, 0.985).otherwise(1.015)).otherwise(F.col("price")).alias("fill_price"),
         (F.col("price") * F.when(even, 0.99).otherwise(1.01)).alias("stop_price"), (F.col("price") * F.when(even, 1.015).otherwise(0.985)).alias("profit_price"),
     )
-    return L.post_fill(f, ticks(spark, sf), BAR_NS).select("order_id", "outcome", F.coalesce("trades_seen", F.lit(0)).alias("trades_seen"))
+    return L.post_fill(f, ticks(spark, sf), BAR_NS).select("order_id", "outcome", F.coalesce("trades_seen", F.lit(0)).alias("trades_seen"), "covered")
 
 
 @R.add(f"""{with_sql('books')}, o AS (SELECT *, CASE WHEN update_id % 2 = 0 THEN 'LONG' ELSE 'SHORT' END AS side, 1000.0::DOUBLE + (update_id % 9 - 4) * 0.25::DOUBLE AS price FROM books),
@@ -169,7 +171,7 @@ def activation_queue(spark, sf):
 
 @R.add(f"""{with_sql('ticks')}, s AS (SELECT symbol, received_at_ns, sequence, session_id, CASE WHEN received_at_ns - lag(received_at_ns) OVER w > 7200000000000 OR session_id <> lag(session_id) OVER w THEN 1 ELSE 0 END AS broken FROM ticks WINDOW w AS (PARTITION BY symbol ORDER BY received_at_ns, sequence)),
 c AS (SELECT *, sum(broken) OVER (PARTITION BY symbol ORDER BY received_at_ns, sequence ROWS UNBOUNDED PRECEDING) AS breaks FROM s),
-d AS (SELECT sequence AS id, symbol, received_at_ns AS a, received_at_ns + 7200000000000 AS b FROM ticks WHERE sequence % 10 = 0),
+d AS (SELECT sequence AS id, symbol, received_at_ns AS a, received_at_ns + 7200000000000 AS b FROM ticks),
 x AS (SELECT d.id, d.b, arg_max(c.breaks, (c.received_at_ns, c.sequence)) FILTER (c.received_at_ns <= d.a) AS s0, arg_max(c.breaks, (c.received_at_ns, c.sequence)) AS s1, max(c.received_at_ns) AS last_ns FROM d JOIN c ON c.symbol = d.symbol AND c.received_at_ns <= d.b GROUP BY ALL)
 SELECT id, s0 = s1 AND b - last_ns <= 7200000000000 AS continuous FROM x""")
 def continuity_windows(spark, sf):
@@ -179,7 +181,7 @@ def continuity_windows(spark, sf):
 
 
 @R.add(f"""{with_sql('ticks')}, b AS (SELECT DISTINCT symbol, received_at_ns // 3600000000000 * 3600000000000 AS s FROM ticks),
-d AS (SELECT sequence AS id, symbol, received_at_ns AS a, received_at_ns + 10800000000000 AS e FROM ticks WHERE sequence % 10 = 0),
+d AS (SELECT sequence AS id, symbol, received_at_ns AS a, received_at_ns + 10800000000000 AS e FROM ticks),
 n AS (SELECT id, count(*) AS n FROM d JOIN b ON b.symbol = d.symbol AND b.s >= d.a AND b.s < d.e GROUP BY id)
 SELECT d.id, coalesce(n.n, 0) = (e - 1) // 3600000000000 - (a + 3599999999999) // 3600000000000 + 1 AS complete FROM d LEFT JOIN n USING (id)""")
 def candle_completeness(spark, sf):

@@ -146,6 +146,24 @@ def asof_forward(spark, sf):
     return J.asof(grid(spark, sf), t, ["symbol"], "decision_at_ns", "received_at_ns", ["tick_ns", "price"], order=["sequence"], forward=True)
 
 
+@M.add(f"""{_ASOF} SELECT f.symbol, f.decision_at_ns, CASE WHEN f.decision_at_ns - f.tick_ns <= 3600000000000 THEN t.price END AS price,
+  CASE WHEN f.tick_ns IS NULL THEN 'missing' WHEN f.decision_at_ns - f.tick_ns > 3600000000000 THEN 'stale' END AS reason
+FROM found f LEFT JOIN (SELECT symbol, received_at_ns, arg_max(price, sequence) AS price FROM ticks GROUP BY ALL) t ON t.symbol = f.symbol AND t.received_at_ns = f.tick_ns""")
+def staleness_gate(spark, sf):
+    """The last price at each decision unless it is older than an hour, with the reason where there is none."""
+    t = ticks(spark, sf).select("symbol", "received_at_ns", "sequence", "price")
+    out = J.asof(grid(spark, sf), t, ["symbol"], "decision_at_ns", "received_at_ns", ["price"], order=["sequence"], most_age=HOUR_NS, reason="reason")
+    return out.select("symbol", "decision_at_ns", "price", "reason")
+
+
+@M.add(f"""{_ASOF}, q AS (SELECT f.symbol, CASE WHEN f.tick_ns IS NULL THEN 'missing' WHEN f.decision_at_ns - f.tick_ns > 3600000000000 THEN 'stale' ELSE 'usable' END AS reason FROM found f)
+SELECT symbol, reason, count(*) AS n FROM q GROUP BY GROUPING SETS ((symbol, reason), (reason))""")
+def reason_counters(spark, sf):
+    """How many decisions each reason skips, by symbol and over all."""
+    gate = staleness_gate(spark, sf).withColumn("reason", F.coalesce("reason", F.lit("usable")))
+    return gate.groupingSets([["symbol", "reason"], ["reason"]], "symbol", "reason").agg(F.count("*").alias("n"))
+
+
 @M.add(f"""{with_sql('tickers')}, {_GRID_SQL},
 seen AS (SELECT symbol, received_at_ns, arg_max(open_interest, sequence) AS oi FROM tickers GROUP BY ALL),
 found AS (SELECT g.symbol, g.decision_at_ns, max(a.received_at_ns) AS n, max(a.received_at_ns) FILTER (a.received_at_ns <= g.decision_at_ns - 21600000000000) AS b

@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
 def segments(spark: SparkSession, root: str, date: str | None = None) -> DataFrame:
-    """Lines with the file's path below root and their number. A date (YYYY-MM-DD) prunes by path.
+    """Lines with the file's path below root and their number. Of a date (YYYY-MM-DD) only that day's folders are listed and read.
 
     Line numbers count within a file, by the order of Spark's splits of it.
     """
     reader = spark.read.option("pathGlobFilter", "*.jsonl").option("recursiveFileLookup", "true")
-    lines = reader.text(root).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"))
+    folders = f"{root}/*/*/{date.replace('-', '/')}" if date else root
+    try:
+        text = reader.text(folders)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND" or not date:
+            raise
+        text = reader.text(root).limit(0)  # a day without a folder
+    lines = text.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"))
     path = F.regexp_extract("file", r"([^/]+/[^/]+/\d{4}/\d{2}/\d{2}/[^/]+)$", 1)
     lines = lines.withColumn("source_path", path)
-    if date:
-        lines = lines.where(F.col("file").contains("/" + date.replace("-", "/") + "/"))
     number = F.row_number().over(Window.partitionBy("file").orderBy("block", "place")).cast("long")
     return lines.select("value", "source_path", number.alias("source_line"))
 

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..functions.scalars import utc_date
 from ..operators.lineage import fingerprint
@@ -82,16 +82,49 @@ def validate(spark: SparkSession, path: str) -> dict:
     return manifest
 
 
+def digests(files: DataFrame) -> DataFrame:
+    """files (path and other columns) with found_size and found_sha256, read in pieces by the tasks; null for a file that isn't there."""
+    import pyarrow as pa
+
+    schema = StructType([*files.schema, StructField("found_size", LongType()), StructField("found_sha256", StringType())])
+
+    def run(batches):
+        from pyarrow import fs
+
+        for batch in batches:
+            sizes, hashes = [], []
+            for path in batch.column(batch.schema.get_field_index("path")).to_pylist():
+                store, name = fs.FileSystem.from_uri(path if "://" in path or path.startswith("/") else f"file:///{path.removeprefix('file:').lstrip('/')}")
+                total, digest = 0, hashlib.sha256()
+                if store.get_file_info(name).type != fs.FileType.File:
+                    sizes.append(None)
+                    hashes.append(None)
+                    continue
+                with store.open_input_stream(name, compression=None) as stream:
+                    while piece := stream.read(1 << 20):
+                        total += len(piece)
+                        digest.update(piece)
+                sizes.append(total)
+                hashes.append(digest.hexdigest())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sizes, pa.int64()), pa.array(hashes, pa.string())], names=[*batch.schema.names, "found_size", "found_sha256"])
+
+    return files.mapInArrow(run, schema)
+
+
 def apply_retention(spark: SparkSession, candidates: DataFrame, receipt: str) -> int:
-    """Removes the files of a plan whose verdict is candidate, after checking sizes again; writes what was removed as a receipt first.
+    """Removes the files of a plan (path, size, sha256, verdict) whose verdict is candidate.
 
-    Files are listed to the driver in pieces, as only it can delete; the receipt is a table.
+    All of them are read again first, by tasks: if one is missing or its size or digest differs, nothing is removed and ValueError is raised.
+    The receipt, a table, is written before the first removal. Files are listed to the driver in pieces, as only it can delete.
     """
-    chosen = candidates.where("verdict = 'candidate'").select("path", "size")
-    chosen.write.parquet(receipt)
+    chosen = candidates.where("verdict = 'candidate'").select("path", "size", "sha256")
+    digests(chosen).write.parquet(receipt)
+    checked = spark.read.parquet(receipt)
+    wrong = checked.where(~(F.col("size").eqNullSafe(F.col("found_size")) & F.col("sha256").eqNullSafe(F.col("found_sha256"))))
+    if (first := wrong.orderBy("path").first()) is not None:
+        raise ValueError(f"{first['path']} isn't the file of the plan; nothing was removed")
     n = 0
-    for row in spark.read.parquet(receipt).toLocalIterator():
+    for row in checked.select("path").toLocalIterator():
         fs, target = _fs(spark, row["path"])
-        if fs.exists(target) and fs.getFileStatus(target).getLen() == row["size"]:
-            n += bool(fs.delete(target, False))
+        n += bool(fs.delete(target, False))
     return n
