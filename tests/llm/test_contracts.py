@@ -350,9 +350,9 @@ def test_hot_shards_are_dealt_again(spark):
     place = {v: i for i, v in enumerate(values)}
     for r in simhash.shards(points, 2, most=20).collect():
         fps = [p.fp for p in r.points]
-        for s in simhash.linked_sets(fps, 2):
-            for i in s[1:]:
-                union.join(place[fps[s[0]] & simhash._ALL], place[fps[i] & simhash._ALL])
+        for i, j in simhash.linked_pairs(fps, 2):
+            assert ((fps[i] ^ fps[j]) & simhash._ALL).bit_count() <= 2
+            union.join(place[fps[i] & simhash._ALL], place[fps[j] & simhash._ALL])
     want = simhash.Union(len(values))
     for i in range(len(values)):
         for j in range(i):
@@ -414,21 +414,52 @@ def test_near_copies_that_differ_by_a_passage_are_found(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [i for i in range(len(docs)) if union.root(i) == i]
 
 
-def test_prefixes_lose_no_similar_pair():
-    rng = np.random.default_rng(5)
-    lost = 0
-    for _ in range(2000):
-        n, cut = rng.integers(1, 120), rng.integers(0, 30)
-        pool = np.unique(rng.integers(0, 2**63, n + cut, dtype=np.uint64))
-        frequent = np.sort(pool[rng.random(len(pool)) < rng.random()])
-        a, b = pool[rng.random(len(pool)) < 0.95], pool[rng.random(len(pool)) < 0.95]
-        common = len(np.intersect1d(a, b))
-        if not common or common < 0.8 * (len(a) + len(b) - common):
-            continue
-        first = [simhash.prefix(x, frequent, 0.8).tolist() for x in (a, b)]
-        shared = [simhash.prefix_pairs([(b"a", b"a", len(a), first[0].index(x)), (b"b", b"b", len(b), first[1].index(x))], 0.8) for x in set(first[0]) & set(first[1])]
-        lost += not any(shared)
-    assert not lost
+def groups_by_brute_force(texts):
+    """The places of texts with the least place of their component, by whole shingle sets; and the similarity of each pair of 0.8 or more."""
+    sets = [simhash.shingle_set(t) for t in texts]
+    union, found = simhash.Union(len(texts)), {}
+    order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
+    holders = defaultdict(list)
+    for i in order:
+        common = Counter(j for x in sets[i].tolist() for j in holders[x])
+        for j, c in common.items():
+            jaccard = c / (len(sets[i]) + len(sets[j]) - c)
+            if jaccard >= 0.8:
+                found[min(i, j), max(i, j)] = jaccard
+                union.join(i, j)
+        for x in sets[i].tolist():
+            holders[x].append(i)
+    return [union.root(i) for i in range(len(texts))], found
+
+
+@pytest.mark.parametrize("where", ["sf0.001", "sf0.01"])
+def test_near_copies_of_the_tables_by_similarity(spark, where):
+    df = spark.read.parquet(f"/root/testdata/{where}/documents.parquet")
+    classes = {r["class"].hex(): (r["doc_id"], r.text) for r in df.groupBy(simhash.class_of().alias("class")).agg(F.min("doc_id").alias("doc_id"), F.max("text").alias("text")).collect()}
+    keys = sorted(classes)
+    want, pairs = groups_by_brute_force([classes[k][1] or "" for k in keys])
+    got = {r["class"].hex(): r.root for r in simhash.similar_classes(df).collect()}
+    for (i, j), _ in pairs.items():  # recall of each band of similarity is 1
+        assert got[keys[i]] == got[keys[j]]
+    sizes = Counter(want)
+    assert len(got) == sum(sizes[r] > 1 for r in want) and len(set(got.values())) == sum(n > 1 for n in sizes.values())
+
+
+def test_prefixes_lose_no_similar_pair(spark):
+    """Random sets, some of them in large groups, through all rounds against brute force."""
+    rng = random.Random(5)
+    pool = [f"w{i}" for i in range(3000)]
+    rows = []
+    for _ in range(25):
+        base = [rng.choice(pool) for _ in range(rng.randint(20, 150))]
+        for _ in range(rng.choice([2, 3, 30])):
+            t = list(base)
+            for _ in range(rng.randint(0, 4)):
+                t[rng.randrange(len(t))] = rng.choice(pool)
+            rows.append(" ".join(t[: len(t) - rng.randint(0, len(t) // 8)]))
+    want, _ = groups_by_brute_force(rows)
+    kept = simhash.keep_one(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(3))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want))
 
 
 # 9 WARC

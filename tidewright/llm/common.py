@@ -27,11 +27,13 @@ def whole_text(column: str = "text") -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as a whole URI: spark.checkpoint.dir, or an own one where that is unset (tests)."""
+    """The folder that driver and executors share, as a whole URI: spark.checkpoint.dir, or an own one where that is unset and all run on one machine (tests)."""
     context = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         if context.getCheckpointDir() is None:
+            if not (context.master.startswith("local[") or context.master == "local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
             context.setCheckpointDir(tempfile.mkdtemp(prefix="tidewright-"))
         found = context.getCheckpointDir()
     path = context._jvm.org.apache.hadoop.fs.Path(found)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import drop_folder, new_folder
 
 MOST_ROUNDS = 60
 
@@ -36,12 +36,21 @@ def components(edges: DataFrame) -> DataFrame:
     with the logarithm of the longest path.
     """
     ordered = edges.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    current = materialize(ordered, "edges")
+    spark = edges.sparkSession
+
+    def written(df: DataFrame) -> tuple[DataFrame, str]:
+        path = new_folder(spark, "edges")
+        df.write.option("compression", "zstd").parquet(path)
+        return spark.read.schema(df.schema).parquet(path), path
+
+    current, path = written(ordered)
     before = _state(current)
     for _ in range(MOST_ROUNDS):
         if not before[0]:
             break
-        current = materialize(_small_star(_large_star(current)), "edges")
+        past = path
+        current, path = written(_small_star(_large_star(current)))
+        drop_folder(spark, past)  # the next rounds read the new table only
         after = _state(current)
         if after == before:
             break

@@ -7,20 +7,21 @@ SHARD fingerprints is dealt again by the pieces of the bits that it doesn't fix
 dealings a shard can't hold more distinct fingerprints than its free bits allow. Trees are built where their probes are, as all of
 them together grow with the corpus and have no bound for a broadcast.
 
-Links leave a shard as stars, one row per fingerprint at most; components are found over distinct fingerprints.
+Links leave a shard as a forest, fewer rows than fingerprints; components are found over distinct fingerprints.
 
 Texts with fewer words than a shingle has give one shingle, texts without a word the fingerprint zero, which links like any other. Nulls
-are empty texts. A null doc_id takes part and gets its component's id; a component without any id has null. Repeated rows stay.
+are empty texts. Very long texts are whole: their hashes are counted in pieces. A null doc_id takes part and gets its component's id; a component without any id has null. Repeated rows stay.
 Columns beside doc_id and text are ignored (kept, by keep_one). An empty table gives an empty table.
 """
 
 from __future__ import annotations
 
-import hashlib
 import math
+from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import lookup, map_rows, materialize, whole_text
@@ -128,23 +129,15 @@ class Union:
         return i != j
 
 
-def linked_sets(values: list[int], radius: int) -> list[list[int]]:
-    """The places of values in sets that links within the radius join, of two or more places."""
-    if len(values) == 2:
-        return [[0, 1]] if ((values[0] ^ values[1]) & _ALL).bit_count() <= radius else []
-    tree, union, places = BKTree(), Union(len(values)), {}
+def linked_pairs(values: list[int], radius: int) -> list[tuple[int, int]]:
+    """Pairs of places, each within the radius of one another, that join all places which links within the radius join (a forest)."""
+    tree, union, places, out = BKTree(), Union(len(values)), {}, []
     for i, value in enumerate(values):
         value &= _ALL
         first = places.setdefault(tree.add(value), i)
-        if first != i:
-            union.join(first, i)
-            continue
-        for at in tree.within(value, radius):
-            union.join(places[at], i)
-    sets: dict[int, list[int]] = {}
-    for i in range(len(values)):
-        sets.setdefault(union.root(i), []).append(i)
-    return [s for s in sets.values() if len(s) > 1]
+        near = [first] if first != i else [places[at] for at in tree.within(value, radius)]
+        out += [(j, i) for j in near if union.join(j, i)]
+    return out
 
 
 def _pieces(bits: list[int], n: int) -> list[int]:
@@ -188,16 +181,20 @@ def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
 
 
 def link_components(docs: DataFrame, size: int = 3, radius: int = 2) -> DataFrame:
-    """doc_id, fingerprint (16 hexadecimal digits) and component_id: the smallest doc_id that links lead to."""
+    """doc_id, fingerprint (16 hexadecimal digits) and component_id: the smallest doc_id that links lead to.
+
+    Every link comes through a BK-tree. The shards' trees aren't broadcast, as all of them together grow with the corpus: a shard's
+    fingerprints meet in one task, which builds its tree and asks it.
+    """
     fps = fingerprints(docs, size)
     nodes = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "nodes")
     points = nodes.select(F.lit(0).alias("seed"), "fp", F.lit(None).cast("long").alias("node"))
 
-    def stars(row: dict) -> list[tuple]:
+    def forest(row: dict) -> list[tuple]:
         values = [p["fp"] for p in row["points"]]
-        return [(values[s[0]], values[i]) for s in linked_sets(values, radius) for i in s[1:]]
+        return [(values[i], values[j]) for i, j in linked_pairs(values, radius)]
 
-    found = components(map_rows(shards(points, radius), lambda: stars, "a long, b long"))
+    found = components(map_rows(shards(points, radius), lambda: forest, "a long, b long"))
     linked = found.join(nodes.select(F.col("fp").alias("node"), "rep"), "node")
     least = linked.groupBy("root").agg(F.min("rep").alias("linked_id"))
     linked = linked.join(least, "root").select(F.col("node").alias("fp"), "linked_id")
@@ -209,7 +206,7 @@ def link_components(docs: DataFrame, size: int = 3, radius: int = 2) -> DataFram
 # Near copies by similarity: SimHash and common rare shingles propose, an exact check of shingle sets decides.
 
 #: Fingerprints per text, each with hashes of its own.
-SEEDS = 8
+SEEDS = 2
 RADIUS = 3
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -217,6 +214,14 @@ SIMILARITY = 0.8
 COUNTED = 10_000
 FREQUENT = 50_000
 FREQUENT_LEAST = 3
+#: Members of a shingle that all others are compared with, by round; in the last round each one that is left meets each other.
+PIVOTS = (1, 16, None)
+#: Stretches into which the pairs of one text are dealt.
+BLOCKS = 256
+#: Keys of a broadcast that tells which texts can't be wanted.
+BUCKETS = 1 << 20
+#: Classes that a task remembers, so as to sketch copies once.
+SEEN = 500_000
 
 
 def class_of(column: str = "text") -> Column:
@@ -241,20 +246,13 @@ def word_fingerprints(text: str, seeds: int = SEEDS) -> np.ndarray:
     return majority(_mixed(hashes, seeds)) if len(hashes) else np.zeros(seeds, np.uint64)
 
 
-def similar_sets(sets: list[np.ndarray], similarity: float) -> Union:
-    """Joins the places of sorted sets whose Jaccard similarity reaches the bound; pairs that are joined already aren't compared."""
-    union = Union(len(sets))
-    for i, mine in enumerate(sets):
-        for j in range(i - 1, -1, -1):
-            if union.root(i) == union.root(j):
-                continue
-            few, many = sorted((len(mine), len(sets[j])))
-            if few < similarity * many:
-                continue
-            common = len(np.intersect1d(mine, sets[j], assume_unique=True))
-            if common >= similarity * (few + many - common):
-                union.join(i, j)
-    return union
+def similar(mine: np.ndarray, other: np.ndarray, similarity: float) -> bool:
+    """Whether the Jaccard similarity of two sorted sets reaches the bound. Two empty sets are equal."""
+    few, many = sorted((len(mine), len(other)))
+    if few < similarity * many:
+        return False
+    common = len(np.intersect1d(mine, other, assume_unique=True))
+    return common >= similarity * (few + many - common)
 
 
 def shingle_set(text: str, size: int = SHINGLE) -> np.ndarray:
@@ -282,105 +280,186 @@ def prefix(shingles: np.ndarray, frequent: np.ndarray, similarity: float) -> np.
     return np.concatenate([shingles[~late], shingles[late]])[: n - math.ceil(similarity * n - 1e-9) + 1]
 
 
-def prefix_pairs(members: list[tuple], similarity: float) -> list[tuple]:
-    """Pairs (a, b), a < b, of members (class, root, n, place) of one shingle that can be similar enough by their sizes and the shingle's places.
-
-    A pair is certain to come with the first shingle that its sets share. Members of one root are joined already.
-    """
-    members = sorted(members, key=lambda m: (m[2], bytes(m[0])))
-    roots = {}
-    root = np.array([roots.setdefault(bytes(m[1]), len(roots)) for m in members])
-    if len(roots) < 2:
-        return []
-    n = np.array([m[2] for m in members])
-    left = n - np.array([m[3] for m in members])
-    out = []
-    for i in range(1, len(members)):
-        start = int(np.searchsorted(n, similarity * n[i] - 1e-9))
-        if start >= i:
-            continue
-        fit = (root[start:i] != root[i]) & (np.minimum(left[start:i], left[i]) >= similarity / (1 + similarity) * (n[start:i] + n[i]) - 1e-6)
-        mine = bytes(members[i][0])
-        for j in np.flatnonzero(fit):
-            other = bytes(members[start + j][0])
-            out.append((mine, other) if mine < other else (other, mine))
-    return out
-
-
-def similar_classes(docs: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE, seeds: int = SEEDS, radius: int = RADIUS) -> DataFrame:
-    """class, root: classes of equal word sequences whose sets of word shingles are similar enough, joined to components.
-
-    A class without a similar one isn't listed. Two sources propose candidates: the sets that links of any seed's fingerprints join, which
-    joins most of a large group at once, and then, of classes not joined yet, each pair with a shingle in common among the first of both (a
-    prefix filter, which loses no pair that is similar enough). What they hold in common is computed from their whole shingle sets.
-    """
-    texts = docs.select(class_of().alias("class"), whole_text().alias("text"))
+def sketches(docs: DataFrame, similarity: float, size: int, seeds: int, radius: int) -> DataFrame:
+    """One row per class, written to the shared folder: id (a number), class, fps, n (shingles) and prefix. A task sketches a class once."""
     frequent = frequent_shingles(docs, size)
 
     def make():
+        seen: set[bytes] = set()
+
         def one(row: dict) -> list[tuple]:
+            key = bytes(row["class"])
+            if key in seen:
+                return []
+            if len(seen) >= SEEN:
+                seen.clear()
+            seen.add(key)
             shingles = shingle_set(row["text"], size)
             first = prefix(shingles, frequent, similarity)
-            return [(row["class"], word_fingerprints(row["text"], seeds).view(np.int64).tolist(), len(shingles), first.view(np.int64).tolist())]
+            return [(key, word_fingerprints(row["text"], seeds).view(np.int64).tolist(), len(shingles), first.view(np.int64).tolist())]
 
         return one
 
-    classes = map_rows(texts, make, "class binary, fps array<long>, n int, prefix array<long>").groupBy("class")
-    classes = materialize(classes.agg(F.any_value("fps").alias("fps"), F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix")), "word-fingerprints")
-    points = classes.select(F.posexplode("fps").alias("seed", "fp"), F.col("class").alias("node"))
-
-    def candidates(row: dict) -> list[tuple]:
-        nodes = [bytes(p["node"]) for p in row["points"]]
-        out = []
-        for found in linked_sets([p["fp"] for p in row["points"]], radius):
-            members = sorted(nodes[i] for i in found)
-            name = hashlib.md5(b"".join(members)).digest()
-            out += [(name, m) for m in members]
-        return out
-
-    def with_shingles(proposed: DataFrame) -> DataFrame:
-        """name, members (array of struct(node, shingles)) of proposed sets (name, node)."""
-        wanted = proposed.select("node").distinct().hint("merge")  # the same plan at every size
-        first = texts.join(wanted, texts["class"] == wanted["node"], "left_semi")
-        shingles = map_rows(first, lambda: lambda row: [(row["class"], shingle_set(row["text"], size).view(np.int64).tolist())], "class binary, shingles array<long>")
-        shingles = shingles.groupBy("class").agg(F.any_value("shingles").alias("shingles"))
-        return proposed.join(shingles, proposed["node"] == shingles["class"]).groupBy("name").agg(F.collect_list(F.struct("node", "shingles")).alias("members"))
-
-    def hashes_of(member: dict) -> np.ndarray:
-        return np.array(member["shingles"], np.int64).view(np.uint64)
-
-    def decide(row: dict) -> list[tuple]:
-        members = sorted(row["members"], key=lambda m: bytes(m["node"]))
-        union = similar_sets([hashes_of(m) for m in members], similarity)
-        return [(bytes(members[union.root(i)]["node"]), bytes(m["node"])) for i, m in enumerate(members) if union.root(i) != i]
-
-    def decide_pairs(row: dict) -> list[tuple]:
-        """Links between the node that names the set and each other member."""
-        name = bytes(row["name"])
-        (centre,) = (hashes_of(m) for m in row["members"] if bytes(m["node"]) == name)
-        others = ((bytes(m["node"]), hashes_of(m)) for m in row["members"] if bytes(m["node"]) != name)
-        return [(name, node) for node, hashes in others if similar_sets([centre, hashes], similarity).root(1) == 0]
-
-    # equal candidate sets of different shards have equal names and count once
-    proposed = materialize(map_rows(shards(points, radius), lambda: candidates, "name binary, node binary").distinct(), "candidates")
-    links = materialize(map_rows(with_shingles(proposed), lambda: decide, "a binary, b binary"), "links")
-    joined = components(links).select("node", "root").hint("merge")
-    firsts = classes.join(joined, classes["class"] == joined["node"], "left").select("class", "root", "n", F.posexplode("prefix").alias("place", "shingle"))
-    # flat rows are dealt, as most shingles have one class only and an array for each is several times as large
-    groups = firsts.repartition("shingle").groupBy("shingle").agg(F.collect_list(F.struct("class", F.coalesce("root", "class").alias("root"), "n", "place")).alias("members")).where(F.size("members") > 1).select("members")
-    pairs = map_rows(groups, lambda: lambda row: prefix_pairs([(m["class"], m["root"], m["n"], m["place"]) for m in row["members"]], similarity), "a binary, b binary").distinct()
-    pairs = materialize(pairs, "pairs")
-    stars = pairs.select(F.col("a").alias("name"), F.col("b").alias("node")).union(pairs.select("a", "a").distinct())
-    more = map_rows(with_shingles(stars), lambda: decide_pairs, "a binary, b binary")
-    found = components(links.union(more))
-    return found.select(F.col("node").alias("class"), "root")
+    found = map_rows(docs.select(class_of().alias("class"), whole_text().alias("text")), make, "class binary, fps array<long>, n int, prefix array<long>")
+    found = found.groupBy("class").agg(F.any_value("fps").alias("fps"), F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix"))
+    return materialize(found.withColumn("id", F.monotonically_increasing_id()), "sketches")  # written once, so the numbers stay
+
+
+def simhash_pairs(sketched: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Pairs (a, b) of ids that equal or linked fingerprints of any seed propose.
+
+    Trees hold distinct fingerprints; ids with equal ones are each paired with the least of them.
+    """
+    points = sketched.select("id", F.posexplode("fps").alias("seed", "fp"))
+    nodes = materialize(points.groupBy("seed", "fp").agg(F.min("id").alias("node"), F.max("id").alias("last")), "fingerprint-nodes")
+    shared = nodes.where("last > node").select("seed", "fp", "node")
+    equal = points.join(shared, ["seed", "fp"]).where("id <> node").select(F.col("node").alias("a"), F.col("id").alias("b"))
+
+    def forest(row: dict) -> list[tuple]:
+        return [(row["points"][i]["node"], row["points"][j]["node"]) for i, j in linked_pairs([p["fp"] for p in row["points"]], radius)]
+
+    return equal.union(map_rows(shards(nodes.select("seed", "fp", "node"), radius), lambda: forest, "a long, b long"))
+
+
+def shared_prefixes(sketched: DataFrame) -> DataFrame:
+    """shingle, id, n and place of the prefixes' shingles that two or more classes have; written to the shared folder."""
+    packed = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("place").cast("long"))
+    rows = sketched.select("id", "n", F.posexplode("prefix").alias("place", "shingle")).select("shingle", "id", packed.alias("at"))
+    dealt = rows.repartition("shingle").sortWithinPartitions("shingle")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the last row so far, and whether the one before it has its shingle
+        last_shared = False
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            batch = pa.RecordBatch.from_arrays(batch.columns, names=["shingle", "id", "at"])
+            whole = pa.Table.from_batches([held, batch] if held is not None else [batch]).combine_chunks()
+            s = whole.column(0).to_numpy()
+            same = s[1:] == s[:-1]
+            keep = np.zeros(len(s), bool)
+            keep[1:] |= same
+            keep[:-1] |= same
+            keep[0] |= last_shared
+            last_shared = bool(keep[-1])
+            if len(s) > 1:
+                yield from whole.slice(0, len(s) - 1).filter(pa.array(keep[:-1])).to_batches()
+            held = whole.slice(len(s) - 1).to_batches()[0]
+        if held is not None and last_shared:
+            yield held
+
+    found = dealt.mapInArrow(run, "shingle long, id long, at long")
+    return materialize(found.select("shingle", "id", F.shiftright("at", 32).cast("int").alias("n"), F.col("at").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("place")), "shared-prefixes")
+
+
+def _rooted(rows: DataFrame, joined: DataFrame) -> DataFrame:
+    """rows (id and others) with root: the component's, or the id itself."""
+    return rows.join(joined.select(F.col("node").alias("_node"), "root"), F.col("id") == F.col("_node"), "left").drop("_node").withColumn("root", F.coalesce("root", "id"))
+
+
+def prefix_pairs(rows: DataFrame, similarity: float, pivots: int | None) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of members of one shingle with other roots that can be similar by their sizes and the shingle's places; and the rows that are left.
+
+    rows: shingle, id, n, place and root, of shingles with two or more roots. The first pivots members of a shingle, by a hash that makes the
+    same ids first in all shingles, meet all others and leave; None: each meets each. A pair is certain to come with the first shingle that its
+    sets share.
+    """
+    rows = rows.withColumn("rank", F.xxhash64("id"))
+    order = F.struct("rank", "id")
+    if pivots is None:
+        first = rows
+    elif pivots == 1:
+        first = rows.groupBy("shingle").agg(F.min_by(F.struct("id", "n", "place", "root", "rank"), order).alias("m")).select("shingle", "m.*")
+    else:
+        w = Window.partitionBy("shingle").orderBy("rank", "id")
+        first = rows.withColumn("k", F.row_number().over(w)).where(F.col("k") <= pivots).drop("k")
+    p = first.select("shingle", *(F.col(c).alias(f"p_{c}") for c in ("id", "n", "place", "root", "rank")))
+    both = rows.join(p, "shingle").where((F.col("root") != F.col("p_root")) & (order > F.struct(F.col("p_rank").alias("rank"), F.col("p_id").alias("id"))))
+    least = F.least(F.col("n") - F.col("place"), F.col("p_n") - F.col("p_place"))
+    fits = (F.least("n", "p_n") >= similarity * F.greatest("n", "p_n") - 1e-9) & (least >= similarity / (1 + similarity) * (F.col("n") + F.col("p_n")) - 1e-6)
+    pairs = both.where(fits).select(F.col("p_id").alias("a"), F.col("id").alias("b"))
+    last = first.groupBy("shingle").agg(F.max(order).alias("_last"))
+    left = rows.join(last, "shingle").where(order > F.col("_last")).drop("_last", "rank")
+    return pairs, left
+
+
+def verified(pairs: DataFrame, sketched: DataFrame, texts: DataFrame, similarity: float, size: int) -> DataFrame:
+    """The pairs (a, b) whose texts' shingle sets are similar enough; written to the shared folder.
+
+    texts: class and text. Only texts of wanted classes travel (those that a broadcast of at most BUCKETS numbers can't rule out, then by class), one
+    of each class. The pairs of a text a are dealt to BLOCKS stretches; in each, a comes first and the others stream past it.
+    """
+    dealt = pairs.select("a", F.pmod(F.xxhash64("b"), F.lit(BLOCKS)).cast("int").alias("block"), "b")
+    need = dealt.select("a", "block", F.lit(1).alias("k"), F.col("b").alias("id")).union(dealt.select("a", "block", F.lit(0), "a").distinct())
+    need = materialize(need.join(sketched.select("id", "class"), "id"), "wanted")
+    wanted = need.select("class").distinct()
+    some = likely(texts, wanted, "class").join(wanted.hint("merge"), "class", "left_semi").groupBy("class").agg(F.any_value("text").alias("text"))
+    rows = need.hint("merge").join(some, "class").select("a", "block", "k", "id", "text")
+    rows = rows.repartition("a", "block").sortWithinPartitions("a", "block", "k", "id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centre = None
+        for batch in batches:
+            a, k, ids = (batch.column(i).to_numpy() for i in (0, 2, 3))
+            found = []
+            for i in range(batch.num_rows):
+                mine = shingle_set(batch.column(4)[i].as_py(), size)
+                if k[i] == 0:
+                    centre = mine
+                elif similar(centre, mine, similarity):
+                    found.append(i)
+            yield pa.RecordBatch.from_arrays([pa.array(a[found], pa.int64()), pa.array(ids[found], pa.int64())], names=["a", "b"])
+
+    return materialize(rows.mapInArrow(run, "a long, b long"), "links")
+
+
+def likely(rows: DataFrame, keys: DataFrame, key: str, other: bool = False) -> DataFrame:
+    """rows whose key may be among keys (other: those whose key is not), by a broadcast of the keys' hashes modulo BUCKETS: at most BUCKETS numbers."""
+    number = F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+    buckets = F.broadcast(keys.select(number.alias("_bucket")).distinct())
+    return rows.join(buckets, number == F.col("_bucket"), "left_anti" if other else "left_semi")
+
+
+def similar_classes(docs: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE, seeds: int = SEEDS, radius: int = RADIUS) -> DataFrame:
+    """class, root: classes of equal word sequences whose sets of word shingles are similar enough, joined to components.
+
+    A class without a similar one isn't listed. Two sources propose pairs: SimHash fingerprints that BK-trees link, and shingles in common among the
+    first of both texts (a prefix filter, which loses no pair that is similar enough). A shingle's members meet in rounds, first all with one, so
+    that a large group of near copies is joined by about as many pairs as it has members; pairs that are joined aren't compared again. What
+    texts hold in common is computed from their whole shingle sets.
+    """
+    texts = docs.select(class_of().alias("class"), whole_text().alias("text"))
+    sketched = sketches(docs, similarity, size, seeds, radius)
+    alive = shared_prefixes(sketched)
+    rows = alive.withColumn("root", F.col("id"))
+    links = None
+    for k, pivots in enumerate(PIVOTS):
+        pairs, left = prefix_pairs(rows, similarity, pivots)
+        pairs = pairs.union(simhash_pairs(sketched, radius)) if k == 0 else pairs
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        if k:
+            pairs = pairs.join(asked, ["a", "b"], "left_anti")  # noqa: F821
+        pairs = materialize(pairs, "pairs")
+        asked = pairs if k == 0 else asked.union(pairs)  # noqa: F821
+        found = verified(pairs, sketched, texts, similarity, size)
+        links = found if links is None else links.union(found)
+        joined = components(links)
+        if pivots is None:
+            break
+        rows = _rooted(left.drop("root"), joined)
+        open_ = rows.groupBy("shingle").agg(F.min("root").alias("_least"), F.max("root").alias("_most")).where("_least < _most").select("shingle")
+        rows = materialize(rows.join(open_, "shingle"), "open-shingles")
+        if rows.isEmpty():
+            break
+    return joined.join(sketched.select("id", "class"), F.col("node") == F.col("id")).select("class", "root")
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The documents, with all their columns, without those that are copies, or similar enough, to one that stays.
+    """The documents, with all their columns, but one of each group only. A group is a component: texts that are copies or similar enough, linked
+    by others if need be; so two texts of a group may be less similar than the bound.
 
     Of each group the smallest doc_id stays (null only if there is no other); of rows that repeat it, the one with the least
-    digest of all columns.
+    digest of all columns. Empty texts are copies of one another. An empty table gives an empty table.
     """
     names = docs.columns
     whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), class_of().alias("class"))
@@ -388,15 +467,16 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     whole = whole.withColumn("place", order)
     groups = similar_classes(docs, similarity)
     sizes = whole.groupBy("class").agg(F.min("place").alias("least"), F.count("*").alias("n"))
-    sizes = materialize(sizes.join(groups, "class", "left"), "classes")
+    sizes = materialize(sizes.join(groups, "class", "left").where("root is not null or n > 1"), "classes")
     roots = sizes.where("root is not null").groupBy("root").agg(F.min("least").alias("root_least"))
-    # only classes with copies or similar ones have rows to drop
-    listed = sizes.where("root is not null or n > 1").join(roots, "root", "left").select("class", F.coalesce("root_least", "least").alias("least"), "n")
-    rows = lookup(whole, "class", materialize(listed, "winners"), F.xxhash64("row").cast("string"), hint="merge")
+    # only classes with copies or similar ones have rows to drop; of the others most never travel
+    listed = materialize(sizes.join(roots, "root", "left").select("class", F.coalesce("root_least", "least").alias("least"), "n"), "winners")
+    alone = likely(whole, listed, "class", other=True)
+    rows = lookup(likely(whole, listed, "class"), "class", listed, F.xxhash64("row").cast("string"), hint="merge")
     kept = rows.where(F.col("least").isNull() | F.col("least").eqNullSafe(F.col("place")))
-    repeated = materialize(whole.groupBy("place").count().where("count > 1").select("place"), "repeated-rows")
-    if repeated.isEmpty():
-        return kept.select("row.*")
-    # rows that are equal in every column: their places are few, and one of each stays
-    once = kept.join(repeated, "place", "left_anti").select("row.*")
-    return once.unionByName(kept.join(repeated, "place", "left_semi").groupBy("place").agg(F.any_value("row").alias("row")).select("row.*"))
+    # rows that are equal in every column have one class; one of each stays
+    repeated = materialize(likely(whole, listed, "class").groupBy("place").count().where("count > 1").select("place"), "repeated-rows")
+    if not repeated.isEmpty():
+        once = kept.join(repeated, "place", "left_semi").groupBy("place").agg(F.any_value("row").alias("row"))
+        kept = kept.join(repeated, "place", "left_anti").select("row").unionByName(once.select("row"))
+    return alone.select("row.*").unionByName(kept.select("row.*"))
