@@ -515,6 +515,8 @@ def test_languages(spark, docs, odd, empty):
     found = language_id.predict(docs, model).collect()
     out = [r for r in found if r.held_out]
     assert sum(r.lang_pred == truth[r.doc_id] for r in out) >= 0.95 * len(out)
+    length = {r.doc_id: len((r.text or "").encode()) for r in docs.collect()}
+    assert all(r.n_positions == length[r.doc_id] or r.lang_pred == "und" for r in found)  # every byte has a label
     by_id = {r.doc_id: r for r in language_id.predict(odd, model).collect()}
     assert by_id[1].lang_pred == by_id[2].lang_pred == by_id[9].lang_pred == "und" and by_id[9].score == 0 and by_id[7].lang_pred != "und"
     assert language_id.predict(empty, model).count() == 0
@@ -525,29 +527,75 @@ def test_languages(spark, docs, odd, empty):
     assert kept.columns == odd.columns and not {1, 2, 3, 9} & {r.doc_id for r in kept.collect()}
 
 
+def test_equal_texts_have_equal_scores_wherever_they_stand(docs):
+    rng = np.random.default_rng(1)
+    model = language_id.untrained(["a", "b", "c"], rng)
+    texts = [r.text for r in docs.limit(40).collect()]
+    pooler = language_id.Pooler(model)
+    together = pooler.predict(texts)
+    assert together == [pooler.predict([t])[0] for t in texts] == pooler.predict(texts[::-1])[::-1]
+    assert pooler.predict([*texts, *texts])[len(texts) :] == together
+
+
+def test_network_by_plain_loops():
+    """Labels of all positions of a text against the network's formulas, a byte at a time, over each stretch and its context."""
+    rng = np.random.default_rng(2)
+    model = language_id.untrained(["a", "b"], rng, 4)
+    data = bytes(rng.integers(97, 123, 500, dtype=np.uint8))
+    p = {k: v.astype(np.float64) for k, v in model.params.items()}
+    sigmoid = lambda v: 1 / (1 + np.exp(-v))
+    want = []
+    for at in range(0, len(data), language_id.STRETCH):
+        low, high = max(0, at - language_id.CONTEXT), min(len(data), at + language_id.STRETCH + language_id.CONTEXT)
+        side = []
+        for d, name, order in ((0, "pf", range(low, high)), (1, "pb", range(high - 1, low - 1, -1))):
+            h, states = np.zeros(4), {}
+            for i in order:
+                a, x = p["u"][d] @ h, p[name][:, data[i]]
+                z, r = sigmoid(x[:4] + a[:4]), sigmoid(x[4:8] + a[4:8])
+                h = h + z * (np.tanh(x[8:] + r * a[8:]) - h)
+                states[i] = h
+            side.append(states)
+        for i in range(at, min(at + language_id.STRETCH, len(data))):
+            logits = p["v"] @ np.concatenate((side[0][i], side[1][i])) + p["c"]
+            want.append(logits - np.log(np.exp(logits).sum()))
+    got = np.concatenate([lot.transpose(2, 0, 1)[x.T != 256] for lot, x in language_id.Pooler(model).lots([data])])
+    assert np.allclose(got, want, atol=1e-4)
+    lang, score, n, share = language_id.Pooler(model).predict([data.decode()])[0]
+    total = np.sum(want, 0) * language_id.POOL
+    assert lang == "ab"[int(total.argmax())] and n == 500 and score == pytest.approx(1 / np.exp(total - total.max()).sum(), abs=1e-4)
+    assert share == pytest.approx(np.mean(np.argmax(want, 1) == total.argmax()), abs=0.01)
+
+
+def test_thousands_of_languages_are_learnt(spark):
+    rows = [(i, prose(i, 12), f"l{i % 2000}") for i in range(12_000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    chosen = language_id.training_rows(table, 3).groupBy("lang").count().collect()
+    learnable = {lang for i, _, lang in rows if zlib.crc32(str(i).encode()) % 5}
+    assert {r.lang for r in chosen} == learnable and all(1 <= r["count"] <= 3 for r in chosen)
+    model = language_id.fit_model(table, 3, steps=2)
+    assert set(model.languages) == learnable and language_id.Pooler(model).predict(["a word"])[0][0] in learnable
+
+
 def test_gradients_by_differences():
     rng = np.random.default_rng(0)
-    runs, y = [b"abc", b"zq", b"hello"], np.array([0, 1, 2])
-    old = language_id.STEPS
-    language_id.STEPS = 1
-    try:
-        model = language_id.fit([("abc", "x"), ("zq", "y"), ("hello", "z")])
-    finally:
-        language_id.STEPS = old
-    model.params = {k: v.astype(np.float64) + rng.normal(0, 0.1, v.shape) for k, v in model.params.items()}
+    model = language_id.untrained(["x", "y", "z"], rng, 4)
+    model.params = {k: v.astype(np.float64) for k, v in model.params.items()}
+    x, y = language_id.padded([b"abc", b"zq", b"hello"], 6), np.array([0, 1, 2])
 
     def loss():
-        logp, mask = model.positions(runs)
-        return -(logp[:, np.arange(3), y] * mask).sum() / mask.sum()
+        logp, _ = model.positions(x)
+        there = x != 256
+        return -(logp[:, y, np.arange(3)] * there).sum() / there.sum()
 
-    g = language_id._gradient(model, runs, y)
+    g = model.gradient(x, y)
     for name, a in model.params.items():
-        for _ in range(4):
-            at = tuple(rng.integers(0, n) for n in a.shape) if name != "e" else (rng.choice(list(b"abchelo")), rng.integers(0, a.shape[1]))
+        for _ in range(6):
+            at = tuple(rng.integers(0, n) for n in a.shape) if name not in ("pf", "pb") else (rng.integers(0, a.shape[0]), rng.choice(list(b"abchelo")))
             keep = a[at]
-            a[at] = keep + 1e-2
+            a[at] = keep + 1e-5
             up = loss()
-            a[at] = keep - 1e-2
+            a[at] = keep - 1e-5
             down = loss()
             a[at] = keep
-            assert (up - down) / 2e-2 == pytest.approx(g[name][at], abs=2e-3)
+            assert (up - down) / 2e-5 == pytest.approx(g[name][at], abs=1e-7)

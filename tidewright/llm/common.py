@@ -150,3 +150,14 @@ def lookup(rows: DataFrame, key: str, found: DataFrame, apart: Column, hint: str
     out = out.join(cold, F.col("_cold") == F.col("_key"), "left")
     row = F.coalesce("_hot_row", "_row")
     return out.select(*names, *(row[v].alias(v) for v in values))
+
+
+#: Numbers of a broadcast that tells which rows can't be wanted.
+BUCKETS = 1 << 20
+
+
+def likely(rows: DataFrame, keys: DataFrame, key: str, other: bool = False) -> DataFrame:
+    """rows whose key may be among keys (other: those whose key is not), by a broadcast of the keys' hashes modulo BUCKETS: at most BUCKETS numbers."""
+    number = F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+    buckets = F.broadcast(keys.select(number.alias("_bucket")).distinct())
+    return rows.join(buckets, number == F.col("_bucket"), "left_anti" if other else "left_semi")

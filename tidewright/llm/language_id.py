@@ -1,95 +1,123 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
-Runs of letters, lower-cased, are read byte by byte in both directions; each byte's two states give probabilities of the languages,
-which label that position. A document pools its positions: a run counts with the mean log-probability of its bytes, and the
-sum over all runs goes through a softmax. The network is trained in numpy by backpropagation through time, on runs of a bounded
-sample of labelled documents, each language with equal weight.
-
-States start anew at each run, so that equal runs have equal labels: a task evaluates each distinct run once, in batches, and keeps
-the sums in a table of bounded size. Runs longer than WINDOW characters are read in windows. All bytes of letters count.
-
-A null text, and one without a letter, is und with score 0. Rows without lang aren't learnt from. With no labelled row everything is und.
-With one language it is that one. Equal scores: the first language in order. Repeated rows get equal rows; columns beside doc_id
-and text are ignored.
+A text's bytes (UTF-8, A-Z lower-cased), all of them, are read in both directions; each byte's two states give probabilities of the languages,
+which label that position. A document pools its positions: the sum of their log-probabilities, scaled by POOL as neighbours
+depend on one another, goes through a softmax. The network is trained in numpy by backpropagation through time, on windows of a
+bounded sample of labelled documents, each language with equal weight.
+
+The network's memory is CONTEXT bytes: a text is read in stretches of STRETCH bytes, each with the CONTEXT bytes before and after it, over
+which the states build up. Stretches are evaluated in batches of one fixed shape, and sums are taken in float64 by document, so that
+equal texts get equal results to the last bit, whatever stands beside them.
+
+A null text, and one without a letter, is und with score 0. Rows without lang aren't learnt from. With no labelled row, or an empty table to learn
+from, everything is und; an empty table to predict gives an empty table. With one language it is that one. Equal scores: the first language
+in order. Long texts are whole: they only give more stretches. Repeated rows get equal rows; columns beside doc_id and text are ignored.
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import FLUSH_ROWS, _arrow_schema, held_out, map_rows, whole_text
+from .common import _arrow_schema, held_out, likely, map_rows, whole_text
 
-#: Labelled documents that a fit takes at most, of each language.
+#: Labelled documents that a fit takes at most of each language, and of all languages about (no language gets a share under LEAST_DOCS).
 FIT_DOCS = 400
-#: Runs that a fit takes at most, of each language.
-FIT_RUNS = 12_000
-WINDOW = 24
-HIDDEN = 16
-EMBED = 12
-STEPS = 500
-BATCH = 384
-RATE = 0.01
-#: Distinct runs whose sums a task keeps.
-KEPT_RUNS = 400_000
+FIT_ALL = 40_000
+LEAST_DOCS = 10
+HIDDEN = 12
+STEPS = 350
+#: Windows of a training step and their bytes.
+BATCH = 128
+WINDOW = 96
+RATE = 0.02
+STRETCH = 224
+CONTEXT = 16
+#: Stretches of a batch; every batch has this shape.
+LOT = 1024
+#: Documents' bytes and rows that a task predicts at a time.
+CHUNK_BYTES = 4 << 20
+CHUNK_ROWS = 2048
+POOL = 1 / 16
 UND = "und"
+#: Stands where a text has no byte; it leaves the state as it is.
+_NONE = 256
 
-_RUN = re.compile(r"[^\W\d_]{1,%d}" % WINDOW)
+
+def _table(p: np.ndarray) -> np.ndarray:
+    """Projections of the 256 bytes (3H, 256) and, in a further column, of no byte: its update gate is 0 exactly."""
+    n = len(p) // 3
+    none = np.zeros((len(p), 1), p.dtype)
+    none[:n] = -200
+    return np.concatenate((p, none), 1)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 + 0.5 * np.tanh(0.5 * x)
-
-
-class Direction:
-    """A gated recurrent layer that reads one way. Gates in order: update, reset, candidate."""
-
-    def __init__(self, w: np.ndarray, u: np.ndarray, b: np.ndarray) -> None:
-        self.w, self.u, self.b = w, u, b
-
-    def forward(self, x: np.ndarray, mask: np.ndarray, keep: list | None = None) -> np.ndarray:
-        """States (T, B, H) of projected inputs (T, B, 3H); where the mask is 0 the state stays."""
-        steps, batch, _ = x.shape
-        n = self.u.shape[0]
-        h = np.zeros((batch, n), np.float32)
-        out = np.empty((steps, batch, n), np.float32)
-        for t in range(steps):
-            gates = _sigmoid(x[t, :, : 2 * n] + h @ self.u[:, : 2 * n])
-            z, r = gates[:, :n], gates[:, n:]
-            rh = r * h
-            c = np.tanh(x[t, :, 2 * n :] + rh @ self.u[:, 2 * n :])
-            m = mask[t][:, None]
-            new = h + m * z * (c - h)
-            if keep is not None:
-                keep.append((h, z, r, rh, c, m))
-            h = new
-            out[t] = h
-        return out
+    """In place."""
+    x *= 0.5
+    np.tanh(x, out=x)
+    x += 1
+    x *= 0.5
+    return x
 
-    def backward(self, d_out: np.ndarray, kept: list, d_u: np.ndarray) -> np.ndarray:
-        """The gradient of the projected inputs; adds that of u."""
-        steps, batch, n = d_out.shape
-        d_x = np.empty((steps, batch, 3 * n), np.float32)
-        d_h = np.zeros((batch, n), np.float32)
-        for t in range(steps - 1, -1, -1):
-            h, z, r, rh, c, m = kept[t]
-            d = d_h + d_out[t]
-            dm = d * m
-            d_c = dm * z * (1 - c * c)
-            d_z = dm * (c - h) * z * (1 - z)
-            d_rh = d_c @ self.u[:, 2 * n :].T
-            d_r = d_rh * h * r * (1 - r)
-            d_gates = np.concatenate((d_z, d_r), 1)
-            d_x[t, :, : 2 * n], d_x[t, :, 2 * n :] = d_gates, d_c
-            d_u[:, : 2 * n] += h.T @ d_gates
-            d_u[:, 2 * n :] += rh.T @ d_c
-            d_h = d - dm * z + d_rh * r + d_gates @ self.u[:, : 2 * n].T
-        return d_x
+
+def states(p: list[np.ndarray], u: np.ndarray, x: np.ndarray, keep: list | None = None) -> np.ndarray:
+    """States (T, 2, H, B) of bytes x (T, B), forward and backward in time; gates in order: update, reset, candidate.
+
+    p: the projections of each direction; u: the recurrent weights (2, 3H, H). The second direction's states stand at the places of their bytes.
+    """
+    steps, batch = x.shape
+    n = u.shape[2]
+    h = np.zeros((2, n, batch), u.dtype)
+    out = np.empty((steps, 2, n, batch), u.dtype)
+    fed = np.empty((2, 3 * n, batch), u.dtype)
+    for t in range(steps):
+        np.take(p[0], x[t], axis=1, out=fed[0], mode="clip")
+        np.take(p[1], x[steps - 1 - t], axis=1, out=fed[1], mode="clip")
+        a = np.matmul(u, h)
+        inner = a[:, 2 * n :].copy() if keep is not None else None
+        gates = a[:, : 2 * n]
+        gates += fed[:, : 2 * n]
+        _sigmoid(gates)
+        c = a[:, 2 * n :]
+        c *= gates[:, n:]
+        c += fed[:, 2 * n :]
+        np.tanh(c, out=c)
+        new = c - h
+        new *= gates[:, :n]
+        new += h
+        if keep is not None:
+            keep.append((h, gates[:, :n], gates[:, n:], inner, c))
+        h = new
+        out[t, 0] = h[0]
+        out[steps - 1 - t, 1] = h[1]
+    return out
+
+
+def through_time(u: np.ndarray, x: np.ndarray, kept: list, d_out: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Gradients of u and of both directions' projections, from those of the states, backwards through time."""
+    steps, batch = x.shape
+    n = u.shape[2]
+    d_u, d_h = np.zeros_like(u), np.zeros((2, n, batch), u.dtype)
+    d_p = [np.zeros((_NONE + 1, 3 * n), u.dtype) for _ in range(2)]
+    d_fed = np.empty((steps, 2, 3 * n, batch), u.dtype)
+    for t in range(steps - 1, -1, -1):
+        h, z, r, inner, c = kept[t]
+        d = d_h + np.stack((d_out[t, 0], d_out[steps - 1 - t, 1]))
+        d_c = d * z * (1 - c * c)
+        d_z = d * (c - h) * z * (1 - z)
+        d_r = d_c * inner * r * (1 - r)
+        d_fed[t] = np.concatenate((d_z, d_r, d_c), 1)
+        d_a = np.concatenate((d_z, d_r, d_c * r), 1)
+        d_u += d_a @ h.transpose(0, 2, 1)
+        d_h = d * (1 - z) + u.transpose(0, 2, 1) @ d_a
+    for way, order in ((0, x), (1, x[::-1])):
+        np.add.at(d_p[way], order.ravel(), d_fed[:, way].transpose(0, 2, 1).reshape(-1, 3 * n))
+    return d_u, [g[:_NONE].T for g in d_p]
 
 
 @dataclass
@@ -97,136 +125,111 @@ class Model:
     languages: list[str]
     params: dict[str, np.ndarray]
 
-    def _pad(self, runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        longest = max(map(len, runs))
-        x = np.frombuffer(b"".join(r.ljust(longest, b"\0") for r in runs), np.uint8).reshape(len(runs), longest).T
-        lengths = np.fromiter(map(len, runs), np.int64, len(runs))
-        return x, (np.arange(longest)[:, None] < lengths).astype(np.float32)
-
-    def _states(self, x: np.ndarray, mask: np.ndarray, kept: tuple[list, list] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def positions(self, x: np.ndarray, keep: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Log-probabilities (T, languages, B) of the positions of x (T, B), and the states."""
         p = self.params
-        forth, back = (Direction(p["w" + d], p["u" + d], p["b" + d]) for d in "fb")
-        projected_f, projected_b = p["e"] @ forth.w + forth.b, p["e"] @ back.w + back.b  # 256 rows, for all positions at once
-        hf = forth.forward(projected_f[x], mask, kept and kept[0])
-        hb = back.forward(projected_b[x[::-1]], mask[::-1], kept and kept[1])[::-1]
-        return hf, hb
-
-    def positions(self, runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Log-probabilities (T, B, languages) of the positions of runs, and the mask of those that exist."""
-        x, mask = self._pad(runs)
-        hf, hb = self._states(x, mask)
-        n = hf.shape[2]
-        logits = hf @ self.params["v"][:n] + hb @ self.params["v"][n:] + self.params["c"]
-        logits -= logits.max(2, keepdims=True)
-        return logits - np.log(np.exp(logits).sum(2, keepdims=True)), mask
-
-    def run_sums(self, runs: list[bytes]) -> np.ndarray:
-        """Each run's mean log-probabilities. Runs go in order of their lengths, in batches."""
-        order = sorted(range(len(runs)), key=lambda i: len(runs[i]))
-        out = np.empty((len(runs), len(self.languages)), np.float32)
-        for start in range(0, len(order), 2048):
-            part = order[start : start + 2048]
-            logp, mask = self.positions([runs[i] for i in part])
-            out[part] = (logp * mask[:, :, None]).sum(0) / mask.sum(0)[:, None]
-        return out
+        s = states([_table(p["pf"]), _table(p["pb"])], p["u"], x, keep)
+        flat = s.reshape(len(s), -1, s.shape[3])
+        logits = np.matmul(p["v"], flat)
+        logits += p["c"][:, None]
+        logits -= logits.max(1, keepdims=True)
+        logits -= np.log(np.exp(logits).sum(1, keepdims=True))
+        return logits, s
+
+    def gradient(self, x: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the mean negative log-probability of labels y (B) over all positions that have a byte."""
+        p, kept = self.params, []
+        d, s = self.positions(x, kept)
+        np.exp(d, out=d)
+        d[:, y, np.arange(len(y))] -= 1
+        there = x != _NONE
+        d *= (there / there.sum()).astype(d.dtype)[:, None, :]
+        flat = s.reshape(len(s), -1, s.shape[3])
+        d_s = np.matmul(p["v"].T, d).reshape(s.shape)
+        d_u, (d_f, d_b) = through_time(p["u"], x, kept, d_s)
+        return {"v": np.tensordot(d, flat, ((0, 2), (0, 2))), "c": d.sum((0, 2)), "u": d_u, "pf": d_f, "pb": d_b}
+
+
+def letters_of(text: str) -> bytes:
+    return text.encode().lower()
+
 
+def has_letter(text: str | None) -> bool:
+    return bool(text) and any(map(str.isalpha, text))
 
-def runs_of(text: str) -> list[str]:
-    return _RUN.findall(text.lower())
 
+def padded(pieces: list[bytes], width: int) -> np.ndarray:
+    """Bytes by place and piece (width, n); _NONE beyond a piece's end."""
+    flat = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8).reshape(len(pieces), width).astype(np.intp)
+    lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    flat[np.arange(width) >= lengths[:, None]] = _NONE
+    return np.ascontiguousarray(flat.T)
 
-def has_letter(runs: list[str]) -> bool:
-    """Runs may also hold numerals that are no digits, such as fractions; those alone aren't language."""
-    return any(map(str.isalpha, runs)) or any(c.isalpha() for r in runs for c in r)
 
+def untrained(languages: list[str], rng: np.random.Generator, hidden: int = HIDDEN) -> Model:
+    k = len(languages)
+    normal = lambda scale, *shape: rng.normal(0, scale, shape).astype(np.float32)
+    near = 1 / np.sqrt(hidden)
+    return Model(languages, {"pf": normal(0.4, 3 * hidden, 256), "pb": normal(0.4, 3 * hidden, 256), "u": normal(near, 2, 3 * hidden, hidden), "v": normal(near, k, 2 * hidden), "c": np.zeros(k, np.float32)})
 
-def fit(samples: list[tuple[str, str]], seed: int = 7) -> Model:
-    """Trains on (run, language) pairs by backpropagation through time, with Adam."""
+
+def fit(samples: list[tuple[bytes, str]], seed: int = 7, steps: int = STEPS) -> Model:
+    """Trains on (bytes, language) pairs by backpropagation through time, with Adam. A step takes windows of as many languages as it can."""
     languages = sorted({lang for _, lang in samples})
     rng = np.random.default_rng(seed)
     if len(languages) < 2:
         return Model(languages, {})
-    code = {lang: i for i, lang in enumerate(languages)}
-    by_language = [[run.encode() for run, lang in samples if code[lang] == k] for k in range(len(languages))]
-    normal = lambda *shape: rng.normal(0, 1 / np.sqrt(shape[0]), shape).astype(np.float32)
-    h, e, k = HIDDEN, EMBED, len(languages)
-    p = {"e": rng.normal(0, 0.5, (256, e)).astype(np.float32), "v": normal(2 * h, k), "c": np.zeros(k, np.float32)}
-    for d in "fb":
-        p |= {"w" + d: normal(e, 3 * h), "u" + d: normal(h, 3 * h), "b" + d: np.zeros(3 * h, np.float32)}
-    model = Model(languages, p)
+    by_language: dict[str, list[bytes]] = {lang: [] for lang in languages}
+    for data, lang in samples:
+        by_language[lang].append(data)
+    model = untrained(languages, rng)
+    p = model.params
     first, second = ({name: np.zeros_like(a) for name, a in p.items()} for _ in range(2))
-    share = max(1, BATCH // k)
-    for step in range(1, STEPS + 1):
-        runs = [by_language[j][i] for j in range(k) for i in rng.integers(0, len(by_language[j]), share)]
-        y = np.repeat(np.arange(k), share)
-        g = _gradient(model, runs, y)
-        rate = RATE * (1 - step / (STEPS + 1)) + 1e-4
+    k = len(languages)
+    for step in range(1, steps + 1):
+        y = np.repeat(np.arange(k), BATCH // k) if k <= BATCH else rng.choice(k, BATCH, replace=False)
+        pieces = []
+        for j in y:
+            texts = by_language[languages[j]]
+            data = texts[rng.integers(len(texts))]
+            start = int(rng.integers(max(1, len(data) - WINDOW + 1)))
+            pieces.append(data[start : start + WINDOW])
+        g = model.gradient(padded(pieces, WINDOW), y)
+        rate = RATE * (1 - step / (steps + 1)) + 1e-4
         for name, a in p.items():
             first[name] += 0.1 * (g[name] - first[name])
             second[name] += 0.01 * (g[name] ** 2 - second[name])
-            a -= rate * (first[name] / (1 - 0.9**step)) / (np.sqrt(second[name] / (1 - 0.99**step)) + 1e-8)
+            a -= (rate * (first[name] / (1 - 0.9**step)) / (np.sqrt(second[name] / (1 - 0.99**step)) + 1e-8)).astype(a.dtype)
     return model
 
 
-def _gradient(model: Model, runs: list[bytes], y: np.ndarray) -> dict[str, np.ndarray]:
-    p = model.params
-    x, mask = model._pad(runs)
-    kept: tuple[list, list] = ([], [])
-    hf, hb = model._states(x, mask, kept)
-    n = hf.shape[2]
-    logits = hf @ p["v"][:n] + hb @ p["v"][n:] + p["c"]
-    logits -= logits.max(2, keepdims=True)
-    d = np.exp(logits)
-    d /= d.sum(2, keepdims=True)
-    d[:, np.arange(len(y)), y] -= 1
-    d *= mask[:, :, None] / mask.sum()
-    g = {"v": np.concatenate((np.tensordot(hf, d, ((0, 1), (0, 1))), np.tensordot(hb, d, ((0, 1), (0, 1))))), "c": d.sum((0, 1)), "e": np.zeros_like(p["e"])}
-    for name, way, d_h, xs in (("f", 0, d @ p["v"][:n].T, x), ("b", 1, (d @ p["v"][n:].T)[::-1], x[::-1])):
-        layer = Direction(p["w" + name], p["u" + name], p["b" + name])
-        g["u" + name] = np.zeros_like(layer.u)
-        d_x = layer.backward(d_h, kept[way], g["u" + name])
-        flat = np.zeros((256, d_x.shape[2]), np.float32)
-        np.add.at(flat, xs.ravel(), d_x.reshape(-1, d_x.shape[2]))
-        g["w" + name], g["b" + name] = p["e"].T @ flat, flat.sum(0)
-        g["e"] += flat @ layer.w.T
-    return {name: a.astype(np.float32) for name, a in g.items()}
-
-
 def training_rows(docs: DataFrame, fit_docs: int = FIT_DOCS) -> DataFrame:
-    """doc_id, text and lang of at most fit_docs labelled documents of each language, none held out, by a hash of doc_id.
+    """doc_id, text and lang of at most fit_docs labelled documents of each language, none held out, the first by a hash of doc_id.
 
-    The languages are counted first. Each language's hashes are cut at the bound's share of its count, which leaves about the bound;
-    a language of any size thus gives few rows before they meet.
+    Languages aren't limited: their counts are a table, with which ids (not texts) are cut at about the bound's share of each
+    language before those that are left are ranked. With many languages each gets fewer, FIT_ALL among them, but LEAST_DOCS at least.
+    Of rows that repeat an id and a language the least text counts.
     """
-    rows = docs.select("doc_id", whole_text().alias("text"), "lang").where(F.col("lang").isNotNull() & ~held_out() & F.col("text").rlike(r"\p{L}"))
-    counts = {r["lang"]: r["count"] for r in docs.where(F.col("lang").isNotNull()).groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(1000).collect()}
-    if not counts:
-        return rows.limit(0)
-    cut = F.lit(-1.0)
-    for lang, n in counts.items():
-        cut = F.when(F.col("lang") == lang, min(1.0, 1.25 * fit_docs / n)).otherwise(cut)
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    return rows.where(place < cut)
-
-
-def fit_model(docs: DataFrame, fit_docs: int = FIT_DOCS, fit_runs: int = FIT_RUNS) -> Model:
-    """Fits in one task over the bounded sample; the network, a few thousand numbers, comes to the driver."""
+    rows = docs.select("doc_id", whole_text().alias("text"), "lang").where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out() & F.col("text").rlike(r"\p{L}"))
+    ids = rows.select("doc_id", "lang")
+    counts = ids.groupBy("lang").agg(F.count("*").alias("n"))
+    languages = counts.count()
+    bound = min(fit_docs, max(LEAST_DOCS, FIT_ALL // max(1, languages)))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    some = ids.distinct().join(counts, "lang").where(place <= (1 << 30) * F.least(F.lit(1.0), F.lit(2.0 * bound) / F.col("n") + F.lit(40.0) / F.col("n")))
+    w = Window.partitionBy("lang").orderBy(place, "doc_id")
+    chosen = some.withColumn("k", F.row_number().over(w)).where(F.col("k") <= bound).select("doc_id", "lang")
+    found = likely(rows, chosen, "doc_id").join(chosen, ["doc_id", "lang"], "left_semi")
+    return found.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).select("doc_id", "text", "lang")
+
+
+def fit_model(docs: DataFrame, fit_docs: int = FIT_DOCS, steps: int = STEPS) -> Model:
+    """Fits in one task over the bounded sample; the network, some ten thousand numbers and as many more as languages ask, comes to the driver."""
     import pickle
 
     def run(batches):
-        by_language: dict[str, list[tuple]] = {}
-        for b in batches:
-            for r in b.to_pylist():
-                by_language.setdefault(r["lang"], []).append((r["doc_id"], r["text"]))
-        rng = np.random.default_rng(11)
-        samples = []
-        for lang in sorted(by_language):
-            rows = sorted(by_language[lang], key=lambda r: (r[0] is None, r[0] or 0, r[1]))[: 2 * fit_docs]
-            found = [x for _, text in rows for x in runs_of(text)]
-            if len(found) > fit_runs:
-                found = [found[i] for i in rng.choice(len(found), fit_runs, replace=False)]
-            samples += [(x, lang) for x in found]
-        model = fit(samples)
+        rows = sorted((r["lang"], r["doc_id"], r["text"]) for b in batches for r in b.to_pylist())
+        model = fit([(letters_of(text), lang) for lang, _, text in rows], steps=steps)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((model.languages, model.params))], pa.binary())], ["model"])
 
     found = training_rows(docs, fit_docs).repartition(1).mapInArrow(run, "model binary").collect()
@@ -235,75 +238,101 @@ def fit_model(docs: DataFrame, fit_docs: int = FIT_DOCS, fit_runs: int = FIT_RUN
 
 
 class Pooler:
-    """Predicts documents in batches; each distinct run is evaluated once while it stays in the table."""
+    """Predicts documents: every byte gets a label, and a document the pool of its positions."""
 
     def __init__(self, model: Model) -> None:
-        self.model, self.rows = model, {}
-        self.sums = np.empty((0, len(model.languages)), np.float32)
-
-    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        self.model = model
+
+    def lots(self, texts: list[bytes]):
+        """Log-probabilities (STRETCH, languages, n) and bytes (STRETCH, n) of the texts' stretches in order, in batches of LOT."""
+        width = STRETCH + 2 * CONTEXT
+        front = b"\0" * CONTEXT
+        pieces, firsts = [], []
+        for data in texts:
+            for at in range(0, len(data), STRETCH):
+                firsts.append(at == 0)
+                pieces.append((front + data[: STRETCH + CONTEXT]) if at == 0 else data[at - CONTEXT : at + STRETCH + CONTEXT])
+        for start in range(0, len(pieces), LOT):
+            part = pieces[start : start + LOT]
+            n = len(part)
+            x = padded(part + [b""] * (LOT - n), width)
+            x[:CONTEXT, :n][:, firsts[start : start + LOT]] = _NONE
+            logp, _ = self.model.positions(x)
+            yield logp[CONTEXT : CONTEXT + STRETCH, :, :n], x[CONTEXT : CONTEXT + STRETCH, :n]
+
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float, int, float]]:
+        """Language, score, labelled positions and the share of them with that language's label."""
         languages = self.model.languages
-        all_runs = [runs_of(t) if t else [] for t in texts]
         if not languages:
-            return [(UND, 0.0)] * len(texts)
+            return [(UND, 0.0, 0, 0.0)] * len(texts)
+        read = [letters_of(t) if has_letter(t) else b"" for t in texts]
         if len(languages) == 1:
-            return [(languages[0], 1.0) if has_letter(runs) else (UND, 0.0) for runs in all_runs]
-        if len(self.rows) > KEPT_RUNS:
-            self.rows, self.sums = {}, self.sums[:0]
-        flat = [r for runs in all_runs for r in runs]
-        missing = [r for r in dict.fromkeys(flat) if r not in self.rows]
-        if missing:
-            self.rows.update(zip(missing, range(len(self.sums), len(self.sums) + len(missing)), strict=True))
-            self.sums = np.concatenate((self.sums, self.model.run_sums([r.encode() for r in missing])))
-        places = np.fromiter(map(self.rows.__getitem__, flat), np.int64, len(flat))
-        running = np.zeros((len(flat) + 1, len(languages)))
-        np.cumsum(self.sums[places], axis=0, dtype=np.float64, out=running[1:])
-        ends = np.cumsum([len(runs) for runs in all_runs])
+            return [(languages[0], 1.0, len(data), 1.0) if data else (UND, 0.0, 0, 0.0) for data in read]
+        sums, labels = [], []
+        for logp, x in self.lots(read):
+            there = x != _NONE
+            sums.append((logp * there[:, None, :]).sum(0, dtype=np.float64).T)
+            best = logp.argmax(1)
+            labels.append(np.stack([((best == k) & there).sum(0) for k in range(len(languages))], 1) if len(languages) <= 64 else np.apply_along_axis(np.bincount, 0, np.where(there, best, len(languages)), None, len(languages) + 1).T[:, :-1])
+        counts = [-(-len(data) // STRETCH) for data in read]
+        ends = np.cumsum(counts)
         out = []
-        for runs, end in zip(all_runs, ends, strict=True):
-            if not has_letter(runs):
-                out.append((UND, 0.0))
+        whole, seen = (np.concatenate(part) if part else None for part in (sums, labels))
+        for data, n, end in zip(read, counts, ends, strict=True):
+            if not n:
+                out.append((UND, 0.0, 0, 0.0))
                 continue
-            total = running[end] - running[end - len(runs)]
-            total = np.exp(total - total.max())
+            total = np.zeros(len(languages))
+            for row in whole[end - n : end]:
+                total += row
             best = int(total.argmax())
-            out.append((languages[best], float(total[best] / total.sum())))
+            p = np.exp(POOL * (total - total[best]))
+            out.append((languages[best], float(1 / p.sum()), len(data), float(seen[end - n : end, best].sum() / len(data))))
         return out
 
 
+def chunks(batch: pa.RecordBatch, at: int):
+    """Slices of a batch of bounded rows and bytes, with the texts of column at."""
+    texts = batch.column(at).to_pylist()
+    start, held = 0, 0
+    for i, text in enumerate(texts):
+        held += len(text or "")
+        if held >= CHUNK_BYTES or i + 1 - start >= CHUNK_ROWS or i + 1 == len(texts):
+            yield batch.slice(start, i + 1 - start), texts[start : i + 1]
+            start, held = i + 1, 0
+
+
 def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, held_out, lang_pred and score of every document."""
-    schema = "doc_id long, held_out boolean, lang_pred string, score double"
+    """doc_id, held_out, lang_pred, score, n_positions (bytes that got a label) and label_share (of lang_pred among them) of every document."""
+    schema = "doc_id long, held_out boolean, lang_pred string, score double, n_positions long, label_share double"
     arrow = _arrow_schema(docs.sparkSession, schema)
 
     def run(batches):
         pooler = Pooler(model)
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                found = pooler.predict(part.column(2).to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array([lang for lang, _ in found], pa.string()), pa.array([p for _, p in found], pa.float64())], schema=arrow
-                )
+            for part, texts in chunks(batch, 2):
+                lang, score, n, share = zip(*pooler.predict(texts), strict=True)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(n, pa.int64()), pa.array(share, pa.float64())], schema=arrow)
 
     return docs.select("doc_id", held_out().alias("held_out"), "text").mapInArrow(run, schema)
 
 
 def label_positions(docs: DataFrame, model: Model) -> DataFrame:
-    """Per run of letters its place (characters) and the language of each of its bytes: doc_id, start, labels."""
+    """Per stretch of STRETCH bytes its place in the text's bytes and the language of each of its bytes: doc_id, start, labels."""
 
     def make():
+        pooler = Pooler(model)
+
         def one(row):
-            text = row["text"]
-            found = list(_RUN.finditer(text))
-            if not found or len(model.languages) < 2:
-                return [(row["doc_id"], m.start(), [(model.languages or [UND])[0]] * len(m.group().lower().encode())) for m in found]
-            runs = [m.group().lower().encode() for m in found]
-            out = []
-            for at in range(0, len(runs), 2048):
-                logp, _ = model.positions(runs[at : at + 2048])
-                best = logp.argmax(2)
-                out += [(row["doc_id"], m.start(), [model.languages[best[t, i]] for t in range(len(r))]) for i, (m, r) in enumerate(zip(found[at : at + 2048], runs[at : at + 2048], strict=True))]
+            data = letters_of(row["text"])
+            if len(model.languages) < 2:
+                return [(row["doc_id"], at, (model.languages or [UND]) * len(data[at : at + STRETCH])) for at in range(0, len(data), STRETCH)]
+            out, at = [], 0
+            for logp, x in pooler.lots([data]):
+                best, there = logp.argmax(1), x != _NONE
+                for i in range(best.shape[1]):
+                    out.append((row["doc_id"], at, [model.languages[k] for k in best[there[:, i], i]]))
+                    at += STRETCH
             return out
 
         return one
@@ -316,7 +345,11 @@ LEAST_SCORE = 0.5
 
 
 def keep_identified(docs: DataFrame, model: Model | None = None, least_score: float = LEAST_SCORE) -> DataFrame:
-    """The documents, with all their columns, whose language is identified; und and doubtful ones go."""
+    """The documents, with all their columns, whose language is identified; und (null texts, texts without a letter) and doubtful ones go.
+
+    The network is trained on the documents themselves unless one is given; where none has a language, all are und and go. Rows that
+    repeat stay or go alike; an empty table gives an empty table.
+    """
     model = model or fit_model(docs)
     source = docs.schema
     names = [f"`{c}`" for c in docs.columns]
@@ -325,9 +358,7 @@ def keep_identified(docs: DataFrame, model: Model | None = None, least_score: fl
     def run(batches):
         pooler = Pooler(model)
         for batch in batches:
-            for start in range(0, batch.num_rows, FLUSH_ROWS // 8):
-                part = batch.slice(start, FLUSH_ROWS // 8)
-                found = pooler.predict(part.column(at).to_pylist())
-                yield part.filter(pa.array([lang != UND and p >= least_score for lang, p in found], pa.bool_()))
+            for part, texts in chunks(batch, at):
+                yield part.filter(pa.array([found[0] != UND and found[1] >= least_score for found in pooler.predict(texts)], pa.bool_()))
 
     return docs.select(*names).mapInArrow(run, source)

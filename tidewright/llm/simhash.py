@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import lookup, map_rows, materialize, whole_text
+from .common import likely, lookup, map_rows, materialize, whole_text
 from .components import components
 
 SEED = 42
@@ -218,8 +218,6 @@ FREQUENT_LEAST = 3
 PIVOTS = (1, 16, None)
 #: Stretches into which the pairs of one text are dealt.
 BLOCKS = 256
-#: Keys of a broadcast that tells which texts can't be wanted.
-BUCKETS = 1 << 20
 #: Classes that a task remembers, so as to sketch copies once.
 SEEN = 500_000
 
@@ -386,7 +384,7 @@ def prefix_pairs(rows: DataFrame, similarity: float, pivots: int | None) -> tupl
 def verified(pairs: DataFrame, sketched: DataFrame, texts: DataFrame, similarity: float, size: int) -> DataFrame:
     """The pairs (a, b) whose texts' shingle sets are similar enough; written to the shared folder.
 
-    texts: class and text. Only texts of wanted classes travel (those that a broadcast of at most BUCKETS numbers can't rule out, then by class), one
+    texts: class and text. Only texts of wanted classes travel (those that a broadcast of bounded size can't rule out, then by class), one
     of each class. The pairs of a text a are dealt to BLOCKS stretches; in each, a comes first and the others stream past it.
     """
     dealt = pairs.select("a", F.pmod(F.xxhash64("b"), F.lit(BLOCKS)).cast("int").alias("block"), "b")
@@ -413,13 +411,6 @@ def verified(pairs: DataFrame, sketched: DataFrame, texts: DataFrame, similarity
     return materialize(rows.mapInArrow(run, "a long, b long"), "links")
 
 
-def likely(rows: DataFrame, keys: DataFrame, key: str, other: bool = False) -> DataFrame:
-    """rows whose key may be among keys (other: those whose key is not), by a broadcast of the keys' hashes modulo BUCKETS: at most BUCKETS numbers."""
-    number = F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
-    buckets = F.broadcast(keys.select(number.alias("_bucket")).distinct())
-    return rows.join(buckets, number == F.col("_bucket"), "left_anti" if other else "left_semi")
-
-
 def similar_classes(docs: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE, seeds: int = SEEDS, radius: int = RADIUS) -> DataFrame:
     """class, root: classes of equal word sequences whose sets of word shingles are similar enough, joined to components.
 
