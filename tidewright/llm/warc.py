@@ -7,7 +7,10 @@ end in the next range. Inside a member nothing is scanned, as the inflater tells
 Archives lie in the shared folder, through pyarrow's file systems (local, HDFS, S3 and others, by the URI). Each writing task makes a
 file of its own name and the manifest, a table, lists the files of the tasks that counted; what a lost task has left isn't in it.
 
-A null payload is empty. Of records with equal payloads of min_bytes or more, the one with the largest page_id is a response and the
+A URL with control characters or spaces is percent-encoded in WARC-Target-URI, and stands as it is, encoded whole, in X-Page-URL: no URL can break
+a header, and the exact one is read back. What is read is counted against the manifest; a record that is missing is an error.
+
+A null payload is empty, a null URL too. Very long payloads are whole: a record may be larger than a range, and is read by the task that owns its start. Of records with equal payloads of min_bytes or more, the one with the largest page_id is a response and the
 others revisit it. Rows that repeat a page_id are all written: where the largest id itself repeats, all its rows are responses. A null
 page_id comes before all others. Columns beside page_id, url and html are ignored; an empty table gives no archive.
 """
@@ -16,9 +19,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -29,11 +34,28 @@ from .common import _arrow_schema, drop_folder, lookup, map_rows, materialize, n
 MAGIC = b"\x1f\x8b\x08"
 #: Bytes of an archive that a reading task owns.
 SPLIT_BYTES = 8 << 20
+#: Reading tasks at most; with more ranges each task reads several.
+MOST_TASKS = 20_000
 #: Bytes after which a writing task opens its next archive.
 ARCHIVE_BYTES = 256 << 20
 _READ = 1 << 20
 
 
+_BREAKS = re.compile("[\x00-\x20\x7f]")
+
+
+def target(url: str) -> list[str]:
+    """The headers that hold a URL."""
+    if not _BREAKS.search(url):
+        return [f"WARC-Target-URI: {url}"]
+    return [f"WARC-Target-URI: {_BREAKS.sub(lambda m: quote(m.group()), url)}", f"X-Page-URL: {quote(url, safe='')}"]
+
+
+def url_of(headers: dict[str, str]) -> str | None:
+    exact = headers.get("x-page-url")
+    return headers.get("warc-target-uri") if exact is None else unquote(exact)
+
+
 def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
@@ -43,7 +65,7 @@ def record(kind: str, url: str, page_id: int | None, payload: bytes, payload_dig
     number = "null" if page_id is None else str(page_id)
     lines = [
         "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{number}')}>", "WARC-Date: 2024-01-01T00:00:00Z",
-        f"WARC-Target-URI: {url}", f"WARC-Payload-Digest: sha1:{payload_digest}", f"X-Page-ID: {number}", f"X-Payload-Length: {len(payload)}",
+        *target(url), f"WARC-Payload-Digest: sha1:{payload_digest}", f"X-Page-ID: {number}", f"X-Payload-Length: {len(payload)}",
     ]
     if kind == "revisit":
         lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{refers_to}')}>", f"X-Refers-To-Page: {refers_to}"]
@@ -226,20 +248,24 @@ def read_archives(ranges: DataFrame, with_payload: bool = False) -> DataFrame:
                 said = h.get("warc-payload-digest", "").removeprefix("sha1:")
                 length = int(h.get("x-payload-length", len(block))) if kind == "revisit" else len(block)
                 number = lambda key, h=h: int(h[key]) if h.get(key, "").lstrip("-").isdigit() else None
-                out.append((row["path"], offset, number("x-page-id"), h.get("warc-target-uri"), block if with_payload else None, length, said, kind, number("x-refers-to-page"), kind == "revisit" or digest(block) == said))
+                out.append((row["path"], offset, number("x-page-id"), url_of(h), block if with_payload else None, length, said, kind, number("x-refers-to-page"), kind == "revisit" or digest(block) == said))
         return out
 
     return map_rows(ranges, lambda: one, READ_SCHEMA)
 
 
 def deal(ranges: DataFrame) -> DataFrame:
-    """Spreads byte ranges over tasks."""
-    return ranges.repartition("path", "start")
+    """Spreads byte ranges over as many tasks, MOST_TASKS at most. The number is given, as ranges are rows too small to tell how much they stand for."""
+    return ranges.repartition(max(1, min(ranges.count(), MOST_TASKS)))
 
 
-def round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """Writes pages' archives and reads them back: one row per record."""
-    found = read_archives(deal(splits(write_archives(pages, min_bytes))))
+def round_trip(pages: DataFrame, min_bytes: int = 0, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """Writes pages' archives and reads them back: one row per record. Raises if what is read isn't as many records as were written."""
+    manifest = write_archives(pages, min_bytes)
+    found = materialize(read_archives(deal(splits(manifest, split_bytes))), "warc-records")
+    written, read = manifest.agg(F.sum("records")).first()[0] or 0, found.count()
+    if written != read:
+        raise RuntimeError(f"{written} records were written, but {read} read")
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "digest_ok")
 
 
