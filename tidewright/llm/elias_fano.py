@@ -4,10 +4,12 @@ Documents are dealt to tasks in ranges of ascending doc_id and sorted there. Eac
 whenever it holds enough ids. A block is a self-contained file image:
 
     magic "TWEF", version u8, bytes of an id u8 (2 while all ids are under 65,536, else 4), 2 bytes 0,
-    documents u64, ids u64, then doc_ids (i64 each, null as the least value with a flag bit in a bitmap), Elias-Fano boundaries, ids.
+    documents u64, ids u64, documents without a doc_id u64, least doc_id i64, then, in Elias-Fano form, what the other doc_ids are above the
+    least one, and the boundaries; then the ids.
 
 Boundaries b_0 = 0 .. b_n = ids are kept as low bits, packed, and high bits, unary, with a sample of every 64th one's place. A
-select over the samples gives any offset; the whole takes about 2 + log2(ids / n) bits a document.
+select over the samples gives any offset; the whole takes about 2 + log2(ids / n) bits a document. Doc_ids ascend, and are kept in the same form.
+A block ends with the document that fills it, so it holds less than BLOCK_IDS ids and one document; lengths have 64 bits.
 
 Blocks are rows of a Parquet table, so that Spark's committer writes them to any store and a lost executor's task is repeated.
 Their starts in the corpus come from one sum per range of ids and one window over the ranges' sums.
@@ -24,6 +26,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +39,6 @@ MAGIC = b"TWEF"
 SAMPLE = 64
 #: A block is closed when it holds this many ids.
 BLOCK_IDS = 1 << 20
-_NULL_ID = -(1 << 63)
 
 
 class EliasFano:
@@ -58,18 +60,18 @@ class EliasFano:
         places = (values >> np.uint64(bits)).astype(np.int64) + np.arange(n)
         ones = np.zeros(int(places[-1]) + 1 if n else 0, np.uint8)
         ones[places] = 1
-        return cls(n, universe, bits, low, np.packbits(ones, bitorder="little"), places[::SAMPLE].astype("<u4"))
+        return cls(n, universe, bits, low, np.packbits(ones, bitorder="little"), places[::SAMPLE].astype("<u8"))
 
     def to_bytes(self) -> bytes:
-        head = struct.pack("<QQBxxxIII", self.count, self.universe, self.low_bits, len(self.low), len(self.high), len(self.samples))
-        return head + self.low.tobytes() + self.high.tobytes() + self.samples.astype("<u4").tobytes()
+        head = struct.pack("<QQBxxxxxxxQQQ", self.count, self.universe, self.low_bits, len(self.low), len(self.high), len(self.samples))
+        return head + self.low.tobytes() + self.high.tobytes() + self.samples.astype("<u8").tobytes()
 
     @classmethod
     def from_bytes(cls, data: bytes, at: int = 0) -> tuple[EliasFano, int]:
-        count, universe, bits, a, b, c = struct.unpack_from("<QQBxxxIII", data, at)
-        at += struct.calcsize("<QQBxxxIII")
+        count, universe, bits, a, b, c = struct.unpack_from("<QQBxxxxxxxQQQ", data, at)
+        at += struct.calcsize("<QQBxxxxxxxQQQ")
         low, high = np.frombuffer(data, np.uint8, a, at), np.frombuffer(data, np.uint8, b, at + a)
-        return cls(count, universe, bits, low, high, np.frombuffer(data, "<u4", c, at + a + b)), at + a + b + 4 * c
+        return cls(count, universe, bits, low, high, np.frombuffer(data, "<u8", c, at + a + b)), at + a + b + 8 * c
 
     def _low(self, i: int) -> int:
         first = i * self.low_bits
@@ -91,46 +93,57 @@ class EliasFano:
             word &= word - 1
         return (8 * byte + (word & -word).bit_length() - 1 - i) << self.low_bits | self._low(i)
 
-    def all(self) -> np.ndarray:
-        """All values at once."""
-        places = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.count]
-        out = (places - np.arange(self.count)).astype(np.uint64) << np.uint64(self.low_bits)
-        if self.low_bits and self.count:
-            each = np.unpackbits(self.low, bitorder="little", count=self.count * self.low_bits).reshape(self.count, self.low_bits)
-            for k in range(self.low_bits):
-                out |= each[:, k].astype(np.uint64) << np.uint64(k)
-        return out.astype(np.int64)
+    def stretch(self, k: int) -> list[int]:
+        """The values from the k-th sample up to the next, by one jump and one scan; never more than SAMPLE at once."""
+        first, n = k * SAMPLE, min(SAMPLE, self.count - k * SAMPLE)
+        place = int(self.samples[k])
+        end = int(self.samples[k + 1]) if k + 1 < len(self.samples) else 8 * len(self.high)
+        ones = np.flatnonzero(np.unpackbits(self.high[place // 8 : (end + 7) // 8], bitorder="little")) + place // 8 * 8
+        high = ones[np.searchsorted(ones, place) :][:n] - np.arange(first, first + n)
+        return [(int(h) << self.low_bits) | self._low(first + i) for i, h in enumerate(high)]
+
+    def values(self) -> Iterator[int]:
+        """All values in order, a sample's stretch at a time."""
+        for k in range(len(self.samples)):
+            yield from self.stretch(k)
 
 
 def write_block(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray) -> bytes:
+    """A block of documents in ascending order of doc_id, those without one first."""
     n = len(doc_ids)
     width = 2 if not len(ids) or int(ids.max()) < 1 << 16 else 4
     bounds = np.zeros(n + 1, np.int64)
     np.cumsum(lengths, out=bounds[1:])
-    numbers = np.array([_NULL_ID if d is None else d for d in doc_ids], "<i8")
-    nulls = np.packbits(np.array([d is None for d in doc_ids], np.uint8), bitorder="little")
-    head = MAGIC + struct.pack("<BBxxQQ", 1, width, n, len(ids))
-    return head + numbers.tobytes() + nulls.tobytes() + EliasFano.build(bounds).to_bytes() + ids.astype(f"<u{width}").tobytes()
+    known = [d for d in doc_ids if d is not None]
+    least = known[0] if known else 0
+    above = EliasFano.build(np.array([d - least for d in known], np.uint64))
+    head = MAGIC + struct.pack("<BBxxQQQq", 2, width, n, len(ids), n - len(known), least)
+    return head + above.to_bytes() + EliasFano.build(bounds).to_bytes() + ids.astype(f"<u{width}").tobytes()
 
 
 class Block:
     """Random access to the documents of a block."""
 
     def __init__(self, data: bytes) -> None:
-        if data[:4] != MAGIC or data[4] != 1:
+        if data[:4] != MAGIC or data[4] != 2:
             raise ValueError("not a block of token ids")
-        width, (n, total) = data[5], struct.unpack_from("<QQ", data, 8)
-        at = 24 + 8 * n
-        self.numbers = np.frombuffer(data, "<i8", n, 24)
-        self.nulls = np.unpackbits(np.frombuffer(data, np.uint8, (n + 7) // 8, at), bitorder="little", count=n)
-        self.bounds, at = EliasFano.from_bytes(data, at + (n + 7) // 8)
+        width, (self.n, total, self.nulls, self.least) = data[5], struct.unpack_from("<QQQq", data, 8)
+        self.above, at = EliasFano.from_bytes(data, 40)
+        self.bounds, at = EliasFano.from_bytes(data, at)
         self.ids = np.frombuffer(data, f"<u{width}", total, at)
 
     def __len__(self) -> int:
-        return len(self.numbers)
+        return self.n
 
     def doc_id(self, i: int) -> int | None:
-        return None if self.nulls[i] else int(self.numbers[i])
+        return None if i < self.nulls else self.least + self.above.select(i - self.nulls)
+
+    def documents(self) -> Iterator[tuple[int | None, int, int]]:
+        """doc_id, first and last place of each document, from the samples' stretches."""
+        numbers, first = self.above.values(), 0
+        for i, last in enumerate(islice(self.bounds.values(), 1, None)):
+            yield None if i < self.nulls else self.least + next(numbers), first, last
+            first = last
 
     def document(self, i: int) -> np.ndarray:
         return self.ids[self.bounds.select(i) : self.bounds.select(i + 1)]
@@ -225,6 +238,10 @@ class WordEncoder:
                 del table[w]
         return [np.frombuffer(x, self.kind) for x in out]
 
+    def counts(self, texts: list[str]) -> list[int]:
+        """How many ids each text has."""
+        return [len(ids) for ids in self.encode(texts)]
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
         return self._by_words(texts) if self.by_word else [np.frombuffer(x, self.kind) for x in self._plain(texts)]
@@ -286,16 +303,11 @@ def block_starts(blocks: DataFrame) -> DataFrame:
 
 
 def read_documents(blocks: DataFrame) -> DataFrame:
-    """Per document, from the blocks: doc_id, start, n_tokens, ids_crc32 and the block's place."""
+    """Per document, from the blocks, whose offsets are decoded a sample's stretch at a time: doc_id, start, n_tokens, ids_crc32 and the block's place."""
 
     def one(row: dict) -> list[tuple]:
         b = Block(row["data"])
-        bounds, ids = b.bounds.all(), b.ids.astype("<u4")
-        out = []
-        for i in range(len(b)):
-            first, last = int(bounds[i]), int(bounds[i + 1])
-            out.append((row["shard"], row["block"], b.doc_id(i), first, last - first, zlib.crc32(ids[first:last].tobytes())))
-        return out
+        return [(row["shard"], row["block"], doc_id, first, last - first, zlib.crc32(b.ids[first:last].astype("<u4").tobytes())) for doc_id, first, last in b.documents()]
 
     found = map_rows(blocks.select("shard", "block", "data"), lambda: one, "shard int, block int, doc_id long, inner long, n_tokens long, ids_crc32 long")
     starts = block_starts(blocks)
