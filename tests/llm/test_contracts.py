@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import struct
 import zlib
 from collections import Counter, defaultdict
 
@@ -80,6 +81,65 @@ def test_media_headers_of_other_kinds():
     assert mpeg_audio.crc16(b"123456789") == 0xAEE7  # the published check value of this CRC
 
 
+def test_media_checksums_of_other_layers():
+    """Frames of Layers I and II whose checksums are computed here bit by bit, over allocations and, in Layer II, selections."""
+
+    def bits_crc(bits):
+        crc = 0xFFFF
+        for bit in bits:
+            top = crc >> 15 ^ bit
+            crc = (crc << 1 & 0xFFFF) ^ (0x8005 if top else 0)
+        return crc
+
+    as_bits = lambda data: [b >> k & 1 for b in data for k in range(7, -1, -1)]
+    rng = random.Random(4)
+    for word, expected in (
+        (bytes((0xFF, 0xFE, 0x90, 0xC0)), lambda bits: 4 * 32),  # Layer I, mono
+        (bytes((0xFF, 0xFE, 0x90, 0x00)), lambda bits: 4 * 64),  # Layer I, stereo
+        (bytes((0xFF, 0xFE, 0x90, 0x50)), lambda bits: 4 * (8 + 8 + 24)),  # Layer I, joint from subband 8 on
+        (bytes((0xFF, 0xFC, 0x44, 0xC0)), None),  # Layer II, mono, 56 kbit/s at 48 kHz: 27 subbands
+    ):
+        h = mpeg_audio.read_header(word)
+        assert h.protected and h.layer == 4 - (word[1] >> 1 & 3)
+        body = bytearray(rng.randbytes(h.length - 6))
+        bits = as_bits(body)
+        if expected:
+            n = expected(bits)
+        else:
+            n = used = 0
+            for width in [4] * 11 + [3] * 12 + [2] * 4:
+                used += any(bits[n : n + width])
+                n += width
+            n += 2 * used
+        crc = bits_crc(as_bits(word[2:4]) + bits[:n])
+        frame = word + crc.to_bytes(2, "big") + bytes(body)
+        good = mpeg_audio.read_stream(frame * 3)
+        assert (good.crc_checked, good.crc_wrong) == (3, 0)
+        body[0] ^= 0x80
+        assert mpeg_audio.read_stream(frame + word + crc.to_bytes(2, "big") + bytes(body)).crc_wrong == 1
+
+
+def test_media_tags_and_tables_of_other_encoders():
+    def frame22(name, text):
+        body = b"\x00" + text
+        return name + len(body).to_bytes(3, "big") + body
+
+    tags = frame22(b"TT2", b"a title") + frame22(b"TXX", b"key\x00value")
+    assert mpeg_audio.read_stream(b"ID3\x02\x00\x00" + mpeg_audio._syncsafe(len(tags)) + tags).tags == {"TT2": "a title", "TXXX:key": "value"}
+    inner = mpeg_audio._text_frame(b"TIT2", "song")
+    for version, extended in ((3, (6).to_bytes(4, "big") + bytes(6)), (4, mpeg_audio._syncsafe(6) + bytes(2))):
+        block = extended + inner
+        assert mpeg_audio.read_stream(b"ID3" + bytes((version, 0, 0x40)) + mpeg_audio._syncsafe(len(block)) + block).tags == {"TIT2": "song"}
+    word = bytes((0xFF, 0xFB, 0x90, 0x00))
+    plain = word.ljust(417, b"\0")
+    vbri = (word + bytes(32) + b"VBRI" + bytes((0, 1, 2, 0x40, 0, 75)) + struct.pack(">IIHHHH", 1668, 3, 3, 1, 2, 1) + struct.pack(">HHH", 417, 417, 417)).ljust(417, b"\0")
+    s = mpeg_audio.read_stream(vbri + plain * 3)
+    assert (s.table, s.table_frames, s.table_bytes, s.delay, s.seek_table) == ("VBRI", 3, 1668, 0x240, [834, 1251, 1668])
+    info = (word + bytes(32) + b"Info" + struct.pack(">III", 3, 3, 1668) + b"LAME3.100" + bytes(12) + bytes((0x24, 0x03, 0x84))).ljust(417, b"\0")
+    s = mpeg_audio.read_stream(info + plain * 3)
+    assert (s.delay, s.padding, s.audible) == (576, 900, 3 * 1152 - 576 - 900)
+
+
 # 2 SentencePiece
 
 

@@ -2,8 +2,10 @@
 
 The writer stores a payload in the ancillary bytes of silent MPEG-2 Layer III frames: 576 payload bytes, one for each of a
 frame's 576 samples. The stream opens with an ID3v2 tag and a variable-bitrate table ("Xing") and closes with an ID3v1 tag.
-The reader takes any MPEG audio: it parses the tags, finds frame headers again after damage, verifies the frames' CRC-16,
-and gives the exact duration and every frame's offset.
+The streams are written to the shared folder as a media table, and read from there.
+The reader takes MPEG audio of layers I to III (free format excepted, whose frame length a header doesn't tell): it parses the tags, the Xing, Info
+and VBRI tables with their seek points, and the encoder's delay and padding, finds frame headers again after damage, verifies the CRC-16 of
+protected frames, and gives every frame's offset and the exact duration, as samples and rate.
 
 Nulls and empty texts: the payload is one unit of 576 bytes 255. Long texts give more frames; nothing is cut. Rows that
 repeat give equal rows. Columns beside doc_id and text are ignored; an empty table gives an empty table.
@@ -22,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, whole_text
+from .common import map_rows, materialize, whole_text
 
 UNIT = 576
 PAD = 255
@@ -46,6 +48,16 @@ _SIDE = 9
 _LEAD = 4 + 2 + _SIDE
 
 
+# Fixed values of Layer II: bits of a subband's allocation as (bits, subbands) in order, for each of the format's tables.
+ALLOCATION = {
+    "a": ((4, 11), (3, 12), (2, 4)),
+    "b": ((4, 11), (3, 12), (2, 7)),
+    "c": ((4, 2), (3, 6)),
+    "d": ((4, 2), (3, 10)),
+    "lsf": ((4, 4), (3, 7), (2, 19)),
+}
+
+
 @dataclass(frozen=True)
 class Header:
     version: int
@@ -57,6 +69,8 @@ class Header:
     samples: int
     length: int
     side: int
+    #: Subbands from which on both channels share their samples; 32 where none do.
+    bound: int = 32
 
 
 @functools.lru_cache(maxsize=1 << 14)
@@ -75,7 +89,8 @@ def read_header(word: bytes) -> Header | None:
     length = (samples // 8 // slot * kbps * 1000 // hz + padding) * slot
     mono = word[3] >> 6 == 3
     side = ((17 if mono else 32) if first else (9 if mono else 17)) if layer == 3 else 0
-    return Header(version, layer, kbps, hz, 1 if mono else 2, not word[1] & 1, samples, length, side)
+    bound = 4 * ((word[3] >> 4 & 3) + 1) if word[3] >> 6 == 1 else 32
+    return Header(version, layer, kbps, hz, 1 if mono else 2, not word[1] & 1, samples, length, side, bound)
 
 
 @functools.lru_cache(maxsize=1 << 14)
@@ -89,6 +104,45 @@ def crc16(data: bytes) -> int:
     return crc
 
 
+def allocation_table(h: Header) -> str:
+    """Which table of Layer II a header chooses: by rate and bits per channel."""
+    if h.version != 3:
+        return "lsf"
+    each = h.kbps // h.channels
+    if h.sample_rate == 48000 and each >= 56 or 56 <= each <= 80:
+        return "a"
+    if h.sample_rate != 48000 and each >= 96:
+        return "b"
+    return "d" if h.sample_rate == 32000 else "c"
+
+
+def protected_bits(h: Header, body: bytes) -> int:
+    """How many bits after the checksum it covers: side information; allocations, in Layer II with the scale factors' selection."""
+    if h.layer == 3:
+        return 8 * h.side
+    if h.layer == 1:
+        shared = min(h.bound, 32)
+        return 4 * (h.channels * shared + 32 - shared)
+    widths = [bits for bits, n in ALLOCATION[allocation_table(h)] for _ in range(n)]
+    value, at, used = int.from_bytes(body[:64], "big"), 0, 0
+    for k, bits in enumerate(widths):
+        own = h.channels if k < h.bound else 1
+        for _ in range(own):
+            given = value >> (512 - at - bits) & (1 << bits) - 1
+            at += bits
+            used += (1 if own == h.channels else h.channels) * (given > 0)
+    return at + 2 * used
+
+
+def crc16_bits(data: bytes, bits: int) -> int:
+    """CRC-16 of the first bits of data."""
+    crc = crc16(data[: bits // 8])
+    for k in range(bits % 8):
+        bit = data[bits // 8] >> (7 - k) & 1
+        crc = (crc << 1 ^ (0x8005 if (crc >> 15) ^ bit else 0)) & 0xFFFF
+    return crc
+
+
 def _syncsafe(n: int) -> bytes:
     return bytes((n >> s & 0x7F) for s in (21, 14, 7, 0))
 
@@ -135,6 +189,11 @@ class Stream:
     table_frames: int | None = None
     table_bytes: int | None = None
     toc: bytes | None = None
+    #: Places in the stream that a VBRI table's entries give.
+    seek_table: list[int] = field(default_factory=list)
+    #: Samples that the encoder put before and after the audio.
+    delay: int = 0
+    padding: int = 0
     offsets: list[int] = field(default_factory=list)
     headers: list[Header] = field(default_factory=list)
     crc_checked: int = 0
@@ -147,9 +206,14 @@ class Stream:
     def samples(self) -> int:
         return sum(h.samples for h in self.headers)
 
+    @property
+    def audible(self) -> int:
+        """Samples without the encoder's delay and padding."""
+        return max(0, self.samples - self.delay - self.padding)
+
     @property
     def duration_us(self) -> int:
-        """Exact but for the last rounding down; rates may change from frame to frame."""
+        """Exact but for the last rounding down (samples and rate are exact); rates may change from frame to frame."""
         by_rate: dict[int, int] = {}
         for h in self.headers:
             by_rate[h.sample_rate] = by_rate.get(h.sample_rate, 0) + h.samples
@@ -160,18 +224,25 @@ class Stream:
 def _parse_id3v2(data: bytes) -> tuple[dict[str, str], int]:
     if data[:3] != b"ID3" or len(data) < 10 or data[3] > 4:
         return {}, 0
-    size = data[6] << 21 | data[7] << 14 | data[8] << 7 | data[9]
-    end, at, tags = min(len(data), 10 + size), 10, {}
-    while at + 10 <= end and data[at] and data[3] >= 3:
-        name, raw = data[at : at + 4].decode("latin-1"), data[at + 4 : at + 8]
-        length = raw[0] << 21 | raw[1] << 14 | raw[2] << 7 | raw[3] if data[3] == 4 else struct.unpack(">I", raw)[0]
-        body = data[at + 10 : at + 10 + length]
+    version, safe = data[3], lambda b: b[0] << 21 | b[1] << 14 | b[2] << 7 | b[3]
+    end, tags = min(len(data), 10 + safe(data[6:10])), {}
+    block = data[10:end]
+    if data[5] & 0x80 and version < 4:
+        block = block.replace(b"\xff\x00", b"\xff")  # unsynchronised as a whole
+    at = 0
+    if data[5] & 0x40 and version >= 3 and len(block) >= 4:  # an extended header; its size counts itself in version 4 only
+        at = safe(block[:4]) if version == 4 else 4 + struct.unpack(">I", block[:4])[0]
+    wide, head = (4, 10) if version >= 3 else (3, 6)
+    while at + head <= len(block) and block[at]:
+        name, raw = block[at : at + wide].decode("latin-1"), block[at + wide : at + 2 * wide]
+        length = safe(raw) if version == 4 else int.from_bytes(raw, "big")
+        body = block[at + head : at + head + length]
         if name[0] == "T" and body:
             coding = {0: "latin-1", 1: "utf-16", 2: "utf-16-be", 3: "utf-8"}.get(body[0], "latin-1")
             key, _, value = body[1:].decode(coding, "replace").rstrip("\x00").partition("\x00")
-            tags |= {f"TXXX:{key}": value} if name == "TXXX" else {name: key}
-        at += 10 + length
-    return tags, end + 10 * bool(data[3] == 4 and data[5] & 0x10)
+            tags |= {f"TXXX:{key}": value} if name in ("TXXX", "TXX") else {name: key}
+        at += head + length
+    return tags, end + 10 * bool(version == 4 and data[5] & 0x10)
 
 
 def _next_frame(data: bytes, at: int, end: int) -> int:
@@ -202,10 +273,13 @@ def read_stream(data: bytes) -> Stream:
             out.truncated += 1
             break
         lead = 4 + 2 * h.protected
-        if h.protected and h.layer == 3:
+        if h.protected:
             out.crc_checked += 1
-            out.crc_wrong += crc16(data[at + 2 : at + 4] + data[at + 6 : at + 6 + h.side]) != data[at + 4] << 8 | data[at + 5]
-        if not out.offsets and out.table is None and _read_table(out, data[at : at + h.length], lead, h):
+            body = data[at + 6 : at + h.length]
+            bits = protected_bits(h, body)
+            covered = data[at + 2 : at + 4] + body[: (bits + 7) // 8]
+            out.crc_wrong += 8 * len(covered) < 16 + bits or crc16_bits(covered, 16 + bits) != data[at + 4] << 8 | data[at + 5]
+        if not out.offsets and out.table is None and _read_table(out, data[at : at + h.length], lead, h, at):
             at += h.length
             continue
         out.offsets.append(at)
@@ -214,7 +288,7 @@ def read_stream(data: bytes) -> Stream:
     return out
 
 
-def _read_table(out: Stream, frame: bytes, lead: int, h: Header) -> bool:
+def _read_table(out: Stream, frame: bytes, lead: int, h: Header, start: int = 0) -> bool:
     """Reads a Xing, Info or VBRI table; False if the frame holds none."""
     # encoders that protect their frames may place the table as if there were no checksum
     for at in (lead + h.side, 4 + h.side):
@@ -226,11 +300,22 @@ def _read_table(out: Stream, frame: bytes, lead: int, h: Header) -> bool:
                     at += 4
             if flags & 4:
                 out.toc = frame[at : at + 100]
+            at += 100 * bool(flags & 4) + 4 * bool(flags & 8)
+            if frame[at : at + 4] in (b"LAME", b"Lavf", b"Lavc") and at + 24 <= len(frame):
+                out.delay, out.padding = frame[at + 21] << 4 | frame[at + 22] >> 4, (frame[at + 22] & 15) << 8 | frame[at + 23]
             out.table = name.decode()
             return True
-    if frame[36:40] == b"VBRI" and len(frame) >= 54:
+    if frame[36:40] == b"VBRI" and len(frame) >= 62:
         out.table = "VBRI"
-        out.table_bytes, out.table_frames = struct.unpack(">II", frame[46:54])
+        out.delay = struct.unpack(">H", frame[42:44])[0]
+        out.table_bytes, out.table_frames, n, scale, width = struct.unpack(">IIHHH", frame[46:60])
+        place = start + h.length
+        for k in range(n if 1 <= width <= 4 else 0):
+            entry = frame[62 + k * width : 62 + (k + 1) * width]
+            if len(entry) < width:
+                break
+            place += int.from_bytes(entry, "big") * scale
+            out.seek_table.append(place)
         return True
     return False
 
@@ -243,17 +328,18 @@ def read_payload(data: bytes, stream: Stream | None = None) -> bytes:
 
 SCHEMA = (
     "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, "
-    "feature string, n_frames long, duration_us long, crc_wrong long, resyncs long, seek_offsets array<long>"
+    "feature string, n_frames long, samples long, sample_rate int, duration_us long, crc_wrong long, resyncs long, seek_offsets array<long>"
 )
 
 
 def store_media(docs: DataFrame) -> DataFrame:
-    """doc_id and media: each text's carrier stream."""
-    return map_rows(
+    """doc_id and media: each text's carrier stream. The table is written to the shared folder."""
+    streams = map_rows(
         docs.select("doc_id", whole_text().alias("text")),
         lambda: lambda row: [(row["doc_id"], write_stream(row["text"].encode()))],
         "doc_id long, media binary",
     )
+    return materialize(streams, "media")
 
 
 def _features(row: dict) -> list[tuple]:
@@ -274,7 +360,7 @@ def _features(row: dict) -> list[tuple]:
     return [
         (
             row["doc_id"], n_bytes, len(payload), digest, zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(),
-            json.dumps(feature, sort_keys=True), len(s.offsets), s.duration_us, s.crc_wrong, s.resyncs, s.offsets,
+            json.dumps(feature, sort_keys=True), len(s.offsets), s.audible, feature["sample_rate"], s.duration_us, s.crc_wrong, s.resyncs, s.offsets,
         )
     ]
 
@@ -289,5 +375,5 @@ def media_features(media: DataFrame) -> DataFrame:
 
 
 def audio_round_trip(docs: DataFrame) -> DataFrame:
-    """Stores each whole text as a stream and reads the streams back."""
+    """Stores each whole text as a stream in a media table and reads the stored streams back."""
     return media_features(store_media(docs))
