@@ -33,8 +33,10 @@ judged AS (
 _QUALITY = f"""
 WITH {_MEASURES}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  failed & (1 + 2 + 4 + 8 + 32 + 64) = 0 AS kept, failed
-FROM judged
+  failed & (1 + 2 + 4 + 8 + 32 + 64) = 0 AS kept, failed, failed = 0 AS kept_strict, sole_rule,
+  CASE WHEN sole_rule IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY sole_rule) END AS sole_rule_docs
+FROM (SELECT *, CASE failed & (1 + 2 + 4 + 8 + 32 + 64) WHEN 1 THEN 'few_words' WHEN 2 THEN 'repeated_words' WHEN 4 THEN 'symbols' WHEN 8 THEN 'upper_case'
+  WHEN 32 THEN 'long_words' WHEN 64 THEN 'short_words' END AS sole_rule FROM judged)
 """
 
 _URLS = r"""
@@ -53,7 +55,7 @@ fitting AS (
 SELECT page_id, host, path, rule,
   coalesce(verdict, CASE WHEN regexp_matches(
     translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '://([^/?#]*\.)?(spam-farm|cheap-pills|free-bets)\.|://([^/?#]*[.-])?(casino|xxx)[.-]|://[^/?#]*/(user|account)/login\b') THEN 'block' ELSE 'allow' END) AS verdict
+    '://([^/?#]*\.)?(spam-farm|cheap-pills|free-bets)\.|://([^/?#]*[.-])?(casino|poker|jackpot|lottery|betting|pills|payday|replica|escort|adult|xxx|warez|torrent|keygen|crack)[.-]|://[^/?#]*/(user|account)/login\b|/calendar/[0-9]{4}/[0-9]{2}/') THEN 'block' ELSE 'allow' END) AS verdict
 FROM numbered LEFT JOIN fitting USING (r)
 """
 

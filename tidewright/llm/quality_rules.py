@@ -1,9 +1,12 @@
 """A ledger of quality rules: each rule is evaluated once, its failure kept as a bit beside the measurements.
 
-Policies are versioned masks over the bits, so that a changed policy needs no new pass over texts, and ablations (what a policy
+The ledger is written to the shared folder, and policies are applied to what is stored. Policies are versioned masks over the bits, so that a changed policy needs no new pass over texts, and ablations (what a policy
 would keep without one of its rules) come from counts of the few distinct bit patterns. Only DataFrame functions are used, all of
 them within a row: nothing is shuffled, whatever the sources' or copies' sizes.
 
+Repeated windows are found by 64-bit hashes of their words, so a count may be wrong where two windows of one text collide (about n * n / 4e19).
+Very long texts are whole; a text's windows are sorted within its row.
+
 Words are stretches without ASCII white space. A null text has none. Empty texts fail the first rule. Equal rows give equal rows;
 columns beside doc_id and text are ignored unless keep asks for them; an empty table gives an empty table.
 """
@@ -15,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import whole_text
+from .common import materialize, whole_text
 
 WORD_SPLIT = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]+"
@@ -159,18 +162,39 @@ def ablations(entries: DataFrame, policy: Policy, rules: tuple[Rule, ...] = RULE
     )
 
 
+def write_ledger(docs: DataFrame) -> DataFrame:
+    """The ledger as a stored table: measurements and failure bits, from which any policy's verdicts follow."""
+    return materialize(ledger(docs), "ledger")
+
+
+def sole_rule(policy: Policy, rules: tuple[Rule, ...] = RULES) -> Column:
+    """The rule without which the policy would keep the row; null if there is none."""
+    bits = F.col("failed").bitwiseAND(F.lit(mask(policy, rules)).cast("long"))
+    out = F.lit(None).cast("string")
+    for i, r in enumerate(rules):
+        if r.name in policy.rules:
+            out = F.when(bits == (1 << i), r.name).otherwise(out)
+    return out
+
+
 def verdicts(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
-    """Measurements, bits and verdicts of every document."""
-    entries = ledger(docs)
-    base = passes(BASE)
-    return entries.select(
+    """Measurements, bits and verdicts of every document, from a stored ledger: kept by the policy and by the strict one; sole_rule, and of how
+    many documents (sole_rule_docs) that rule is the only one against, by the policy's ablation.
+    """
+    entries = write_ledger(docs)
+    base, chosen = passes(BASE), POLICIES[policy]
+    lost = F.broadcast(ablations(entries, chosen).select(F.col("rule").alias("_rule"), F.col("alone").alias("sole_rule_docs")))  # a row per rule
+    judged = entries.withColumn("sole_rule", sole_rule(chosen))
+    return judged.join(lost, F.col("sole_rule") == F.col("_rule"), "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        (~base).alias("base_failed"), (base & passes(POLICIES[policy])).alias("kept"), "failed",
+        (~base).alias("base_failed"), (base & passes(chosen)).alias("kept"), "failed", (base & passes(POLICIES["strict"])).alias("kept_strict"),
+        "sole_rule", F.coalesce("sole_rule_docs", F.lit(0)).alias("sole_rule_docs"),
     )
 
 
 def keep_passing(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
-    """The documents that the policy keeps, with all their columns."""
+    """The documents that the policy keeps, with all their columns. Null and empty texts go, as they have too few words; rows that repeat stay or go
+    alike; an empty table gives an empty table."""
     # the rows travel as one struct, as their columns may have the names of measurements
     whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "text")
     # a column of numbers keeps the filter above the measurements; pushed below, it would repeat them in each of its terms
