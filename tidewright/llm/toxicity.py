@@ -3,12 +3,14 @@
 A sentence's score is a logistic function of its distinct words, and a word's weight the sum of those of the word and its
 beginnings. No weight is negative: words can only offend, so a long clean sentence doesn't hide an offence. A document's score is
 the noisy-or of its sentences, 1 - prod(1 - p). The weights are fitted to document labels by the likelihood's gradient through the
-noisy-or; afterwards the same weights locate the sentences that offend.
+noisy-or, a toxic document counting as TOXIC_WEIGHT clean ones; afterwards the same weights locate the sentences that offend. What is given as a
+score is a power of the probability that puts CUT at one half.
 
 The fit takes a bounded sample of labelled rows (FIT_ROWS, by a hash of doc_id) in one task; the model that it gives is as large
 as the sample's words allow. Scoring sees every whole text, in tasks that need nothing else.
 
 Null and empty texts have no sentence and get the score of a bag with one empty sentence. Where a doc_id has labels that differ, it is toxic.
+Equal scores come of equal words: ties stay ties. Very long texts are whole: they only have more sentences. An empty table gives an empty table.
 Labels without a document, null labels and held-out rows don't count. With no labelled row, or one class only, every score is
 the class's share (0 without rows). Repeated rows get equal scores; columns beside doc_id and text are ignored.
 """
@@ -39,7 +41,10 @@ EPOCHS = 150
 RATE = 0.3
 #: A weight stays 0 unless its pull on the mean log-likelihood passes this, or PENALTY_DOCS documents' share if that is more.
 PENALTY = 5e-5
-PENALTY_DOCS = 0.25
+PENALTY_DOCS = 0.1
+#: What a toxic document of the sample counts; the probability from which on a document is toxic.
+TOXIC_WEIGHT = 4.0
+CUT = 0.4
 #: Weights nearer to zero than this are left out of the model.
 LEAST = 0.02
 
@@ -70,6 +75,15 @@ class Model:
             self.cache.put(word, found)
         return found
 
+    @staticmethod
+    def calibrated(p: float) -> float:
+        return min(1.0, max(0.0, p)) ** (math.log(0.5) / math.log(CUT))
+
+    def located(self, text: str, threshold: float = 0.5) -> list[tuple[int, int, float]]:
+        """start, end (characters) and score of the sentences whose own score reaches the threshold."""
+        found = ((m.start(), m.end(), self.calibrated(self.sentence(m.group().lower()))) for m in _SENTENCE.finditer(text))
+        return [x for x in found if x[2] >= threshold]
+
     def sentence(self, text: str) -> float:
         """The probability that a lower-cased sentence offends."""
         z = self.bias + math.fsum(map(self.word, set(_WORD.findall(text))))
@@ -92,6 +106,19 @@ class Model:
         return -math.expm1(log_clean)
 
 
+def noisy_or_gradient(z: np.ndarray, doc: np.ndarray, y: np.ndarray, toxic_weight: float = TOXIC_WEIGHT) -> tuple[float, np.ndarray]:
+    """The documents' weighted log-likelihood under the noisy-or of their sentences, and its gradient by the sentences' log-odds z.
+
+    doc: the document of each sentence; y: the documents' labels.
+    """
+    p = 1 / (1 + np.exp(-z))
+    log_clean = np.bincount(doc, -np.logaddexp(0, z), len(y))
+    clean = np.exp(log_clean)
+    toxic = np.maximum(1 - clean, 1e-9)
+    push = np.where(y[doc] > 0, toxic_weight * p * (clean / toxic)[doc], -p)
+    return float(np.where(y > 0, toxic_weight * np.log(toxic), log_clean).sum()), push
+
+
 def fit(texts: list[str], labels: list[int]) -> Model:
     """The weights that maximise the documents' likelihood, by Adam over all of them at once."""
     y = np.array(labels, np.float64)
@@ -120,10 +147,7 @@ def fit(texts: list[str], labels: list[int]) -> Model:
     for step in range(1, EPOCHS + 1):
         of_word = np.bincount(word_row, w[column], len(words))
         z = np.clip(w[size] + np.bincount(row, of_word[word], s), -30, 30)
-        p = 1 / (1 + np.exp(-z))
-        clean = np.exp(np.bincount(doc, np.log1p(-p), len(y)))
-        toxic = np.maximum(1 - clean, 1e-9)
-        push = np.where(y[doc] > 0, p * (clean / toxic)[doc], -p)
+        _, push = noisy_or_gradient(z, doc, y)
         gradient[:size] = np.bincount(column, np.bincount(word, push[row], len(words))[word_row], size) / len(y)
         gradient[size] = push.sum() / len(y)
         mean = 0.9 * mean + 0.1 * gradient
@@ -139,7 +163,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
     """doc_id, text and toxic of at most fit_rows labelled documents that aren't held out."""
     marked = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
-    return docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(chosen), "doc_id")
+    rows = docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(chosen), "doc_id")
+    return rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))  # an id that rows repeat counts once, with its least text
 
 
 def fit_model(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
@@ -156,17 +181,24 @@ def fit_model(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> M
     return Model(bias, weights, constant)
 
 
+SCORED = "doc_id long, held_out boolean, score double, predicted int, n_offending int, worst_start long, worst_end long, worst_score double"
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, held_out, score and predicted of every document."""
+    """doc_id, held_out, score and predicted of every document; of those that are predicted toxic the sentences that offend by themselves: how many,
+    and place (characters) and score of the worst, the first at ties. Null where there is none: a document may be toxic by several weak ones."""
 
     def make():
         def one(row):
-            p = model.document(row["text"])
-            return [(row["doc_id"], row["held_out"], p, int(p >= 0.5))]
+            p = model.document(row["text"]) if model.constant is not None else model.calibrated(model.document(row["text"]))
+            toxic = p >= 0.5
+            found = model.located(row["text"]) if toxic and model.constant is None else []
+            start, end, worst = max(found, key=lambda x: (x[2], -x[0]), default=(None, None, None))
+            return [(row["doc_id"], row["held_out"], p, int(toxic), len(found), start, end, worst)]
 
         return one
 
-    return map_rows(docs.select("doc_id", held_out().alias("held_out"), whole_text().alias("text")), make, "doc_id long, held_out boolean, score double, predicted int")
+    return map_rows(docs.select("doc_id", held_out().alias("held_out"), whole_text().alias("text")), make, SCORED)
 
 
 def locate(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
@@ -174,13 +206,7 @@ def locate(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
 
     def make():
         def one(row):
-            text = row["text"]
-            out = []
-            for found in _SENTENCE.finditer(text):
-                p = model.sentence(found.group().lower())
-                if p >= threshold:
-                    out.append((row["doc_id"], found.start(), found.end(), found.group(), p))
-            return out
+            return [(row["doc_id"], start, end, row["text"][start:end], p) for start, end, p in model.located(row["text"], threshold)]
 
         return one
 
