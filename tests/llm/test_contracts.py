@@ -284,6 +284,28 @@ def test_urls(spark):
     got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_rules.judge(pages).collect()}
     assert got == dict(enumerate(urls.values())) | {None: ("", "", None, "allow")}
     assert url_rules.judge(pages.limit(0)).count() == 0
+    long = "http://a.org/" + "-".join(f"t{i}" for i in range(20_000)) + "/casino-x"
+    assert [r.verdict for r in url_rules.judge(spark.createDataFrame([(1, long), (2, "http://casino.org/" + "y" * 100_000)], "page_id long, url string")).orderBy("page_id").collect()] == ["allow", "block"]
+
+
+def test_thousands_of_rules_by_brute_force(spark):
+    rng = random.Random(12)
+    words = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in ("l", "n", "rt", "st", "x")]
+    rules = []
+    for i in range(5000):
+        first, second = rng.sample(words, 2)
+        shape = rng.choice([rf"://([^/?#]*[.-])?{first}-{second}\.", rf"/{first}/[^?#]*{second}[0-9]+\b", rf"[?&]{first}={second}(&|$)"])
+        rules.append((f"r{i:04}", shape, [first] if "0-9" in shape else [first, second]))
+    table = spark.createDataFrame(rules, "name string, pattern string, tokens array<string>")
+    urls = [f"http://{rng.choice(words)}-{rng.choice(words)}.org/{rng.choice(words)}/{rng.choice(words)}{rng.choice(['', '7', '/42'])}?{rng.choice(words)}={rng.choice(words)}" for _ in range(400)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r for r in url_rules.judge(pages, (), url_rules.pattern_rules(table)).collect()}
+    compiled = [(name, re.compile(pattern)) for name, pattern, _ in rules]
+    for i, u in enumerate(urls):
+        assert sorted(got[i].hits) == [name for name, p in compiled if p.search(u)] and got[i].n_candidates < 1500
+    assert any(r.hits for r in got.values())
+    with pytest.raises(ValueError):
+        url_rules.pattern_rules(spark.createDataFrame([("x", "y", [])], "name string, pattern string, tokens array<string>"))
 
 
 def test_rules_are_filed_under_their_rarest_token():
@@ -321,6 +343,28 @@ def test_bins(docs, odd, empty):
     assert packing.pack(empty).count() == 0
 
 
+def test_lengths_are_tokens_and_bins_are_full(spark, docs, odd, empty):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(BPE)
+    for df in (odd, docs):
+        want = Counter()
+        for (d, text), n in texts_of(df).items():
+            want[d] += n * (len(t.encode(text, add_special_tokens=False).ids) + 1)
+        got = Counter()
+        for r in packing.pack(df, tokenizer=BPE).collect():
+            got[r.doc_id] += r.n_tokens
+        assert got == want
+    assert packing.pack(empty, tokenizer=BPE).count() == 0
+    large = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    for table in (large, large.withColumn("source", F.lit("one"))):
+        assert packing.fill(packing.pack(table)).first()["fill"] > 0.96
+    same = spark.range(9000).select(F.lit(1).alias("doc_id"), F.lit("a b").alias("text"), F.lit(None).cast("string").alias("source"))
+    bins = packing.pack(same, group=1000).groupBy("bin").count()
+    assert bins.count() == 9000  # copies never share a bin
+    assert bins.select(F.split("bin", "-")[0]).distinct().count() > 5  # and rows that repeat don't meet in one group
+
+
 def test_best_fit_by_brute_force():
     rng = random.Random(5)
     packer = packing.Packer(100, 2)
@@ -342,7 +386,7 @@ def test_best_fit_by_brute_force():
 # 7 toxicity
 
 
-def test_toxicity(spark, odd, empty, docs, sf):
+def test_toxicity(spark, odd, empty):
     rng = random.Random(2)
     rows = []
     for i in range(600):
@@ -359,11 +403,55 @@ def test_toxicity(spark, odd, empty, docs, sf):
     assert sum(r.predicted == truth[r.doc_id] for r in found if r.held_out) >= 0.95 * sum(r.held_out for r in found)
     hits = toxicity.locate(table, model).collect()
     assert hits and all("vile" in h.sentence or "foul" in h.sentence for h in hits)
+    text = {i: t for i, t, _ in rows}
+    worst = [r for r in found if r.worst_start is not None]
+    assert worst and all(any(w in text[r.doc_id][r.worst_start : r.worst_end] for w in ("vile", "foul")) and r.n_offending >= 1 for r in worst)
+    twice = spark.createDataFrame([(1, "vile words", "x"), (1, "vile words", "y"), (2, "vile words", None)], "doc_id long, text string, score string")
+    assert len({(r.score, r.predicted, r.worst_start) for r in toxicity.score(twice, model).collect()}) == 1  # ties
     assert toxicity.score(odd, model).count() == odd.count() and toxicity.score(empty, model).count() == 0
     none = toxicity.fit_model(table, table.select("doc_id", F.lit(None).cast("int").alias("toxic")))
     assert none.constant == 0.0 and toxicity.fit_model(empty.select("doc_id", "text"), table.select("doc_id", "toxic")).constant == 0.0
 
 
+def test_noisy_or_gradient_by_differences():
+    rng = np.random.default_rng(3)
+    doc, y = np.sort(rng.integers(0, 6, 20)), np.array([0.0, 1, 0, 1, 1, 0])
+    doc[:6] = range(6)
+    z = rng.normal(0, 2, 20)
+
+    def likelihood(z):
+        total = 0.0
+        for d in range(6):
+            clean = np.prod([1 - 1 / (1 + np.exp(-z[i])) for i in range(20) if doc[i] == d])
+            total += toxicity.TOXIC_WEIGHT * np.log(1 - clean) if y[d] else np.log(clean)
+        return total
+
+    value, push = toxicity.noisy_or_gradient(z, doc, y)
+    assert value == pytest.approx(likelihood(z))
+    for i in range(20):
+        step = np.eye(20)[i] * 1e-6
+        assert push[i] == pytest.approx((likelihood(z + step) - likelihood(z - step)) / 2e-6, abs=1e-5)
+
+
+def test_toxicity_query_by_brute_force(spark):
+    """The query's scores, a sentence and a word at a time from the model's weights; held-out documents are found."""
+    where = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{where}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit_model(docs, labels)
+    found = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    sigmoid = lambda v: 1 / (1 + np.exp(-v))
+    for r in docs.where("doc_id % 50 = 0").collect():
+        clean = 1.0
+        for sentence in re.findall(r"[^.!?\n]+", (r.text or "").lower()) or [""]:
+            words = set(re.findall(r"[^\W\d_]+", sentence))
+            clean *= 1 - sigmoid(model.bias + sum(model.weights.get(f, 0) for w in words for f in toxicity.features(w)))
+        assert found[r.doc_id].score == pytest.approx((1 - clean) ** (np.log(0.5) / np.log(toxicity.CUT)), abs=1e-6)
+    judged = [(r.toxic, found[r.doc_id]) for r in labels.collect() if r.toxic is not None and r.doc_id in found and found[r.doc_id].held_out]
+    toxic = [r for y, r in judged if y]
+    assert sum(r.predicted for r in toxic) >= 0.88 * len(toxic) and sum(r.predicted for y, r in judged if not y) <= 0.005 * len(judged)
+    assert all(r.predicted == (r.score >= 0.5) and r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in found.values())
+
+
 def test_noisy_or_is_that_of_the_sentences():
     model = toxicity.Model(-2.0, {"bad$": 3.0})
     p = [model.sentence(s) for s in ("so bad", " really ", " bad bad")]

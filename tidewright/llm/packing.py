@@ -2,19 +2,24 @@
 
 Bins are kept in order of what is left in them. A piece goes to the tightest bin that it fits and that it may share: a search for the
 successor of its length continues bin by bin until one is compatible; if none is, a bin is opened. Each bin carries a bitmap of its
-duplicate clusters and one of its sources. Two documents of one cluster never share a bin, and no more than PER_SOURCE of one
-source do (a source has as many bits).
+duplicate clusters and one of its sources. Two documents of one cluster never share a bin, and no more than per_source of one
+source do (a source has as many bits): three times as many as a bin would hold of the most frequent source by chance, PER_SOURCE at least, so that
+a source with most of the rows doesn't leave bins half empty.
 
-Documents are dealt by a hash into groups of about GROUP, and each group is packed in order of falling length, streaming through a
+Lengths are tokens: ids of the tokenizers library, whole texts, and one for the end (without a tokenizer: words and one). They are measured once
+and written to the shared folder with the clusters; texts don't travel.
+
+Documents are dealt by a hash (of id, cluster and a number of the row, so that rows which repeat don't meet) into groups of about GROUP, and each group is packed in order of falling length, streaming through a
 task; a bin never crosses groups. So neither a large source nor a cluster of copies meets in one task, and the count of groups follows the
 input. A text longer than a bin is cut: full bins of its own, then a rest that is packed. No token is dropped or padded away.
 
 A null text is empty: its piece holds the end token alone. A null source is a source. Repeated rows are packed each, as duplicates of one another.
-Ties in length go by doc_id, then by cluster. Columns beside doc_id, text and source are ignored; an empty table gives no pieces.
+Very long texts give many full bins. Ties in length go by doc_id, then by cluster. Columns beside doc_id, text and source are ignored; an empty table gives no pieces.
 """
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -22,11 +27,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import FLUSH_ROWS, _arrow_schema, to_batch, whole_text
+from .common import FLUSH_ROWS, _arrow_schema, materialize, to_batch, whole_text
+from .elias_fano import _encoder
 
 CAPACITY = 2048
 GROUP = 4096
 PER_SOURCE = 2
+MOST_PER_SOURCE = 64
+#: Packing tasks at most; with more groups each task packs several, one after another.
+MOST_TASKS = 20_000
 
 SCHEMA = "doc_id long, piece int, n_tokens long, bin string, bin_offset long"
 
@@ -95,13 +104,49 @@ def cluster_of(column: str = "text") -> Column:
     return F.md5(F.lower(F.trim(F.regexp_replace(F.col(column), r"[\x20\x09-\x0D]+", " "))).cast("binary"))
 
 
-def pack(docs: DataFrame, length: Column | None = None, cluster: Column | None = None, capacity: int = CAPACITY, per_source: int = PER_SOURCE, group: int = GROUP) -> DataFrame:
-    """The pieces of all documents: doc_id, piece, n_tokens, bin, bin_offset. length and cluster are columns over doc_id, text, source."""
+def measured(docs: DataFrame, tokenizer: str | None = None, length: Column | None = None, cluster: Column | None = None) -> DataFrame:
+    """doc_id, length, source, cluster and number (of the row) of all documents; written to the shared folder. tokenizer: a path that executors have."""
     rows = docs.select("doc_id", whole_text().alias("text"), "source")
-    rows = rows.select("doc_id", (word_tokens() if length is None else length).alias("length"), "source", (cluster_of() if cluster is None else cluster).alias("cluster"))
-    groups = max(1, -(-docs.count() // group))
-    rows = rows.withColumn("g", F.pmod(F.xxhash64("doc_id", "cluster"), F.lit(groups)))
-    dealt = rows.repartition("g").sortWithinPartitions("g", F.desc(F.col("length") % capacity), F.desc("length"), "doc_id", "cluster", "source")
+    rows = rows.select("doc_id", "source", (cluster_of() if cluster is None else cluster).alias("cluster"), "text" if tokenizer else (word_tokens() if length is None else length).alias("length"))
+    if tokenizer:
+        schema = "doc_id long, source string, cluster string, length long"
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            encoder = _encoder(tokenizer)
+            for batch in batches:
+                for start in range(0, batch.num_rows, 512):
+                    part = batch.slice(start, 512)
+                    lengths = [n + 1 for n in encoder.counts(part.column(3).to_pylist())]
+                    yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(lengths, pa.int64())], names=["doc_id", "source", "cluster", "length"])
+
+        rows = rows.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), "cluster", "text").mapInArrow(run, schema)
+    return materialize(rows.select("doc_id", "length", "source", "cluster", F.monotonically_increasing_id().alias("number")), "lengths")
+
+
+def source_bits(rows: DataFrame, capacity: int) -> int:
+    """How many documents of one source may share a bin, from the rests' mean length and the largest source's share."""
+    each = rows.groupBy("source").agg(F.count("*").alias("n"), F.sum(F.col("length") % capacity).alias("rest"))
+    found = each.agg(F.sum("n").alias("n"), F.sum("rest").alias("rest"), F.max("n").alias("largest")).first()
+    if not found["n"] or not found["rest"]:
+        return PER_SOURCE
+    return min(MOST_PER_SOURCE, max(PER_SOURCE, math.ceil(3 * capacity * found["largest"] / found["rest"])))
+
+
+def fill(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """One row: bins, n_tokens and fill, the share of the bins' places that hold a token."""
+    bins = packed.groupBy("bin").agg(F.sum("n_tokens").alias("n"))
+    return bins.agg(F.count("*").alias("bins"), F.sum("n").alias("n_tokens"), (F.sum("n") / (F.count("*") * capacity)).alias("fill"))
+
+
+def pack(
+    docs: DataFrame, length: Column | None = None, cluster: Column | None = None, capacity: int = CAPACITY, per_source: int | None = None, group: int = GROUP, tokenizer: str | None = None
+) -> DataFrame:
+    """The pieces of all documents: doc_id, piece, n_tokens, bin, bin_offset. length and cluster are columns over doc_id, text, source."""
+    rows = measured(docs, tokenizer, length, cluster)
+    per_source = per_source or source_bits(rows, capacity)
+    groups = max(1, -(-rows.count() // group))
+    rows = rows.select("doc_id", "length", "source", "cluster", F.pmod(F.xxhash64("doc_id", "cluster", "number"), F.lit(groups)).alias("g"))
+    dealt = rows.repartition(min(groups, MOST_TASKS), "g").sortWithinPartitions("g", F.desc(F.col("length") % capacity), F.desc("length"), "doc_id", "cluster", "source")
     arrow = _arrow_schema(docs.sparkSession, SCHEMA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -33,11 +33,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_rules.judge(table(spark, sf_dir, "pages")).drop("hits")
+    return url_rules.judge(table(spark, sf_dir, "pages")).drop("hits", "n_candidates")
 
 
 def op6_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer=tokenizer_path("word_bpe_49k.json"))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

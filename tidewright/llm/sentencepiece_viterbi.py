@@ -223,6 +223,14 @@ class Pieces:
 def _load(path: str) -> Pieces:
     import sentencepiece
 
+    from sentencepiece import sentencepiece_model_pb2
+
+    proto = sentencepiece_model_pb2.ModelProto()
+    with open(path, "rb") as f:
+        proto.ParseFromString(f.read())
+    rules = proto.normalizer_spec
+    if rules.precompiled_charsmap or rules.remove_extra_whitespaces or any(p.type == 4 for p in proto.pieces):
+        raise ValueError("models with normaliser rules, removal of white space or user-defined pieces aren't supported")
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     kind = lambda i: "unknown" if model.is_unknown(i) else "control" if model.is_control(i) else "byte" if model.is_byte(i) else "unused" if model.is_unused(i) else "normal"
     return Pieces([(model.id_to_piece(i), model.get_score(i), kind(i)) for i in range(model.get_piece_size())], dummy_prefix=model.encode("a", out_type=str)[0].startswith(MARK))
