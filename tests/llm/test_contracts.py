@@ -593,6 +593,24 @@ def test_near_copies_of_the_tables_by_similarity(spark, where):
     assert len(got) == sum(sizes[r] > 1 for r in want) and len(set(got.values())) == sum(n > 1 for n in sizes.values())
 
 
+def test_outlines_allow_similar_sets(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for n in (40, 100, 300, 2000):
+        for share in (0.5, 0.25, 0.0):  # how the difference is dealt to both
+            for _ in range(60):
+                pool = np.unique(rng.integers(0, 2**63, int(n * 1.25) + 1, dtype=np.uint64))
+                rng.shuffle(pool)
+                rest, common = pool[: len(pool) // 5], pool[len(pool) // 5 :]
+                cut = int(len(rest) * share)
+                rows.append((True, np.concatenate((common, rest[:cut])), np.concatenate((common, rest[cut:]))))
+            other = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+            rows.append((False, np.concatenate((common, rest)), np.concatenate((common[: len(common) // 20], other))))
+    as_list = lambda x: simhash.outline(np.sort(x)).view(np.int64).tolist()
+    table = spark.createDataFrame([(s, as_list(a), as_list(b), len(a), len(b)) for s, a, b in rows], "similar boolean, o array<long>, p_o array<long>, n int, p_n int")
+    assert {tuple(r) for r in table.select("similar", simhash.plausible(0.8)).distinct().collect()} == {(True, True), (False, False)}
+
+
 def test_prefixes_lose_no_similar_pair(spark):
     """Random sets, some of them in large groups, through all rounds against brute force."""
     rng = random.Random(5)

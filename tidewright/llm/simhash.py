@@ -216,6 +216,10 @@ FREQUENT = 50_000
 FREQUENT_LEAST = 3
 #: Members of a shingle that all others are compared with, by round; in the last round each one that is left meets each other.
 PIVOTS = (1, 16, None)
+#: SimHashes of an outline; how far, in standard deviations, its bits may differ beyond what is expected; sets that are too small for it.
+OUTLINE = 4
+SPREADS = 7
+SMALL = 32
 #: Stretches into which the pairs of one text are dealt.
 BLOCKS = 256
 #: Classes that a task remembers, so as to sketch copies once.
@@ -223,9 +227,8 @@ SEEN = 500_000
 
 
 def class_of(column: str = "text") -> Column:
-    """A 128-bit digest of the lower-cased word sequence: texts that differ in case of A-Z or white space only are copies."""
-    lowered = F.translate(F.coalesce(F.col(column), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.unhex(F.md5(F.trim(F.regexp_replace(lowered, r"[\x20\x09-\x0D]+", " ")).cast("binary")))
+    """A 128-bit digest of the text. Texts that differ in case of A-Z or white space have equal shingles and fingerprints, and so are found to be similar."""
+    return F.unhex(F.md5(F.coalesce(F.col(column), F.lit("")).cast("binary")))
 
 
 def _mixed(hashes: np.ndarray, seeds: int) -> np.ndarray:
@@ -273,13 +276,34 @@ def prefix(shingles: np.ndarray, frequent: np.ndarray, similarity: float) -> np.
 
     Of n shingles at least similarity * n are common with such a set, so fewer than those that this leaves out plus one can be absent.
     """
-    late = np.isin(shingles, frequent, assume_unique=True)
     n = len(shingles)
+    late = np.zeros(n, bool)
+    if len(frequent):
+        late = frequent[np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)] == shingles
     return np.concatenate([shingles[~late], shingles[late]])[: n - math.ceil(similarity * n - 1e-9) + 1]
 
 
+def outline(shingles: np.ndarray) -> np.ndarray:
+    """OUTLINE SimHashes of the set of shingles, by which pairs that share a few shingles by chance are told from similar ones."""
+    return majority(_mixed(shingles, OUTLINE)) if len(shingles) else np.zeros(OUTLINE, np.uint64)
+
+
+def plausible(similarity: float) -> Column:
+    """Whether the outlines and sizes of columns o, p_o, n and p_n allow the similarity.
+
+    The cosine of sets of that similarity is 2s / (1 + s) at least, whatever their sizes, and bits of their outlines differ with the angle's share of a
+    half turn. Pairs go whose bits differ more often by SPREADS standard deviations (a similar pair is lost with a probability under 1e-11). Small sets,
+    for which the angle doesn't tell enough, are all plausible.
+    """
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    bits = 64 * OUTLINE
+    most = int(bits * share + SPREADS * math.sqrt(bits * share * (1 - share)))
+    differ = F.aggregate(F.zip_with("o", "p_o", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, x: a + x)
+    return (F.least("n", "p_n") < SMALL) | (differ <= most)
+
+
 def sketches(docs: DataFrame, similarity: float, size: int, seeds: int, radius: int) -> DataFrame:
-    """One row per class, written to the shared folder: id (a number), class, fps, n (shingles) and prefix. A task sketches a class once."""
+    """One row per class, written to the shared folder: id (a number), class, fps, n (shingles), prefix and outline. A task sketches a class once."""
     frequent = frequent_shingles(docs, size)
 
     def make():
@@ -294,12 +318,12 @@ def sketches(docs: DataFrame, similarity: float, size: int, seeds: int, radius:
             seen.add(key)
             shingles = shingle_set(row["text"], size)
             first = prefix(shingles, frequent, similarity)
-            return [(key, word_fingerprints(row["text"], seeds).view(np.int64).tolist(), len(shingles), first.view(np.int64).tolist())]
+            return [(key, word_fingerprints(row["text"], seeds).view(np.int64).tolist(), len(shingles), first.view(np.int64).tolist(), outline(shingles).view(np.int64).tolist())]
 
         return one
 
-    found = map_rows(docs.select(class_of().alias("class"), whole_text().alias("text")), make, "class binary, fps array<long>, n int, prefix array<long>")
-    found = found.groupBy("class").agg(F.any_value("fps").alias("fps"), F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix"))
+    found = map_rows(docs.select(class_of().alias("class"), whole_text().alias("text")), make, "class binary, fps array<long>, n int, prefix array<long>, outline array<long>")
+    found = found.groupBy("class").agg(*(F.any_value(c).alias(c) for c in ("fps", "n", "prefix", "outline")))
     return materialize(found.withColumn("id", F.monotonically_increasing_id()), "sketches")  # written once, so the numbers stay
 
 
@@ -381,6 +405,13 @@ def prefix_pairs(rows: DataFrame, similarity: float, pivots: int | None) -> tupl
     return pairs, left
 
 
+def plausible_pairs(pairs: DataFrame, sketched: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose outlines allow the similarity."""
+    narrow = sketched.select("id", "n", F.col("outline").alias("o"))
+    both = pairs.join(narrow.select(F.col("id").alias("a"), F.col("n").alias("p_n"), F.col("o").alias("p_o")), "a").join(narrow.withColumnRenamed("id", "b"), "b")
+    return both.where(plausible(similarity)).select("a", "b")
+
+
 def verified(pairs: DataFrame, sketched: DataFrame, texts: DataFrame, similarity: float, size: int) -> DataFrame:
     """The pairs (a, b) whose texts' shingle sets are similar enough; written to the shared folder.
 
@@ -415,7 +446,7 @@ def similar_classes(docs: DataFrame, similarity: float = SIMILARITY, size: int =
     """class, root: classes of equal word sequences whose sets of word shingles are similar enough, joined to components.
 
     A class without a similar one isn't listed. Two sources propose pairs: SimHash fingerprints that BK-trees link, and shingles in common among the
-    first of both texts (a prefix filter, which loses no pair that is similar enough). A shingle's members meet in rounds, first all with one, so
+    first of both texts (a prefix filter, which loses no pair that is similar enough). Pairs whose outlines, 256 bits of SimHash, are far apart go at once. A shingle's members meet in rounds, first all with one, so
     that a large group of near copies is joined by about as many pairs as it has members; pairs that are joined aren't compared again. What
     texts hold in common is computed from their whole shingle sets.
     """
@@ -430,11 +461,12 @@ def similar_classes(docs: DataFrame, similarity: float = SIMILARITY, size: int =
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if k:
             pairs = pairs.join(asked, ["a", "b"], "left_anti")  # noqa: F821
-        pairs = materialize(pairs, "pairs")
+        pairs = materialize(plausible_pairs(pairs, sketched, similarity), "pairs")
         asked = pairs if k == 0 else asked.union(pairs)  # noqa: F821
-        found = verified(pairs, sketched, texts, similarity, size)
-        links = found if links is None else links.union(found)
-        joined = components(links)
+        if k == 0 or not pairs.isEmpty():
+            found = verified(pairs, sketched, texts, similarity, size)
+            links = found if links is None else links.union(found)
+            joined = components(links)
         if pivots is None:
             break
         rows = _rooted(left.drop("root"), joined)
