@@ -89,6 +89,19 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[dict], list[tuple]]], s
     return df.mapInArrow(run, schema)
 
 
+def release() -> None:
+    """Gives memory that a task has freed back to the system; the worker lives on for other tasks."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def to_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) if rows else [[] for _ in schema]
     return pa.RecordBatch.from_arrays([pa.array(list(c), type=f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)

@@ -167,9 +167,10 @@ class WordEncoder:
     pre-token, many of them are encoded in one call and told apart by those marks.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, cache: int = CACHE) -> None:
         from tokenizers import Tokenizer
 
+        self.cache = cache
         self.tokenizer = Tokenizer.from_file(path)
         suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
         vocabulary = self.tokenizer.get_vocab()
@@ -226,7 +227,7 @@ class WordEncoder:
     def _by_words(self, texts: list[str]) -> list[np.ndarray]:
         split = [None if any(s in text for s in self.openings) or _SEPARATORS.search(text) else text.encode().lower().decode().split() for text in texts]
         table = self.table
-        if len(table) > CACHE:
+        if len(table) > self.cache:
             table.clear()
         words = set().union(*(x for x in split if x))
         missing = words.difference(table)

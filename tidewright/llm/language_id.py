@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import _arrow_schema, held_out, likely, map_rows, whole_text
+from .common import _arrow_schema, held_out, likely, map_rows, release, whole_text
 
 #: Labelled documents that a fit takes at most of each language, and of all languages about (no language gets a share under LEAST_DOCS).
 FIT_DOCS = 400
@@ -38,10 +38,10 @@ RATE = 0.02
 STRETCH = 224
 CONTEXT = 16
 #: Stretches of a batch; every batch has this shape.
-LOT = 1024
+LOT = 512
 #: Documents' bytes and rows that a task predicts at a time.
-CHUNK_BYTES = 4 << 20
-CHUNK_ROWS = 2048
+CHUNK_BYTES = 2 << 20
+CHUNK_ROWS = 512
 POOL = 1 / 16
 UND = "und"
 #: Stands where a text has no byte; it leaves the state as it is.
@@ -295,13 +295,15 @@ class Pooler:
 
 def chunks(batch: pa.RecordBatch, at: int):
     """Slices of a batch of bounded rows and bytes, with the texts of column at."""
-    texts = batch.column(at).to_pylist()
-    start, held = 0, 0
-    for i, text in enumerate(texts):
-        held += len(text or "")
-        if held >= CHUNK_BYTES or i + 1 - start >= CHUNK_ROWS or i + 1 == len(texts):
-            yield batch.slice(start, i + 1 - start), texts[start : i + 1]
-            start, held = i + 1, 0
+    for first in range(0, batch.num_rows, CHUNK_ROWS):
+        part = batch.slice(first, CHUNK_ROWS)
+        texts = part.column(at).to_pylist()
+        start, held = 0, 0
+        for i, text in enumerate(texts):
+            held += len(text or "")
+            if held >= CHUNK_BYTES or i + 1 == len(texts):
+                yield part.slice(start, i + 1 - start), texts[start : i + 1]
+                start, held = i + 1, 0
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
@@ -362,5 +364,6 @@ def keep_identified(docs: DataFrame, model: Model | None = None, least_score: fl
         for batch in batches:
             for part, texts in chunks(batch, at):
                 yield part.filter(pa.array([found[0] != UND and found[1] >= least_score for found in pooler.predict(texts)], pa.bool_()))
+        release()
 
     return docs.select(*names).mapInArrow(run, source)

@@ -27,13 +27,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import FLUSH_ROWS, _arrow_schema, materialize, to_batch, whole_text
-from .elias_fano import _encoder
+from .common import FLUSH_ROWS, _arrow_schema, materialize, release, to_batch, whole_text
+from .elias_fano import WordEncoder
 
 CAPACITY = 2048
 GROUP = 4096
 PER_SOURCE = 2
 MOST_PER_SOURCE = 64
+#: Words whose tokens a counting task keeps.
+COUNTED_WORDS = 150_000
 #: Packing tasks at most; with more groups each task packs several, one after another.
 MOST_TASKS = 20_000
 
@@ -112,12 +114,14 @@ def measured(docs: DataFrame, tokenizer: str | None = None, length: Column | Non
         schema = "doc_id long, source string, cluster string, length long"
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            encoder = _encoder(tokenizer)
+            encoder = WordEncoder(tokenizer, COUNTED_WORDS)  # goes with the task
             for batch in batches:
                 for start in range(0, batch.num_rows, 512):
                     part = batch.slice(start, 512)
                     lengths = [n + 1 for n in encoder.counts(part.column(3).to_pylist())]
                     yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(lengths, pa.int64())], names=["doc_id", "source", "cluster", "length"])
+            del encoder
+            release()
 
         rows = rows.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), "cluster", "text").mapInArrow(run, schema)
     return materialize(rows.select("doc_id", "length", "source", "cluster", F.monotonically_increasing_id().alias("number")), "lengths")
