@@ -384,8 +384,9 @@ def prefix_pairs(rows: DataFrame, similarity: float, pivots: int | None) -> tupl
 
     rows: shingle, id, n, place and root, of shingles with two or more roots. The first pivots members of a shingle, by a hash that makes the
     same ids first in all shingles, meet all others and leave; None: each meets each. A pair is certain to come with the first shingle that its
-    sets share.
+    sets share. Where rows have an outline, o, the join itself leaves out pairs that it doesn't allow.
     """
+    outlined = ["o"] if "o" in rows.columns else []
     rows = rows.withColumn("rank", F.xxhash64("id"))
     order = F.struct("rank", "id")
     if pivots is None:
@@ -395,10 +396,11 @@ def prefix_pairs(rows: DataFrame, similarity: float, pivots: int | None) -> tupl
     else:
         w = Window.partitionBy("shingle").orderBy("rank", "id")
         first = rows.withColumn("k", F.row_number().over(w)).where(F.col("k") <= pivots).drop("k")
-    p = first.select("shingle", *(F.col(c).alias(f"p_{c}") for c in ("id", "n", "place", "root", "rank")))
+    p = first.select("shingle", *(F.col(c).alias(f"p_{c}") for c in ("id", "n", "place", "root", "rank", *outlined)))
     both = rows.join(p, "shingle").where((F.col("root") != F.col("p_root")) & (order > F.struct(F.col("p_rank").alias("rank"), F.col("p_id").alias("id"))))
     least = F.least(F.col("n") - F.col("place"), F.col("p_n") - F.col("p_place"))
     fits = (F.least("n", "p_n") >= similarity * F.greatest("n", "p_n") - 1e-9) & (least >= similarity / (1 + similarity) * (F.col("n") + F.col("p_n")) - 1e-6)
+    fits = fits & plausible(similarity) if outlined else fits
     pairs = both.where(fits).select(F.col("p_id").alias("a"), F.col("id").alias("b"))
     last = first.groupBy("shingle").agg(F.max(order).alias("_last"))
     left = rows.join(last, "shingle").where(order > F.col("_last")).drop("_last", "rank")
@@ -469,9 +471,10 @@ def similar_classes(docs: DataFrame, similarity: float = SIMILARITY, size: int =
             joined = components(links)
         if pivots is None:
             break
-        rows = _rooted(left.drop("root"), joined)
+        rows = _rooted(left.drop("root", "o"), joined)
         open_ = rows.groupBy("shingle").agg(F.min("root").alias("_least"), F.max("root").alias("_most")).where("_least < _most").select("shingle")
-        rows = materialize(rows.join(open_, "shingle"), "open-shingles")
+        rows = rows.join(open_, "shingle").join(sketched.select("id", F.col("outline").alias("o")), "id")
+        rows = materialize(rows, "open-shingles")
         if rows.isEmpty():
             break
     return joined.join(sketched.select("id", "class"), F.col("node") == F.col("id")).select("class", "root")
