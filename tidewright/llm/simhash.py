@@ -379,6 +379,18 @@ def _rooted(rows: DataFrame, joined: DataFrame) -> DataFrame:
     return rows.join(joined.select(F.col("node").alias("_node"), "root"), F.col("id") == F.col("_node"), "left").drop("_node").withColumn("root", F.coalesce("root", "id"))
 
 
+def first_shingles(rows: DataFrame) -> DataFrame:
+    """The shingles with two or more roots; of those with the same members only the first by the order of all texts.
+
+    rows: shingle, id, place and root. The shingles of a passage have the same members and would propose the same pairs once each. The first shingle that two
+    sets share always stays, as one with the same members before it would be shared, too. Members are told apart by their number and 128 bits.
+    """
+    members = [F.bit_xor(F.xxhash64(F.lit(k), "id")).alias(f"_members{k}") for k in (0, 1)]
+    found = rows.groupBy("shingle").agg(F.min("root").alias("_least"), F.max("root").alias("_most"), F.count("*").alias("_n"), F.sum("place").alias("_places"), *members)
+    # members have their shingles in one order, so the sum of the places ascends with it
+    return found.where("_least < _most").groupBy("_n", "_members0", "_members1").agg(F.min_by("shingle", F.struct("_places", "shingle")).alias("shingle")).select("shingle")
+
+
 def prefix_pairs(rows: DataFrame, similarity: float, pivots: int | None) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b) of members of one shingle with other roots that can be similar by their sizes and the shingle's places; and the rows that are left.
 
@@ -472,8 +484,7 @@ def similar_classes(docs: DataFrame, similarity: float = SIMILARITY, size: int =
         if pivots is None:
             break
         rows = _rooted(left.drop("root", "o"), joined)
-        open_ = rows.groupBy("shingle").agg(F.min("root").alias("_least"), F.max("root").alias("_most")).where("_least < _most").select("shingle")
-        rows = rows.join(open_, "shingle").join(sketched.select("id", F.col("outline").alias("o")), "id")
+        rows = rows.join(first_shingles(rows), "shingle").join(sketched.select("id", F.col("outline").alias("o")), "id")
         rows = materialize(rows, "open-shingles")
         if rows.isEmpty():
             break
