@@ -344,7 +344,7 @@ def simhash_pairs(sketched: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def shared_prefixes(sketched: DataFrame) -> DataFrame:
-    """shingle, id, n and place of the prefixes' shingles that two or more classes have; written to the shared folder."""
+    """shingle, id, n and place of the prefixes' shingles that two or more classes have, with past, the id's shared shingle before; written to the shared folder."""
     packed = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("place").cast("long"))
     rows = sketched.select("id", "n", F.posexplode("prefix").alias("place", "shingle")).select("shingle", "id", packed.alias("at"))
     dealt = rows.repartition("shingle").sortWithinPartitions("shingle")
@@ -371,7 +371,8 @@ def shared_prefixes(sketched: DataFrame) -> DataFrame:
             yield held
 
     found = dealt.mapInArrow(run, "shingle long, id long, at long")
-    return materialize(found.select("shingle", "id", F.shiftright("at", 32).cast("int").alias("n"), F.col("at").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("place")), "shared-prefixes")
+    found = found.select("shingle", "id", F.shiftright("at", 32).cast("int").alias("n"), F.col("at").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("place"))
+    return materialize(found.withColumn("past", F.lag("shingle").over(Window.partitionBy("id").orderBy("place"))), "shared-prefixes")
 
 
 def _rooted(rows: DataFrame, joined: DataFrame) -> DataFrame:
@@ -394,9 +395,10 @@ def first_shingles(rows: DataFrame) -> DataFrame:
 def prefix_pairs(rows: DataFrame, similarity: float, pivots: int | None) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b) of members of one shingle with other roots that can be similar by their sizes and the shingle's places; and the rows that are left.
 
-    rows: shingle, id, n, place and root, of shingles with two or more roots. The first pivots members of a shingle, by a hash that makes the
+    rows: shingle, id, n, place, past and root, of shingles with two or more roots. The first pivots members of a shingle, by a hash that makes the
     same ids first in all shingles, meet all others and leave; None: each meets each. A pair is certain to come with the first shingle that its
-    sets share. Where rows have an outline, o, the join itself leaves out pairs that it doesn't allow.
+    sets share. At another one that follows the same shared shingle in both sets it needn't come: the run of shingles that both have proposes it
+    where it starts. Where rows have an outline, o, the join itself leaves out pairs that it doesn't allow.
     """
     outlined = ["o"] if "o" in rows.columns else []
     rows = rows.withColumn("rank", F.xxhash64("id"))
@@ -404,14 +406,15 @@ def prefix_pairs(rows: DataFrame, similarity: float, pivots: int | None) -> tupl
     if pivots is None:
         first = rows
     elif pivots == 1:
-        first = rows.groupBy("shingle").agg(F.min_by(F.struct("id", "n", "place", "root", "rank"), order).alias("m")).select("shingle", "m.*")
+        first = rows.groupBy("shingle").agg(F.min_by(F.struct("id", "n", "place", "past", "root", "rank"), order).alias("m")).select("shingle", "m.*")
     else:
         w = Window.partitionBy("shingle").orderBy("rank", "id")
         first = rows.withColumn("k", F.row_number().over(w)).where(F.col("k") <= pivots).drop("k")
-    p = first.select("shingle", *(F.col(c).alias(f"p_{c}") for c in ("id", "n", "place", "root", "rank", *outlined)))
+    p = first.select("shingle", *(F.col(c).alias(f"p_{c}") for c in ("id", "n", "place", "past", "root", "rank", *outlined)))
     both = rows.join(p, "shingle").where((F.col("root") != F.col("p_root")) & (order > F.struct(F.col("p_rank").alias("rank"), F.col("p_id").alias("id"))))
     least = F.least(F.col("n") - F.col("place"), F.col("p_n") - F.col("p_place"))
     fits = (F.least("n", "p_n") >= similarity * F.greatest("n", "p_n") - 1e-9) & (least >= similarity / (1 + similarity) * (F.col("n") + F.col("p_n")) - 1e-6)
+    fits = fits & F.coalesce(F.col("past") != F.col("p_past"), F.lit(True))
     fits = fits & plausible(similarity) if outlined else fits
     pairs = both.where(fits).select(F.col("p_id").alias("a"), F.col("id").alias("b"))
     last = first.groupBy("shingle").agg(F.max(order).alias("_last"))
