@@ -215,7 +215,7 @@ COUNTED = 10_000
 FREQUENT = 50_000
 FREQUENT_LEAST = 3
 #: Members of a shingle that all others are compared with, by round; in the last round each one that is left meets each other.
-PIVOTS = (1, 16, None)
+PIVOTS = (1, 16, 64, None)
 #: SimHashes of an outline; how far, in standard deviations, its bits may differ beyond what is expected; sets that are too small for it.
 OUTLINE = 4
 SPREADS = 7
