@@ -26,6 +26,11 @@ def main() -> None:
     c = sub.add_parser("import-history", help="publish bars of a day's trades")
     for name in ("path", "out", "symbol", "date"):
         c.add_argument(name)
+    c = sub.add_parser("collect", help="land files of envelopes, one a line, as raw segments")
+    for name in ("lines", "out", "checkpoint"):
+        c.add_argument(name)
+    c.add_argument("--every", help="keep running, a batch in this interval")
+    c.add_argument("--health", help="a JSON document of the stream's state")
     c = sub.add_parser("validate", help="compare a published dataset with its manifest")
     c.add_argument("path")
     a = parser.parse_args()
@@ -48,6 +53,12 @@ def main() -> None:
             print(json.dumps(pipelines.build_canonical(spark, a.raw, a.out, a.date)))
         elif a.command == "import-history":
             print(pipelines.import_history_day(spark, a.path, a.out, a.symbol, a.date))
+        elif a.command == "collect":
+            from .streaming import sinks
+
+            if a.health:
+                spark.streams.addListener(sinks.Health(spark, a.health))
+            sinks.land(spark.readStream.text(a.lines), a.out, a.checkpoint, a.every).awaitTermination()
         else:
             print(json.dumps(tables.validate(spark, a.path)))
 
