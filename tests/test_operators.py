@@ -181,3 +181,31 @@ def test_estimates_fall_back(spark):
     samples = spark.createDataFrame([("a", "L", 1.0)] * 3 + [("b", "L", 5.0), ("c", "S", None)], "symbol string, side string, v double")
     rows = spark.createDataFrame([("a", "L"), ("b", "L"), ("c", "S")], "symbol string, side string")
     assert {r.symbol: r.estimate for r in J.fallback(rows, samples, "v", ["symbol", "side"], 3).collect()} == {"a": 1.0, "b": 2.0, "c": 2.0}
+
+
+def soon(spark, df, seconds=120):
+    """df's rows; its jobs are cancelled if they take longer, as work by the pair would."""
+    import threading
+
+    timer = threading.Timer(seconds, spark.sparkContext.cancelAllJobs)
+    timer.start()
+    try:
+        return df.collect()
+    finally:
+        timer.cancel()
+
+
+N = 120_000
+
+
+def dense(spark):
+    """Trades at 100 every nanosecond, and one at 102 at the end of all windows: by the pair they are seven thousand million rows."""
+    columns = ["'X' AS symbol", "id AS received_at_ns", "id DIV 1000 AS event_ts_ms", "id AS sequence", f"IF(id = {N}, 102.0D, 100.0D) AS price", "1.0D AS size", "'Sell' AS side", "false AS is_block", "false AS is_rpi"]
+    return spark.range(1, N + 1).selectExpr(*columns)
+
+
+def test_barriers_of_dense_trades(spark):
+    d = dense(spark).selectExpr("sequence AS decision_id", "symbol", "'LONG' AS side", "received_at_ns AS decision_at_ns", f"CAST({N} AS BIGINT) AS label_end_ns", "100.0D AS entry_price", "99.0D AS stop_price", "101.0D AS profit_price")
+    out = labels.barrier_outcomes(d, dense(spark), 50_000)
+    found = soon(spark, out.groupBy("outcome").agg(F.count("*").alias("n"), F.sum("trades_seen").alias("seen"), F.max("profit_key.sequence").alias("key")))
+    assert {tuple(r) for r in found} == {("TP_FIRST", N - 1, N * (N - 1) // 2, N), ("TIMEOUT", 1, None, None)}

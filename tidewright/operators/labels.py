@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import div
 from .bars import order_key
 from .joins import range_pairs
+from .spans import first_hits
 
 
 @dataclass(frozen=True)
@@ -45,19 +46,10 @@ def barrier_outcomes(decisions: DataFrame, trades: DataFrame, bucket_ns: int, id
     """The first barrier that trades in (decision_at_ns, label_end_ns] reach.
 
     decisions: id, symbol, side, decision_at_ns, label_end_ns, entry_price, stop_price, profit_price. Trades at one order key that
-    reach both barriers are AMBIGUOUS; none is TIMEOUT at the last trade, or without a price where nothing traded. One range join by
-    key and bucket, and one aggregation with partial results.
+    reach both barriers are AMBIGUOUS; none is TIMEOUT at the last trade, or without a price where nothing traded. No row per pair of decision
+    and trade is made: each decision looks its first hits up among the trades of its horizon.
     """
-    t = trades.select("symbol", "price", order_key().alias("k"), F.col("received_at_ns").alias("trade_at_ns"))
-    pairs = range_pairs(decisions.select(id, "symbol", "side", "decision_at_ns", "label_end_ns", "stop_price", "profit_price"), t, ["symbol"], "decision_at_ns", "label_end_ns", "trade_at_ns", bucket_ns)
-    stop, profit = _crossed("side", "stop_price", "profit_price", "price", "price")
-    hits = pairs.groupBy(id).agg(
-        F.min(F.when(stop, F.col("k"))).alias("stop_key"),
-        F.min(F.when(profit, F.col("k"))).alias("profit_key"),
-        F.max_by("price", "k").alias("last_price"),
-        F.count("*").alias("trades_seen"),
-    )
-    return _resolved(decisions.join(hits, id, "left"))
+    return _resolved(first_hits(decisions, trades, "decision_at_ns", "label_end_ns", bucket_ns))
 
 
 def covered(rows: DataFrame, trades: DataFrame, end: str, name: str = "covered") -> DataFrame:
