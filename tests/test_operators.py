@@ -223,3 +223,15 @@ def test_extremes_of_dense_records(spark):
     t = spark.range(1, N + 1).selectExpr("'X' AS s", "id AS t", "CAST(id AS DOUBLE) AS v")
     found = spans.extremes(d, t, ["s"], "a", "e", "t", "v", 50_000).agg(F.sum("n"), F.min("high"), F.max("high"))
     assert tuple(soon(spark, found)[0]) == (N * (N + 1) // 2, float(N), float(N))
+
+
+def test_fills_of_dense_trades(spark):
+    o = dense(spark).selectExpr("CAST(sequence AS STRING) AS order_id", "symbol", "'LONG' AS side", "100.0D AS entry_price", "20.0D AS queue_ahead", "30.0D AS size", "received_at_ns AS active_at_ns", f"CAST({N} AS BIGINT) AS expires_at_ns")
+    out = labels.maker_fills(o, dense(spark), 50_000)
+    found = soon(spark, out.groupBy("fill_status").agg(F.count("*"), F.max(F.col("first_fill_ns") - F.col("active_at_ns")), F.max(F.col("full_fill_ns") - F.col("active_at_ns")), F.max("contra_volume"), F.sum("window_trades")))
+    whole = N - 1
+    assert {tuple(r) for r in found} == {
+        ("FULL_FILL", N - 51, 21, 50, 50.0, sum(range(50, whole))),
+        ("PARTIAL_FILL", 29, 21, None, 49.0, sum(range(21, 50))),
+        ("NO_FILL", 22, None, None, 20.0, sum(range(21))),
+    }

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import div
-from .bars import order_key
+from .bars import TRADE_ORDER, order_key
 from .joins import range_pairs
-from .spans import first_hits
+from .spans import first_fills, first_hits
 
 
 @dataclass(frozen=True)
@@ -102,40 +102,17 @@ def maker_fills(orders: DataFrame, trades: DataFrame, bucket_ns: int, id: str =
 
     orders: id, symbol, side (LONG, SHORT), entry_price, queue_ahead, size, active_at_ns, expires_at_ns. Prints at the price deplete the queue, then
     fill the order; a print through it fills the rest, and its volume doesn't count as traded at the price. Ineligible prints only count
-    among window_trades. Windows run within an order.
+    among window_trades. Trade sizes aren't negative. Each order looks its fills up among the trades of its window, without a row per pair.
     """
-    t = trades.select("symbol", "price", F.col("size").alias("trade_size"), F.col("side").alias("trade_side"), order_key().alias("k"), eligible().alias("ok"), F.col("received_at_ns").alias("trade_at_ns"))
-    o = orders.select(id, "symbol", "side", "entry_price", "queue_ahead", "size", "active_at_ns", F.col("expires_at_ns"))
-    pairs = range_pairs(o, t, ["symbol"], "active_at_ns", "expires_at_ns", "trade_at_ns", bucket_ns).where(F.col("trade_at_ns") < F.col("expires_at_ns"))
-    long = F.col("side") == "LONG"
-    contra = F.col("ok") & F.when(long, F.col("trade_side") == "Sell").otherwise(F.col("trade_side") == "Buy")
-    at = contra & (F.abs(F.col("price") - F.col("entry_price")) <= F.greatest(F.abs("entry_price") * 1e-10, F.lit(1e-12)))
-    through = contra & ~at & F.when(long, F.col("price") < F.col("entry_price")).otherwise(F.col("price") > F.col("entry_price"))
-    exact = F.when(at, F.col("trade_size")).otherwise(0.0).cast("decimal(24,6)")
-    w = Window.partitionBy(id).orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-    run = pairs.withColumn("volume", F.sum(exact).over(w).cast("double")).withColumn("through", through).withColumn("at", at)
-    filled = F.when(F.col("through"), F.col("size")).otherwise(F.least(F.col("size"), F.greatest(F.lit(0.0), F.col("volume") - F.col("queue_ahead"))))
-    run = run.withColumn("filled", filled)
-    enough = F.col("size") - F.greatest(F.col("size") * 1e-12, F.lit(1e-15))
-    run = run.withColumn("is_full", F.col("filled") >= enough)
-    full_key = F.min(F.when(F.col("is_full"), F.col("k")))
-    found = run.groupBy(id).agg(
-        F.count("*").alias("window_trades"),
-        F.min(F.when(F.col("filled") > 0, F.col("trade_at_ns"))).alias("first_fill_ns"),
-        F.min(F.when(F.col("is_full"), F.col("trade_at_ns"))).alias("full_fill_ns"),
-        full_key.alias("full_key"),
-        F.max(F.when(~F.col("through"), F.col("filled"))).alias("partial"),
-        # the volume at the price up to the print that fills the order
-        F.min(F.when(F.col("is_full"), F.struct("k", "volume"))).alias("at_full"),
-        F.max("volume").alias("volume"),
-    )
-    out = orders.join(found, id, "left")
-    status = F.when(F.col("full_key").isNotNull(), "FULL_FILL").when(F.col("partial") > 0, "PARTIAL_FILL").otherwise("NO_FILL")
+    t = trades.select("symbol", "price", F.col("size").cast("decimal(24,6)").alias("trade_size"), F.col("side").alias("trade_side"), eligible().alias("ok"), *TRADE_ORDER)
+    out = first_fills(orders, t, bucket_ns)
+    full = F.col("_full_ns").isNotNull()
+    status = F.when(full, "FULL_FILL").when(F.col("_partial") > 0, "PARTIAL_FILL").otherwise("NO_FILL")
     return out.select(
-        *orders.columns, F.coalesce("window_trades", F.lit(0)).alias("window_trades"), "first_fill_ns", "full_fill_ns",
+        *orders.columns, F.col("_trades").alias("window_trades"), F.col("_first_ns").alias("first_fill_ns"), F.col("_full_ns").alias("full_fill_ns"),
         status.alias("fill_status"),
-        F.when(F.col("full_key").isNotNull(), F.lit(1.0)).otherwise(F.coalesce(F.col("partial") / F.col("size"), F.lit(0.0))).alias("fill_fraction"),
-        F.coalesce("at_full.volume", "volume", F.lit(0.0)).alias("contra_volume"),
+        F.when(full, F.lit(1.0)).otherwise(F.coalesce(F.col("_partial") / F.col("size"), F.lit(0.0))).alias("fill_fraction"),
+        F.col("_volume").alias("contra_volume"),
     )
 
 

@@ -57,8 +57,8 @@ def comparable(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return np.where(known, np.where(np.isnan(values), np.inf, values), np.nan)
 
 
-def flags(c: pa.ChunkedArray) -> np.ndarray:
-    return pc.fill_null(c, False).to_numpy()
+def flags(c: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    return pc.fill_null(c, False).to_numpy(zero_copy_only=False)
 
 
 def is_text(table: pa.Table, name: str, value: str) -> np.ndarray:
@@ -207,3 +207,141 @@ def first_hits(rows: DataFrame, trades: DataFrame, start: str, end: str, bucket_
         return {"stop_key": t.keys(stop, stop < hi), "profit_key": t.keys(profit, profit < hi), "last_price": t.last(lo, hi), "trades_seen": pa.array(hi - lo, pa.int64(), mask=hi == lo)}
 
     return within(rows, trades.select("symbol", "price", *_KEY), ["symbol"], start, end, "received_at_ns", bucket_ns, find, _HITS)
+
+
+def _least_units(queue: np.ndarray, need: np.ndarray, strict: bool, scale: int) -> np.ndarray:
+    """The fewest whole units V with V / scale - queue at or over need (strict: over it); more than any sum where none is."""
+    enough = (lambda v: v / scale - queue > need) if strict else (lambda v: v / scale - queue >= need)
+    with np.errstate(invalid="ignore", over="ignore"):
+        guess = np.ceil((queue + need) * scale)
+        far = ~(np.abs(guess) < EXACT / 2)
+        v = np.where(far, 0.0, guess)
+        while (more := ~far & ~enough(v)).any():
+            v[more] += 1
+        while (less := ~far & enough(v - 1)).any():
+            v[less] -= 1
+        beyond = np.where(guess < 0, -(2.0**62), np.where(guess < 2.0**62, guess, 2.0**62))
+    return np.where(far, beyond, v).astype(np.int64)
+
+
+class _Contra:
+    """The eligible trades of one side by price: first ones beyond a price, and running sizes at a price."""
+
+    def __init__(self, price: np.ndarray, size: np.ndarray, may: np.ndarray, downward: bool):
+        self.n, self.downward = len(price), downward
+        self.at = np.nonzero(may)[0]
+        self.levels, rank = np.unique(price[self.at], return_inverse=True)
+        self.beyond = Doubling(rank, np.minimum if downward else np.maximum)
+        by_level = np.argsort(rank, kind="stable")
+        self.place = self.at[by_level]
+        self.code = rank[by_level] * self.n + self.place
+        self.rank = rank
+        self.size = size
+        self.sums = before(size[self.place])
+        self.best = Doubling(self.sums[1:], np.maximum)
+
+    def near(self, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The levels [a, b) at each entry price, but for rounding."""
+        most = np.maximum(np.abs(entry) * 1e-10, 1e-12)
+        a = np.searchsorted(self.levels, entry, "left")
+        b = a.copy()
+        padded = np.concatenate([self.levels, [np.nan]])
+        while (down := (a > 0) & (np.abs(padded[a - 1] - entry) <= most)).any():
+            a[down] -= 1
+        while (up := np.abs(padded[b] - entry) <= most).any():
+            b[up] += 1
+        return a, b
+
+    def through(self, lo: np.ndarray, hi: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The place of the first trade in [lo, hi) beyond the levels at the entry; n where there is none."""
+        first, last = np.searchsorted(self.at, lo), np.searchsorted(self.at, hi)
+        j = self.beyond.first(first, last, a - 1 if self.downward else b)
+        return np.where(j < last, np.append(self.at, self.n)[np.minimum(j, len(self.at))], self.n)
+
+    def reaching(self, lo: np.ndarray, hi: np.ndarray, a: np.ndarray, b: np.ndarray, volumes: Sequence[np.ndarray]) -> tuple[list[np.ndarray], Callable, np.ndarray]:
+        """For each of volumes the place where the sum at the entry first reaches it (n: never); a function of the sum up to a place; the largest sum."""
+        one = b - a == 1
+        s = np.where(one, np.searchsorted(self.code, a * self.n + lo), 0)
+        e = np.where(one, np.searchsorted(self.code, a * self.n + hi), 0)
+        places = np.append(self.place, self.n)
+        found = []
+        for v in volumes:
+            j = self.best.first(s, e, self.sums[s] + v)
+            found.append(np.where(j < e, places[np.minimum(j, len(self.place))], self.n))
+        largest = np.zeros(len(lo), self.sums.dtype)
+        some = e > s
+        if some.any():
+            largest[some] = self.best.over(s[some], e[some]) - self.sums[s[some]]
+        # prices that differ by rounding only: such an order's trades are gathered by themselves
+        gathered = {}
+        for i in np.nonzero(b - a > 1)[0]:
+            mine = self.at[(self.rank >= a[i]) & (self.rank < b[i]) & (self.at >= lo[i]) & (self.at < hi[i])]
+            sums = before(self.size[mine])
+            gathered[i] = mine, sums
+            largest[i] = sums[1:].max() if len(mine) else 0
+            for f, v in zip(found, volumes, strict=True):
+                reached = np.nonzero(sums[1:] >= v[i])[0]
+                f[i] = mine[reached[0]] if len(reached) else self.n
+
+        def upto(place: np.ndarray) -> np.ndarray:
+            out = self.sums[np.where(one, np.searchsorted(self.code, a * self.n + place, "right"), 0)] - self.sums[s]
+            for i, (mine, sums) in gathered.items():
+                out[i] = sums[np.searchsorted(mine, place[i], "right")]
+            return out
+
+        return found, upto, largest
+
+
+_SCALE = 1_000_000
+
+
+def first_fills(orders: DataFrame, trades: DataFrame, bucket_ns: int) -> DataFrame:
+    """orders (symbol, side, entry_price, queue_ahead, size, active_at_ns, expires_at_ns) with what fills them in (active_at_ns, expires_at_ns).
+
+    trades: symbol, price, trade_size (decimal(24,6), not negative), trade_side, ok, and their order. Adds _trades, _first_ns, _full_ns, _partial, _volume: all trades, the
+    times of the first fill and of the full one, the part filled of an order that isn't full, and the volume at the price up to the full fill or the end.
+    """
+
+    def find(rows: pa.Table, records: pa.Table) -> dict[str, pa.Array]:
+        order = in_order(records, _KEY)
+        times = longs(records, _KEY[0], LAST)[order]
+        price, known = (x[order] for x in doubles(records, "price"))
+        size, may = units(records, "trade_size")[order], flags(records.column("ok"))[order] & known
+        n = len(times)
+        lo, hi = _ends(rows, times, "active_at_ns", "expires_at_ns", open_end=True)
+        (entry, priced), (queue, queued), (want, sized) = (doubles(rows, c) for c in ("entry_price", "queue_ahead", "size"))
+        enough = want - np.maximum(want * 1e-12, 1e-15)
+        first_units = np.where(queued, _least_units(queue, np.zeros(len(want)), True, _SCALE), 1 << 62)
+        full_units = np.where(queued & sized, _least_units(queue, enough, False, _SCALE), 1 << 62)
+        first, full = np.full(len(lo), n), np.full(len(lo), n)
+        volume, partial = np.zeros(len(lo)), np.zeros(len(lo))
+        long = is_text(rows, "side", "LONG")
+        for downward, side in ((True, "Sell"), (False, "Buy")):
+            mine = np.nonzero(long == downward)[0]
+            if not len(mine):
+                continue
+            contra = _Contra(price, size, may & is_text(records, "trade_side", side)[order], downward)
+            l, h = lo[mine], hi[mine]
+            a, b = contra.near(np.where(priced, entry, 0.0)[mine])
+            none = ~priced[mine]
+            a[none], b[none] = (0, 0) if downward else (len(contra.levels), len(contra.levels))
+            beyond = contra.through(l, h, a, b)
+            (one, all_), upto, largest = contra.reaching(l, h, a, b, (first_units[mine], full_units[mine]))
+            some = h > l
+            one = np.where(some & (first_units[mine] <= 0), l, one)
+            all_ = np.where(some & ((full_units[mine] <= 0) | (sized[mine] & (enough[mine] <= 0))), l, all_)
+            first[mine] = np.minimum(np.where((want[mine] > 0) | ~sized[mine], one, n), np.where(sized[mine] & (want[mine] > 0), beyond, n))
+            full[mine] = np.minimum(all_, np.where(sized[mine], beyond, n))
+            filled = full[mine] < n
+            volume[mine] = as_double(np.where(filled, upto(np.minimum(full[mine], n - 1)), largest) if n else largest, _SCALE)
+            left = np.where(queued[mine], np.maximum(0.0, volume[mine] - queue[mine]), 0.0)
+            partial[mine] = np.where(sized[mine], np.minimum(want[mine], left), left)
+        stamps = np.append(times, 0)
+        full_ns = pa.array(stamps[full], pa.int64(), mask=full == n)
+        return {
+            "_trades": pa.array(hi - lo, pa.int64()), "_first_ns": pa.array(stamps[first], pa.int64(), mask=first == n), "_full_ns": full_ns,
+            "_partial": pa.array(partial, mask=(full < n) | (hi == lo), from_pandas=False), "_volume": pa.array(volume, from_pandas=False),
+        }
+
+    records = trades.select("symbol", "price", "trade_size", "trade_side", "ok", *_KEY)
+    return within(orders, records, ["symbol"], "active_at_ns", "expires_at_ns", _KEY[0], bucket_ns, find, "_trades long, _first_ns long, _full_ns long, _partial double, _volume double")
