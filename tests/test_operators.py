@@ -235,3 +235,12 @@ def test_fills_of_dense_trades(spark):
         ("PARTIAL_FILL", 29, 21, None, 49.0, sum(range(21, 50))),
         ("NO_FILL", 22, None, None, 20.0, sum(range(21))),
     }
+
+
+def test_fills_at_prices_that_differ_by_rounding(spark):
+    t = trades(spark, [(1, 1, 1, 100.0, 1.0, "Sell", None, None), (2, 1, 2, 100.0 + 2e-9, 0.25, "Sell", None, None), (2, 1, 3, 100.0 - 2e-9, None, "Sell", None, None), (3, 1, 4, 100.0 - 2e-9, 0.25, "Sell", None, None), (4, 1, 5, 100.0, 9.0, "Buy", None, None), (5, 1, 6, 100.0 + 2e-8, 9.0, "Sell", None, None)])
+    r = labels.maker_fills(order(spark, 0.5), t, 500).first()
+    assert (r.fill_status, r.first_fill_ns, r.full_fill_ns, r.contra_volume, r.window_trades) == ("FULL_FILL", 2, 3, 1.5, 6)
+    r = labels.maker_fills(order(spark, 0.75), t, 500).first()
+    assert (r.fill_status, r.first_fill_ns, r.full_fill_ns, r.contra_volume) == ("PARTIAL_FILL", 2, None, 1.5)
+    assert r.fill_fraction == pytest.approx(0.5 / 0.75)
