@@ -244,3 +244,22 @@ def test_fills_at_prices_that_differ_by_rounding(spark):
     r = labels.maker_fills(order(spark, 0.75), t, 500).first()
     assert (r.fill_status, r.first_fill_ns, r.full_fill_ns, r.contra_volume) == ("PARTIAL_FILL", 2, None, 1.5)
     assert r.fill_fraction == pytest.approx(0.5 / 0.75)
+
+
+def fill(spark, *rows):
+    return spark.createDataFrame(list(rows), "order_id string, symbol string, side string, fill_ns long, fill_sequence long, horizon_end_ns long, entry_price double, fill_price double, stop_price double, profit_price double")
+
+
+def test_what_follows_fills_in_dense_trades(spark):
+    f = dense(spark).selectExpr("sequence AS order_id", "symbol", "'LONG' AS side", "received_at_ns AS fill_ns", "sequence AS fill_sequence", f"CAST({N} AS BIGINT) AS horizon_end_ns", "100.0D AS entry_price", "100.0D AS fill_price", "99.0D AS stop_price", "101.0D AS profit_price")
+    found = soon(spark, labels.post_fill(f, dense(spark), 50_000).groupBy("outcome").agg(F.count("*"), F.sum("trades_seen"), F.max("profit_key.sequence")))
+    assert {tuple(r) for r in found} == {("TP_FIRST", N - 1, N * (N - 1) // 2, N), ("TIMEOUT", 1, None, None)}
+
+
+def test_trades_at_the_fills_time_follow_by_number(spark):
+    f = fill(spark, *((f"{n}", "X", "LONG", 5, n, 40, 100.0, 100.0, 99.0, 101.0) for n in (1, 2, 3, 4)), ("short", "X", "SHORT", 5, 3, 40, 100.0, 100.0, 101.0, 99.0), ("none", "X", "LONG", 5, None, 8, 100.0, 100.0, 99.0, 101.0))
+    rows = [(5, 1, 2, 98.0), (5, 1, 4, 100.5), (5, 1, None, 90.0), (9, 1, 6, 101.0)]
+    for early in (1, 0):  # with 0 the trades at one time aren't in the order of their numbers
+        t = trades(spark, [*((a, b, c, p, 1.0, "Buy", None, None) for a, b, c, p in rows), (5, early, 3, 100.0, 1.0, "Buy", None, None), (5, 1, 9, 50.0, 1.0, "Buy", True, None)])
+        found = {r.order_id: (r.outcome, r.trades_seen) for r in labels.post_fill(f, t, 50).collect()}
+        assert found == {"1": ("SL_FIRST", 4), "2": ("TP_FIRST", 3), "3": ("TP_FIRST", 2), "4": ("TP_FIRST", 1), "short": ("SL_FIRST", 2), "none": ("TIMEOUT", None)}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import div
 from .bars import TRADE_ORDER, order_key
 from .joins import range_pairs
-from .spans import first_fills, first_hits
+from .spans import first_fills, first_hits, hits_after_fill
 
 
 @dataclass(frozen=True)
@@ -135,13 +135,8 @@ def post_fill(fills: DataFrame, trades: DataFrame, bucket_ns: int, id: str = "or
     fills: id, symbol, side, fill_ns, fill_sequence, fill_price (of the print that filled the order), horizon_end_ns, entry_price, stop_price,
     profit_price. A fill's print that lies at the stop or beyond is AMBIGUOUS. covered: whether trades reach the horizon's end.
     """
-    t = trades.where(eligible()).select("symbol", "price", "sequence", order_key().alias("k"), F.col("received_at_ns").alias("trade_at_ns"))
-    pairs = range_pairs(fills.select(id, "symbol", "side", "fill_ns", "fill_sequence", "horizon_end_ns", "stop_price", "profit_price"), t, ["symbol"], "fill_ns", "horizon_end_ns", "trade_at_ns", bucket_ns, open_start=False)
-    pairs = pairs.where((F.col("trade_at_ns") > F.col("fill_ns")) | (F.col("sequence") > F.col("fill_sequence")))
-    stop, profit = _crossed("side", "stop_price", "profit_price", "price", "price")
-    hits = pairs.groupBy(id).agg(F.min(F.when(stop, F.col("k"))).alias("stop_key"), F.min(F.when(profit, F.col("k"))).alias("profit_key"), F.max_by("price", "k").alias("last_price"), F.count("*").alias("trades_seen"))
     crossed = F.when(F.col("side") == "LONG", F.col("fill_price") <= F.col("stop_price")).otherwise(F.col("fill_price") >= F.col("stop_price"))
-    out = covered(_resolved(fills.join(hits, id, "left")), trades, "horizon_end_ns")
+    out = covered(_resolved(hits_after_fill(fills, trades.where(eligible()), bucket_ns)), trades, "horizon_end_ns")
     at_fill = F.coalesce(crossed, F.lit(False))
     return out.withColumns({
         "outcome": F.when(at_fill, "AMBIGUOUS").otherwise(F.col("outcome")), "return_bps": F.when(~at_fill, F.col("return_bps")),

@@ -345,3 +345,48 @@ def first_fills(orders: DataFrame, trades: DataFrame, bucket_ns: int) -> DataFra
 
     records = trades.select("symbol", "price", "trade_size", "trade_side", "ok", *_KEY)
     return within(orders, records, ["symbol"], "active_at_ns", "expires_at_ns", _KEY[0], bucket_ns, find, "_trades long, _first_ns long, _full_ns long, _partial double, _volume double")
+
+
+def hits_after_fill(fills: DataFrame, trades: DataFrame, bucket_ns: int) -> DataFrame:
+    """As first_hits, of trades after the fill: those later than fill_ns, or at it with a greater sequence than fill_sequence, to horizon_end_ns."""
+
+    def find(rows: pa.Table, records: pa.Table) -> dict[str, pa.Array]:
+        t = _Trades(records)
+        times, _, number = t.key
+        lo, hi = _ends(rows, times, "fill_ns", "horizon_end_ns")
+        tied, _ = _ends(rows, times, "fill_ns", "horizon_end_ns", open_start=False)
+        # trades at the fill's time: a bisection by number where they stand in its order, else one by one
+        own = longs(rows, "fill_sequence", LAST)
+        some = (lo > tied) & (longs(rows, "horizon_end_ns", FIRST) >= longs(rows, "fill_ns", LAST))
+        first, last = np.where(some, tied, lo), lo.copy()
+        while (open_ := first < last).any():
+            middle = (first + last) >> 1
+            greater = number[np.where(open_, middle, 0)] > own
+            last = np.where(open_ & greater, middle, last)
+            first = np.where(open_ & ~greater, middle + 1, first)
+        begin = last
+        same = times[1:] == times[:-1]
+        odd = np.concatenate([[False], same & (number[1:] < number[:-1])])[: len(times)] | ~t.sequence_known
+        odds = before(odd.astype(np.int64))
+        slow = np.nonzero(some & (odds[lo] > odds[tied]))[0]
+        begin[slow] = lo[slow]
+        stop, profit = t.hits(rows, begin, hi)
+        count, price = hi - begin, t.last(begin, hi)
+        if len(slow):
+            long = is_text(rows, "side", "LONG")
+            low, high = (comparable(*doubles(rows, n)) for n in ("stop_price", "profit_price"))
+            shown, prices = comparable(t.price, t.known), price.to_pylist()
+            for i in slow:
+                ties = np.arange(tied[i], lo[i])
+                ties = ties[(number[ties] > own[i]) & t.sequence_known[ties]]
+                count[i] += len(ties)
+                falls, rises = (low[i], high[i]) if long[i] else (high[i], low[i])
+                below, above = ties[shown[ties] <= falls], ties[shown[ties] >= rises]
+                for place, among in ((stop, below if long[i] else above), (profit, above if long[i] else below)):
+                    place[i] = among[0] if len(among) else place[i]
+                if prices[i] is None and len(valued := ties[t.known[ties]]):
+                    prices[i] = float(t.price[valued[-1]])
+            price = pa.array(prices, pa.float64())
+        return {"stop_key": t.keys(stop, stop < hi), "profit_key": t.keys(profit, profit < hi), "last_price": price, "trades_seen": pa.array(count, pa.int64(), mask=count == 0)}
+
+    return within(fills, trades.select("symbol", "price", *_KEY), ["symbol"], "fill_ns", "horizon_end_ns", _KEY[0], bucket_ns, find, _HITS)
