@@ -263,3 +263,13 @@ def test_trades_at_the_fills_time_follow_by_number(spark):
         t = trades(spark, [*((a, b, c, p, 1.0, "Buy", None, None) for a, b, c, p in rows), (5, early, 3, 100.0, 1.0, "Buy", None, None), (5, 1, 9, 50.0, 1.0, "Buy", True, None)])
         found = {r.order_id: (r.outcome, r.trades_seen) for r in labels.post_fill(f, t, 50).collect()}
         assert found == {"1": ("SL_FIRST", 4), "2": ("TP_FIRST", 3), "3": ("TP_FIRST", 2), "4": ("TP_FIRST", 1), "short": ("SL_FIRST", 2), "none": ("TIMEOUT", None)}
+
+
+def test_timeouts_end_at_the_last_known_price(spark):
+    kind = "decision_id string, symbol string, side string, decision_at_ns long, label_end_ns long, entry_price double, stop_price double, profit_price double"
+    d = spark.createDataFrame([("late", "X", "SHORT", 2, 900, 100.0, 110.0, 90.0), ("hit", "X", "SHORT", 0, 900, 100.0, 110.0, 99.0), ("unpriced", "X", "LONG", 400, 900, 100.0, 90.0, 110.0), ("open", "X", "LONG", 0, None, 100.0, 90.0, 110.0)], kind)
+    t = trades(spark, [(1, 1, 1, 99.0, 1.0, "Buy", None, None), (350, 1, 2, 101.0, 1.0, "Buy", None, None), (500, 1, 3, None, 1.0, "Buy", None, None)])
+    out = labels.barrier_outcomes(d, t, 50)
+    found = {r.decision_id: (r.outcome, r.resolution, r.last_price, r.trades_seen) for r in out.collect()}
+    assert found == {"late": ("TIMEOUT", "horizon_end", 101.0, 2), "hit": ("TP_FIRST", "tp_first", 101.0, 3), "unpriced": ("TIMEOUT", "no_trades", None, 1), "open": ("TIMEOUT", "no_trades", None, None)}
+    assert out.where("decision_id = 'late'").first().return_bps == pytest.approx(-100.0)
