@@ -273,3 +273,12 @@ def test_timeouts_end_at_the_last_known_price(spark):
     found = {r.decision_id: (r.outcome, r.resolution, r.last_price, r.trades_seen) for r in out.collect()}
     assert found == {"late": ("TIMEOUT", "horizon_end", 101.0, 2), "hit": ("TP_FIRST", "tp_first", 101.0, 3), "unpriced": ("TIMEOUT", "no_trades", None, 1), "open": ("TIMEOUT", "no_trades", None, None)}
     assert out.where("decision_id = 'late'").first().return_bps == pytest.approx(-100.0)
+
+
+def test_asof_forward_in_a_dense_bucket(spark):
+    n = 400_000
+    records = spark.range(n).selectExpr("'a' AS s", "2 * id AS t", "id AS v")
+    probes = spark.range(2 * n).where("id % 997 = 1").selectExpr("'a' AS s", "id AS at")
+    found = soon(spark, joins.asof(probes, records, ["s"], "at", "t", ["v"], forward=True))
+    assert len(found) == (2 * n - 2) // 997 + 1
+    assert all(r.v == (r.at + 1) // 2 if r.at < 2 * n - 1 else r.v is None for r in found)

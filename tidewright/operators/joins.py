@@ -35,17 +35,18 @@ def asof(
     both = r.select(*by, "_b", "_t", F.lit(record_tag).alias("_tag"), "_o", "_v", F.lit(None).cast(p.schema["_p"].dataType).alias("_p")).unionByName(
         p.select(*by, "_b", "_t", F.lit(probe_tag).alias("_tag"), F.lit(None).cast(r.schema["_o"].dataType).alias("_o"), F.lit(None).cast(r.schema["_v"].dataType).alias("_v"), "_p")
     )
-    w = Window.partitionBy(*by, "_b").orderBy("_t", "_tag", "_o")
-    w = w.rowsBetween(Window.currentRow, Window.unboundedFollowing) if forward else w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    nearest = F.first("_v", ignorenulls=True) if forward else F.last("_v", ignorenulls=True)
+    # forward is backward in the reverse order: a frame that grows costs one step a row, one that shrinks is summed anew for each
+    turn = F.desc if forward else F.asc
+    w = Window.partitionBy(*by, "_b").orderBy(turn("_t"), turn("_tag"), turn("_o")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    nearest = F.last("_v", ignorenulls=True)
     found = both.withColumn("_near", nearest.over(w)).where("_p is not null")
     # the edge record of each bucket, and for each bucket the nearest one beyond it
     edge = F.min_by("_v", "_o") if forward else F.max_by("_v", "_o")
     buckets = r.groupBy(*by, "_b").agg(edge.alias("_edge"))
     wanted = p.select(*by, "_b").distinct().withColumn("_edge", F.lit(None).cast(r.schema["_v"].dataType))
     marks = buckets.withColumn("_k", F.lit(0)).unionByName(wanted.withColumn("_k", F.lit(1)))
-    bw = Window.partitionBy(*by).orderBy("_b").rangeBetween(1, Window.unboundedFollowing) if forward else Window.partitionBy(*by).orderBy("_b").rangeBetween(Window.unboundedPreceding, -1)
-    beyond = marks.withColumn("_beyond", (F.first("_edge", ignorenulls=True) if forward else F.last("_edge", ignorenulls=True)).over(bw)).where("_k = 1").select(*by, "_b", "_beyond")
+    bw = Window.partitionBy(*by).orderBy(turn("_b")).rangeBetween(Window.unboundedPreceding, -1)
+    beyond = marks.withColumn("_beyond", F.last("_edge", ignorenulls=True).over(bw)).where("_k = 1").select(*by, "_b", "_beyond")
     out = found.join(beyond, [*by, "_b"], "left")
     value = F.coalesce("_near", "_beyond")
     if most_age is None and not reason:
