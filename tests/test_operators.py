@@ -282,3 +282,15 @@ def test_asof_forward_in_a_dense_bucket(spark):
     found = soon(spark, joins.asof(probes, records, ["s"], "at", "t", ["v"], forward=True))
     assert len(found) == (2 * n - 2) // 997 + 1
     assert all(r.v == (r.at + 1) // 2 if r.at < 2 * n - 1 else r.v is None for r in found)
+
+
+def test_trailing_windows_of_dense_trades(spark):
+    found = windows.trailing(dense(spark), 60_000).agg(F.count("*"), F.sum("trade_count"), F.max("base"), F.max("trade_return"), F.min("imbalance"), F.max("imbalance"))
+    expected = sum(min(i, 60_001) for i in range(1, N + 1))
+    assert tuple(soon(spark, found)[0]) == (N, expected, 60_001.0, 102.0 / 100.0 - 1, -1.0, -1.0)
+
+
+def test_trailing_windows_with_unknown_values(spark):
+    t = trades(spark, [(100, 0, 1, None, 1.0, "Buy", None, None), (105, 0, 2, 10.0, None, "Buy", None, None), (110, 0, 3, 20.0, 2.0, "Sell", None, None), (200, 0, 4, 5.0, None, "Buy", None, None), (None, None, 5, 1.0, 4.0, "Buy", None, None)])
+    found = {r.sequence: (r.trade_count, r.base, r.notional, r.imbalance, r.trade_return) for r in windows.trailing(t, 10).collect()}
+    assert found == {1: (1, 1.0, None, 1.0, 0.0), 2: (2, 1.0, None, 1.0, 0.0), 3: (3, 3.0, 40.0, -1 / 3, 1.0), 4: (1, None, None, None, 0.0), 5: (1, 4.0, 4.0, 1.0, 0.0)}

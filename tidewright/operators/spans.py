@@ -390,3 +390,36 @@ def hits_after_fill(fills: DataFrame, trades: DataFrame, bucket_ns: int) -> Data
         return {"stop_key": t.keys(stop, stop < hi), "profit_key": t.keys(profit, profit < hi), "last_price": price, "trades_seen": pa.array(count, pa.int64(), mask=count == 0)}
 
     return within(fills, trades.select("symbol", "price", *_KEY), ["symbol"], "fill_ns", "horizon_end_ns", _KEY[0], bucket_ns, find, _HITS)
+
+
+def trailing_sums(trades: DataFrame, by: Sequence[str], width_ns: int, sums: Sequence[str], scale: int) -> DataFrame:
+    """Per trade of what was traded in [t - width, t]: trade_count, sums of decimal columns as doubles, and the first and the last price.
+
+    Trades are dealt by key and bucket of the window's width; each also goes to the next bucket, as past only. So each group sees its windows whole, and no
+    more than twice the rows move. Trades without a time are one window of their own.
+    """
+    own = trades.select(*by, *_KEY, "price", *sums, div(F.col(_KEY[0]), width_ns).alias("_b"), F.lit(False).alias("_past"))
+    both = own.unionByName(own.where("_b is not null").withColumn("_b", F.col("_b") + 1).withColumn("_past", F.lit(True)))
+    names = [*by, _KEY[0], "sequence"]
+    found = StructType.fromDDL("trade_count long, " + "".join(f"{n} double, " for n in sums) + "first_price double, last_price double")
+
+    def run(rows: pa.Table) -> pa.Table:
+        order = in_order(rows, _KEY)
+        times = longs(rows, _KEY[0], LAST)[order]
+        n, mine = len(times), ~flags(rows.column("_past"))[order]
+        at = times[mine]
+        lo, hi = np.searchsorted(times, at - width_ns, "left"), np.searchsorted(times, at, "right")
+        out = [rows.column(c).take(pa.array(order[mine])) for c in names] + [pa.array(hi - lo, pa.int64())]
+        for c in sums:
+            total = before(units(rows, c)[order])
+            known = before(flags(pc.is_valid(rows.column(c)))[order].astype(np.int64))
+            out.append(pa.array(as_double(total[hi] - total[lo], scale), mask=known[hi] == known[lo], from_pandas=False))
+        price, known = (x[order] for x in doubles(rows, "price"))
+        places = np.arange(n)
+        following = np.minimum.accumulate(np.where(known, places, n)[::-1])[::-1][lo]
+        preceding = np.maximum.accumulate(np.where(known, places, -1))[hi - 1]
+        none = following >= hi
+        out += [pa.array(price[np.where(none, 0, p)], mask=none, from_pandas=False) for p in (following, preceding)]
+        return pa.table(out, names=[*names, *found.names])
+
+    return both.groupBy(*by, "_b").applyInArrow(run, StructType([*(trades.schema[c] for c in names), *found.fields]))

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import div
+from .bars import TRADE_ORDER
+from .spans import trailing_sums
 
 
 def _w(by: Sequence[str], order: Sequence[str]) -> Window:
@@ -51,28 +53,16 @@ def range_and_volume(bars: DataFrame, short: int, long: int, by: Sequence[str] =
 def trailing(trades: DataFrame, width_ns: int, by: Sequence[str] = ("symbol",)) -> DataFrame:
     """Per trade what was traded in [t - width, t]: count, base, notional, imbalance and return.
 
-    Trades are dealt by key and bucket of the window's width; each also goes to the next bucket, as past only. So each task sees its windows
-    whole, and no more than twice the rows move.
+    A window's sums are exact: differences of running sums at its ends. First and last prices are those that aren't null.
     """
     signed = F.when(F.col("side") == "Buy", F.col("size")).otherwise(-F.col("size"))
-    own = trades.withColumn("_s", signed).withColumn("_b", div(F.col("received_at_ns"), width_ns)).withColumn("_past", F.lit(False))
-    both = own.unionByName(own.withColumn("_b", F.col("_b") + 1).withColumn("_past", F.lit(True)))
-    # sums run once; a window's own sum is the difference of those at its ends, so that no frame is summed anew for each row
-    w = Window.partitionBy(*by, "_b").orderBy("received_at_ns", "event_ts_ms", "sequence").rowsBetween(Window.unboundedPreceding, 0)
-    exact = {"base": F.col("size"), "notional": F.col("price") * F.col("size"), "flow": F.col("_s")}
-    both = both.withColumns({f"_{n}": c.cast("decimal(24,6)") for n, c in exact.items()} | {"_rank": F.row_number().over(w)})
-    both = both.withColumns({f"_to_{n}": F.sum(f"_{n}").over(w) for n in exact})
-    frame = Window.partitionBy(*by, "_b").orderBy("received_at_ns")
-    first = F.min(F.struct("_rank", *((F.col(f"_to_{n}") - F.col(f"_{n}")).alias(n) for n in exact), "price")).over(frame.rangeBetween(-width_ns, 0))
-    last = F.max(F.struct("_rank", *(F.col(f"_to_{n}").alias(n) for n in exact), "price")).over(frame.rangeBetween(0, 0))
-    out = both.select(*by, "received_at_ns", "sequence", "_past", first.alias("_f"), last.alias("_l")).where(~F.col("_past"))
-    within = lambda n: (F.col(f"_l.{n}") - F.col(f"_f.{n}")).cast("double")
-    count = (F.col("_l._rank") - F.col("_f._rank") + 1).cast("long")
+    exact = {"base": F.col("size"), "notional": F.col("price") * F.col("size"), "flow": signed}
+    rows = trades.select(*by, *TRADE_ORDER, "price", *(c.cast("decimal(24,6)").alias(n) for n, c in exact.items()))
+    out = trailing_sums(rows, by, width_ns, list(exact), 1_000_000)
     return out.select(
-        *by, "received_at_ns", "sequence",
-        count.alias("trade_count"), within("base").alias("base"), within("notional").alias("notional"),
-        F.when(within("base") == 0, 0.0).otherwise(within("flow") / within("base")).alias("imbalance"),
-        F.when(count < 2, 0.0).otherwise(F.col("_l.price") / F.col("_f.price") - 1).alias("trade_return"),
+        *by, "received_at_ns", "sequence", "trade_count", "base", "notional",
+        F.when(F.col("base") == 0, 0.0).otherwise(F.col("flow") / F.col("base")).alias("imbalance"),
+        F.when(F.col("trade_count") < 2, 0.0).otherwise(F.col("last_price") / F.col("first_price") - 1).alias("trade_return"),
     )
 
 
