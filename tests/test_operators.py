@@ -294,3 +294,13 @@ def test_trailing_windows_with_unknown_values(spark):
     t = trades(spark, [(100, 0, 1, None, 1.0, "Buy", None, None), (105, 0, 2, 10.0, None, "Buy", None, None), (110, 0, 3, 20.0, 2.0, "Sell", None, None), (200, 0, 4, 5.0, None, "Buy", None, None), (None, None, 5, 1.0, 4.0, "Buy", None, None)])
     found = {r.sequence: (r.trade_count, r.base, r.notional, r.imbalance, r.trade_return) for r in windows.trailing(t, 10).collect()}
     assert found == {1: (1, 1.0, None, 1.0, 0.0), 2: (2, 1.0, None, 1.0, 0.0), 3: (3, 3.0, 40.0, -1 / 3, 1.0), 4: (1, None, None, None, 0.0), 5: (1, 4.0, 4.0, 1.0, 0.0)}
+
+
+def test_ranks_are_the_places_of_an_order(spark):
+    n = 200_000
+    rows = spark.range(n).selectExpr("(id * 7919) % 200000 AS v", "repeat(sha2(string(id), 256), 3) AS wide").repartition(8)
+    placed = evaluate.uniform_rank(rows, "v")
+    assert tuple(placed.agg(F.count("*"), F.count_if(F.col("_place") == F.col("v")), F.min(F.length("wide"))).first()) == (n, n, 192)
+    few = evaluate.uniform_rank(spark.createDataFrame([(3, "b"), (None, "a"), (3, "a"), (-1, None)], "v long, w string"), "v", "w")
+    assert as_set(few) == {(None, "a", 0), (-1, None, 1), (3, "a", 2), (3, "b", 3)}
+    assert evaluate.uniform_rank(rows.where("v < 0"), "v").count() == 0

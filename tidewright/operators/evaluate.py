@@ -17,6 +17,8 @@ PRIOR_WEIGHTS = (0.0, 0.1, 0.25, 0.5, 0.75)
 
 #: Rows that a logistic fit takes at most.
 FIT_ROWS = 500_000
+#: Ranges of values in which ranks are counted, and values drawn for each.
+_RANGES, _DRAWN = 64, 20
 
 
 @dataclass(frozen=True)
@@ -65,12 +67,21 @@ def holdout(bounds: DataFrame, times: DataFrame, decision: str, share: float = 0
 
 
 def uniform_rank(rows: DataFrame, *order: str) -> DataFrame:
-    """rows with _place, from 0, in an order: a range sort with counts of its partitions, not one window over all rows."""
-    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id())
-    starts = dealt.groupBy("_p").agg(F.count("*").alias("_n"), F.min("_m").alias("_first"))
+    """rows with _place, from 0, in an order: ranks within ranges of values and counts of those, not one window over all rows.
+
+    The ranges' bounds are drawn once, at random, and then fixed. What range a row is in hence depends on its values alone, and the counts and the ranks
+    agree although each is evaluated by itself.
+    """
+    names = rows.select(*order)
+    drawn = rows.sparkSession.createDataFrame(names.orderBy(F.rand(7)).limit(_DRAWN * _RANGES).collect(), names.schema)
+    bounds = drawn.agg(F.filter(F.array_sort(F.collect_list(F.struct(*order))), lambda x, i: i % _DRAWN == _DRAWN - 1).alias("_bounds"))
+    at = F.struct(*order)
+    dealt = rows.crossJoin(F.broadcast(bounds)).withColumn("_p", F.size(F.filter("_bounds", lambda b: b <= at))).drop("_bounds")
+    starts = dealt.groupBy("_p").agg(F.count("*").alias("_n"))
     starts = starts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    placed = dealt.join(F.broadcast(starts.select("_p", "_first", "_before")), "_p")
-    return placed.withColumn("_place", F.col("_m") - F.col("_first") + F.col("_before")).drop("_p", "_m", "_first", "_before")
+    placed = dealt.join(F.broadcast(starts.select("_p", "_before")), "_p")
+    rank = F.row_number().over(Window.partitionBy("_p").orderBy(*order))
+    return placed.withColumn("_place", rank - 1 + F.col("_before")).drop("_p", "_before")
 
 
 def uniform_sample(rows: DataFrame, order: Sequence[str], most: int, y: str | None = None, classes: int = 3) -> DataFrame:
