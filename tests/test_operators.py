@@ -304,3 +304,35 @@ def test_ranks_are_the_places_of_an_order(spark):
     few = evaluate.uniform_rank(spark.createDataFrame([(3, "b"), (None, "a"), (3, "a"), (-1, None)], "v long, w string"), "v", "w")
     assert as_set(few) == {(None, "a", 0), (-1, None, 1), (3, "a", 2), (3, "b", 3)}
     assert evaluate.uniform_rank(rows.where("v < 0"), "v").count() == 0
+
+
+@pytest.mark.parametrize("name", ["fill_distribution"])
+def test_scenarios_are_made_of_rows_that_were_dealt(spark, sf, name):
+    from tidewright.catalog import QUERIES
+
+    plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    lines = [x for x in plan.splitlines() if "Exchange" in x or "Generate" in x]
+    dealt = next(i for i, x in enumerate(lines) if "Exchange" in x and "_b" in x)
+    assert sum("Generate" in x for x in lines[:dealt]) == 2
+    assert all("sequence(" in x for x in lines[dealt:] if "Generate" in x)
+
+
+def test_groups_come_in_many_batches(spark):
+    t = trades(spark, [(i * 7 % 400, i, i, 100.0 + i * 37 % 11 - 5, 1.0, "Sell" if i % 3 else "Buy", None, None) for i in range(300)])
+    base = t.select("symbol", "sequence", F.col("received_at_ns").alias("decision_at_ns"), (F.col("received_at_ns") + 90).alias("label_end_ns"), F.col("price").alias("entry_price"))
+
+    def expand(rows, only=None):
+        up = F.when(F.col("side") == "LONG", 1).otherwise(-1)
+        d = joins.scenarios(rows, only, side=["LONG", "SHORT"], width=[30, 90]).withColumn("label_end_ns", F.col("decision_at_ns") + F.col("width"))
+        return d.withColumn("stop_price", F.col("entry_price") - up * 3).withColumn("profit_price", F.col("entry_price") + up * 4)
+
+    columns = ["sequence", "side", "width", "outcome", "return_bps", "trades_seen"]
+    whole = as_set(labels.barrier_outcomes(expand(base), t, 50).select(columns))
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        found = labels.barrier_outcomes(base, t, 50, expand=expand).select(columns).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    assert len(found) == 1200 and {tuple(r) for r in found} == whole
+    assert {r.outcome for r in found} >= {"SL_FIRST", "TP_FIRST", "TIMEOUT"}

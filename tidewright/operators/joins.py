@@ -81,10 +81,11 @@ def with_anchor(rows: DataFrame, anchor: str, time: str, values: Sequence[str],
     return rows.join(side, time, "left")
 
 
-def scenarios(rows: DataFrame, **axes: Sequence) -> DataFrame:
-    """Each row with each combination of the axes' values: arrays that are exploded, without a join."""
+def scenarios(rows: DataFrame, only: Column | None = None, **axes: Sequence) -> DataFrame:
+    """Each row with each combination of the axes' values: arrays that are exploded, without a join. Rows for which only doesn't hold get the first values."""
     for name, values in axes.items():
-        rows = rows.withColumn(name, F.explode(F.array(*(F.lit(v) for v in values))))
+        some = F.array(*(F.lit(v) for v in values))
+        rows = rows.withColumn(name, F.explode(some if only is None else F.when(only, some).otherwise(F.slice(some, 1, 1))))
     return rows
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import div
 from .bars import TRADE_ORDER, order_key
 from .joins import range_pairs
-from .spans import first_fills, first_hits, hits_after_fill
+from .spans import Expand, first_fills, first_hits, hits_after_fill
 
 
 @dataclass(frozen=True)
@@ -42,14 +42,15 @@ def _crossed(side: str, stop: str, profit: str, low: str, high: str) -> tuple[Co
     )
 
 
-def barrier_outcomes(decisions: DataFrame, trades: DataFrame, bucket_ns: int, id: str = "decision_id") -> DataFrame:
+def barrier_outcomes(decisions: DataFrame, trades: DataFrame, bucket_ns: int, id: str = "decision_id", expand: Expand | None = None) -> DataFrame:
     """The first barrier that trades in (decision_at_ns, label_end_ns] reach.
 
     decisions: id, symbol, side, decision_at_ns, label_end_ns, entry_price, stop_price, profit_price. Trades at one order key that
     reach both barriers are AMBIGUOUS; none is TIMEOUT at the last trade, or without a price where nothing traded. No row per pair of decision
-    and trade is made: each decision looks its first hits up among the trades of its horizon.
+    and trade is made: each decision looks its first hits up among the trades of its horizon. With expand, decisions are what it makes of the rows given, which
+    have symbol, decision_at_ns and the farthest label_end_ns.
     """
-    return _resolved(first_hits(decisions, trades, "decision_at_ns", "label_end_ns", bucket_ns))
+    return _resolved(first_hits(decisions, trades, "decision_at_ns", "label_end_ns", bucket_ns, expand))
 
 
 def covered(rows: DataFrame, trades: DataFrame, end: str, name: str = "covered") -> DataFrame:
@@ -97,19 +98,23 @@ def eligible() -> Column:
     return ~F.coalesce("is_block", F.lit(False)) & ~F.coalesce("is_rpi", F.lit(False))
 
 
-def maker_fills(orders: DataFrame, trades: DataFrame, bucket_ns: int, id: str = "order_id") -> DataFrame:
+_FOUND = ("_trades", "_first_ns", "_full_ns", "_partial", "_volume")
+
+
+def maker_fills(orders: DataFrame, trades: DataFrame, bucket_ns: int, id: str = "order_id", expand: Expand | None = None) -> DataFrame:
     """Fills of resting orders by contra trades in (active_at_ns, expires_at_ns), both ends open.
 
     orders: id, symbol, side (LONG, SHORT), entry_price, queue_ahead, size, active_at_ns, expires_at_ns. Prints at the price deplete the queue, then
     fill the order; a print through it fills the rest, and its volume doesn't count as traded at the price. Ineligible prints only count
     among window_trades. Trade sizes aren't negative. Each order looks its fills up among the trades of its window, without a row per pair.
+    With expand, orders are what it makes of the rows given, which have symbol, active_at_ns and the farthest expires_at_ns.
     """
     t = trades.select("symbol", "price", F.col("size").cast("decimal(24,6)").alias("trade_size"), F.col("side").alias("trade_side"), eligible().alias("ok"), *TRADE_ORDER)
-    out = first_fills(orders, t, bucket_ns)
+    out = first_fills(orders, t, bucket_ns, expand)
     full = F.col("_full_ns").isNotNull()
     status = F.when(full, "FULL_FILL").when(F.col("_partial") > 0, "PARTIAL_FILL").otherwise("NO_FILL")
     return out.select(
-        *orders.columns, F.col("_trades").alias("window_trades"), F.col("_first_ns").alias("first_fill_ns"), F.col("_full_ns").alias("full_fill_ns"),
+        *(c for c in out.columns if c not in _FOUND), F.col("_trades").alias("window_trades"), F.col("_first_ns").alias("first_fill_ns"), F.col("_full_ns").alias("full_fill_ns"),
         status.alias("fill_status"),
         F.when(full, F.lit(1.0)).otherwise(F.coalesce(F.col("_partial") / F.col("size"), F.lit(0.0))).alias("fill_fraction"),
         F.col("_volume").alias("contra_volume"),

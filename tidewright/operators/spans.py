@@ -1,18 +1,19 @@
 """What each row finds among the records of its interval of time, without a row per pair.
 
-Rows are dealt by key and by the bucket in which their interval starts; records are copied to each bucket from which an interval reaches them. A group is
-one Arrow call: bisection finds an interval's ends, and tables over spans of doubling lengths give its extremes and its first hit. A row thus costs the
-logarithm of its group's records, however many lie in its interval. A group holds the rows of one bucket and the records up to their farthest end.
+Rows are dealt by key and by the bucket in which their interval starts; records are copied to each bucket from which an interval reaches them. Each group's
+records come first in its stream, then its rows, a batch at a time: bisection finds an interval's ends, and tables over spans of doubling lengths give its
+extremes and its first hit. A row thus costs the logarithm of its group's records, however many lie in its interval. Memory holds the records of one bucket
+up to the farthest end of its rows, however many rows there are. Rows that differ in a few values only are dealt and sorted once and expanded after that.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -23,23 +24,65 @@ FIRST, LAST = -(1 << 63), (1 << 63) - 1
 EXACT = 1 << 53
 
 
-def within(left: DataFrame, right: DataFrame, by: Sequence[str], start: str, end: str, time: str, bucket_ns: int, find: Callable[[pa.Table, pa.Table], dict[str, pa.Array]], found: str) -> DataFrame:
-    """left with the columns of found (a schema): what find gives for a group's rows and the records that their intervals reach.
+#: Partitions at least, a number that adaptive execution keeps: small ones are sorted and written without spilling, and over 200 of them Spark's shuffle writes
+#: through one bounded buffer, not through one for each partition.
+PARTS = 256
+#: Gives what is found for a batch of rows, from the records of their group.
+Find = Callable[[pa.Table], Callable[[pa.Table], dict[str, pa.Array]]]
+#: Makes several rows of each; lines for which the condition doesn't hold are records and stay one each.
+Expand = Callable[[DataFrame, Column], DataFrame]
 
-    Keys and times that are null meet no record. Intervals may have any length.
+
+def within(left: DataFrame, right: DataFrame, by: Sequence[str], start: str, end: str, time: str, bucket_ns: int, find: Find, found: str, expand: Expand | None = None) -> DataFrame:
+    """left with the columns of found (a schema): what find gives for rows and the records that their group's intervals reach.
+
+    Keys and times that are null meet no record. Intervals may have any length. With expand, rows are expanded after they are dealt and sorted, so that neither
+    costs more for it; start and the keys stay, and left has the farthest end of each row's intervals in end.
     """
     rows = left.withColumn("_b", div(F.col(start), bucket_ns))
     reach = rows.groupBy(*by, "_b").agg(F.max(div(F.col(end), bucket_ns)).alias("_to")).where("_to >= _b")
     copies = reach.select(*by, "_b", F.explode(F.sequence("_b", "_to")).alias("_at"))
-    near = right.withColumn("_at", div(F.col(time), bucket_ns)).join(copies, [*by, "_at"]).drop("_at")
-    near = near.select(*(F.col(c).alias(c) for c in near.columns))  # own columns, even where both sides come from one frame
-    names, added = left.columns, StructType.fromDDL(found)
-
-    def run(mine: pa.Table, records: pa.Table) -> pa.Table:
-        new = find(mine, records)
-        return pa.table([*(mine.column(n) for n in names), *(new[f.name] for f in added)], names=[*names, *added.names])
-
-    return rows.groupBy(*by, "_b").cogroup(near.groupBy(*by, "_b")).applyInArrow(run, StructType([*left.schema.fields, *added.fields]))
+    near = right.withColumn("_at", div(F.col(time), bucket_ns)).join(copies, [*by, "_at"])
+    values = [c for c in right.columns if c not in by]
+    near = near.select(*by, "_b", F.lit(False).alias("_row"), *(F.col(c).alias(f"_r_{c}") for c in values))
+    both = rows.withColumn("_row", F.lit(True)).unionByName(near, allowMissingColumns=True)
+    parts = max(PARTS, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    both = both.repartition(parts, *by, "_b").sortWithinPartitions(*by, "_b", "_row")
+    if expand:
+        both = expand(both, F.col("_row"))
+    theirs = [f"_r_{c}" for c in values]
+    names = [c for c in both.columns if c not in ("_b", "_row", *theirs)]
+    added = StructType.fromDDL(found)
+    group = [*by, "_b"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, records, look = None, [], None
+        for batch in batches:
+            for part in _runs(batch, [*group, "_row"]):
+                now = [part.column(c)[0].as_py() for c in group]
+                if now != key:
+                    key, records, look = now, [], None
+                if not part.column("_row")[0].as_py():
+                    records.append(part.select(theirs))
+                    continue
+                if look is None:
+                    look, records = find(pa.Table.from_batches(records, part.select(theirs).schema).rename_columns(values)), []
+                new = look(pa.Table.from_batches([part.select(names)]))
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), *(new[f.name] for f in added)], names=[*names, *added.names])
+
+    return both.mapInArrow(run, StructType([*(both.schema[n] for n in names), *added.fields]))
+
+
+def _runs(batch: pa.RecordBatch, names: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    """The batch in parts whose lines agree in these columns."""
+    new = np.zeros(max(batch.num_rows - 1, 0), bool)
+    for n in names:
+        codes = batch.column(n).dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+        new |= codes[1:] != codes[:-1]
+    cuts = [0, *(np.nonzero(new)[0] + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        if b > a:
+            yield batch.slice(a, b - a)
 
 
 def longs(table: pa.Table, name: str, null: int) -> np.ndarray:
@@ -134,26 +177,28 @@ def _ends(rows: pa.Table, times: np.ndarray, start: str, end: str, open_start: b
     return lo, np.maximum(lo, hi)
 
 
-def extremes(left: DataFrame, right: DataFrame, by: Sequence[str], start: str, end: str, time: str, value: str, bucket_ns: int) -> DataFrame:
+def extremes(left: DataFrame, right: DataFrame, by: Sequence[str], start: str, end: str, time: str, value: str, bucket_ns: int, expand: Expand | None = None) -> DataFrame:
     """left with n, the records whose time is in (start, end], and high, the largest value among them (a double); null where there is none."""
 
-    def find(rows: pa.Table, records: pa.Table) -> dict[str, pa.Array]:
+    def find(records: pa.Table) -> Callable[[pa.Table], dict[str, pa.Array]]:
         order = in_order(records, [time])
         times = longs(records, time, LAST)[order]
         values, known = (x[order] for x in doubles(records, value))
-        lo, hi = _ends(rows, times, start, end)
-        some = hi > lo
-        high, valid = np.zeros(len(lo)), np.zeros(len(lo), bool)
-        if some.any():
-            counts = before(known.astype(np.int64))
-            valid = counts[hi] > counts[lo]
-            got = Doubling(comparable(values, known), np.fmax).over(lo[valid], hi[valid])
-            nan = before(np.isnan(values).astype(np.int64))
-            high[valid] = np.where(nan[hi[valid]] > nan[lo[valid]], np.nan, got)
-        return {"n": pa.array(hi - lo, pa.int64()), "high": pa.array(high, mask=~valid, from_pandas=False)}
+        counts, nan = before(known.astype(np.int64)), before(np.isnan(values).astype(np.int64))
+        best = Doubling(comparable(values, known), np.fmax)
+
+        def look(rows: pa.Table) -> dict[str, pa.Array]:
+            lo, hi = _ends(rows, times, start, end)
+            high, valid = np.zeros(len(lo)), counts[hi] > counts[lo]
+            if valid.any():
+                got = best.over(lo[valid], hi[valid])
+                high[valid] = np.where(nan[hi[valid]] > nan[lo[valid]], np.nan, got)
+            return {"n": pa.array(hi - lo, pa.int64()), "high": pa.array(high, mask=~valid, from_pandas=False)}
+
+        return look
 
     records = right.select(*by, time, F.col(value).cast("double").alias(value))
-    return within(left, records, by, start, end, time, bucket_ns, find, "n long, high double")
+    return within(left, records, by, start, end, time, bucket_ns, find, "n long, high double", expand)
 
 
 _KEY = ("received_at_ns", "event_ts_ms", "sequence")
@@ -196,17 +241,21 @@ class _Trades:
 _HITS = f"stop_key {_KEY_TYPE}, profit_key {_KEY_TYPE}, last_price double, trades_seen long"
 
 
-def first_hits(rows: DataFrame, trades: DataFrame, start: str, end: str, bucket_ns: int) -> DataFrame:
+def first_hits(rows: DataFrame, trades: DataFrame, start: str, end: str, bucket_ns: int, expand: Expand | None = None) -> DataFrame:
     """rows (symbol, side, stop_price, profit_price) with the keys of the first trades in (start, end] at the stop and at the profit, the last price and
     trades_seen (null for none)."""
 
-    def find(mine: pa.Table, records: pa.Table) -> dict[str, pa.Array]:
+    def find(records: pa.Table) -> Callable[[pa.Table], dict[str, pa.Array]]:
         t = _Trades(records)
-        lo, hi = _ends(mine, t.key[0], start, end)
-        stop, profit = t.hits(mine, lo, hi)
-        return {"stop_key": t.keys(stop, stop < hi), "profit_key": t.keys(profit, profit < hi), "last_price": t.last(lo, hi), "trades_seen": pa.array(hi - lo, pa.int64(), mask=hi == lo)}
 
-    return within(rows, trades.select("symbol", "price", *_KEY), ["symbol"], start, end, "received_at_ns", bucket_ns, find, _HITS)
+        def look(mine: pa.Table) -> dict[str, pa.Array]:
+            lo, hi = _ends(mine, t.key[0], start, end)
+            stop, profit = t.hits(mine, lo, hi)
+            return {"stop_key": t.keys(stop, stop < hi), "profit_key": t.keys(profit, profit < hi), "last_price": t.last(lo, hi), "trades_seen": pa.array(hi - lo, pa.int64(), mask=hi == lo)}
+
+        return look
+
+    return within(rows, trades.select("symbol", "price", *_KEY), ["symbol"], start, end, "received_at_ns", bucket_ns, find, _HITS, expand)
 
 
 def _least_units(queue: np.ndarray, need: np.ndarray, strict: bool, scale: int) -> np.ndarray:
@@ -295,99 +344,107 @@ class _Contra:
 _SCALE = 1_000_000
 
 
-def first_fills(orders: DataFrame, trades: DataFrame, bucket_ns: int) -> DataFrame:
+def first_fills(orders: DataFrame, trades: DataFrame, bucket_ns: int, expand: Expand | None = None) -> DataFrame:
     """orders (symbol, side, entry_price, queue_ahead, size, active_at_ns, expires_at_ns) with what fills them in (active_at_ns, expires_at_ns).
 
     trades: symbol, price, trade_size (decimal(24,6), not negative), trade_side, ok, and their order. Adds _trades, _first_ns, _full_ns, _partial, _volume: all trades, the
     times of the first fill and of the full one, the part filled of an order that isn't full, and the volume at the price up to the full fill or the end.
     """
 
-    def find(rows: pa.Table, records: pa.Table) -> dict[str, pa.Array]:
+    def find(records: pa.Table) -> Callable[[pa.Table], dict[str, pa.Array]]:
         order = in_order(records, _KEY)
         times = longs(records, _KEY[0], LAST)[order]
         price, known = (x[order] for x in doubles(records, "price"))
         size, may = units(records, "trade_size")[order], flags(records.column("ok"))[order] & known
         n = len(times)
-        lo, hi = _ends(rows, times, "active_at_ns", "expires_at_ns", open_end=True)
-        (entry, priced), (queue, queued), (want, sized) = (doubles(rows, c) for c in ("entry_price", "queue_ahead", "size"))
-        enough = want - np.maximum(want * 1e-12, 1e-15)
-        first_units = np.where(queued, _least_units(queue, np.zeros(len(want)), True, _SCALE), 1 << 62)
-        full_units = np.where(queued & sized, _least_units(queue, enough, False, _SCALE), 1 << 62)
-        first, full = np.full(len(lo), n), np.full(len(lo), n)
-        volume, partial = np.zeros(len(lo)), np.zeros(len(lo))
-        long = is_text(rows, "side", "LONG")
-        for downward, side in ((True, "Sell"), (False, "Buy")):
-            mine = np.nonzero(long == downward)[0]
-            if not len(mine):
-                continue
-            contra = _Contra(price, size, may & is_text(records, "trade_side", side)[order], downward)
-            l, h = lo[mine], hi[mine]
-            a, b = contra.near(np.where(priced, entry, 0.0)[mine])
-            none = ~priced[mine]
-            a[none], b[none] = (0, 0) if downward else (len(contra.levels), len(contra.levels))
-            beyond = contra.through(l, h, a, b)
-            (one, all_), upto, largest = contra.reaching(l, h, a, b, (first_units[mine], full_units[mine]))
-            some = h > l
-            one = np.where(some & (first_units[mine] <= 0), l, one)
-            all_ = np.where(some & ((full_units[mine] <= 0) | (sized[mine] & (enough[mine] <= 0))), l, all_)
-            first[mine] = np.minimum(np.where((want[mine] > 0) | ~sized[mine], one, n), np.where(sized[mine] & (want[mine] > 0), beyond, n))
-            full[mine] = np.minimum(all_, np.where(sized[mine], beyond, n))
-            filled = full[mine] < n
-            volume[mine] = as_double(np.where(filled, upto(np.minimum(full[mine], n - 1)), largest) if n else largest, _SCALE)
-            left = np.where(queued[mine], np.maximum(0.0, volume[mine] - queue[mine]), 0.0)
-            partial[mine] = np.where(sized[mine], np.minimum(want[mine], left), left)
-        stamps = np.append(times, 0)
-        full_ns = pa.array(stamps[full], pa.int64(), mask=full == n)
-        return {
-            "_trades": pa.array(hi - lo, pa.int64()), "_first_ns": pa.array(stamps[first], pa.int64(), mask=first == n), "_full_ns": full_ns,
-            "_partial": pa.array(partial, mask=(full < n) | (hi == lo), from_pandas=False), "_volume": pa.array(volume, from_pandas=False),
-        }
+        sides = [(down, _Contra(price, size, may & is_text(records, "trade_side", side)[order], down)) for down, side in ((True, "Sell"), (False, "Buy"))]
+
+        def look(rows: pa.Table) -> dict[str, pa.Array]:
+            lo, hi = _ends(rows, times, "active_at_ns", "expires_at_ns", open_end=True)
+            (entry, priced), (queue, queued), (want, sized) = (doubles(rows, c) for c in ("entry_price", "queue_ahead", "size"))
+            enough = want - np.maximum(want * 1e-12, 1e-15)
+            first_units = np.where(queued, _least_units(queue, np.zeros(len(want)), True, _SCALE), 1 << 62)
+            full_units = np.where(queued & sized, _least_units(queue, enough, False, _SCALE), 1 << 62)
+            first, full = np.full(len(lo), n), np.full(len(lo), n)
+            volume, partial = np.zeros(len(lo)), np.zeros(len(lo))
+            long = is_text(rows, "side", "LONG")
+            for downward, contra in sides:
+                mine = np.nonzero(long == downward)[0]
+                if not len(mine):
+                    continue
+                l, h = lo[mine], hi[mine]
+                a, b = contra.near(np.where(priced, entry, 0.0)[mine])
+                none = ~priced[mine]
+                a[none], b[none] = (0, 0) if downward else (len(contra.levels), len(contra.levels))
+                beyond = contra.through(l, h, a, b)
+                (one, all_), upto, largest = contra.reaching(l, h, a, b, (first_units[mine], full_units[mine]))
+                some = h > l
+                one = np.where(some & (first_units[mine] <= 0), l, one)
+                all_ = np.where(some & ((full_units[mine] <= 0) | (sized[mine] & (enough[mine] <= 0))), l, all_)
+                first[mine] = np.minimum(np.where((want[mine] > 0) | ~sized[mine], one, n), np.where(sized[mine] & (want[mine] > 0), beyond, n))
+                full[mine] = np.minimum(all_, np.where(sized[mine], beyond, n))
+                filled = full[mine] < n
+                volume[mine] = as_double(np.where(filled, upto(np.minimum(full[mine], n - 1)), largest) if n else largest, _SCALE)
+                left = np.where(queued[mine], np.maximum(0.0, volume[mine] - queue[mine]), 0.0)
+                partial[mine] = np.where(sized[mine], np.minimum(want[mine], left), left)
+            stamps = np.append(times, 0)
+            full_ns = pa.array(stamps[full], pa.int64(), mask=full == n)
+            return {
+                "_trades": pa.array(hi - lo, pa.int64()), "_first_ns": pa.array(stamps[first], pa.int64(), mask=first == n), "_full_ns": full_ns,
+                "_partial": pa.array(partial, mask=(full < n) | (hi == lo), from_pandas=False), "_volume": pa.array(volume, from_pandas=False),
+            }
+
+        return look
 
     records = trades.select("symbol", "price", "trade_size", "trade_side", "ok", *_KEY)
-    return within(orders, records, ["symbol"], "active_at_ns", "expires_at_ns", _KEY[0], bucket_ns, find, "_trades long, _first_ns long, _full_ns long, _partial double, _volume double")
+    return within(orders, records, ["symbol"], "active_at_ns", "expires_at_ns", _KEY[0], bucket_ns, find, "_trades long, _first_ns long, _full_ns long, _partial double, _volume double", expand)
 
 
 def hits_after_fill(fills: DataFrame, trades: DataFrame, bucket_ns: int) -> DataFrame:
     """As first_hits, of trades after the fill: those later than fill_ns, or at it with a greater sequence than fill_sequence, to horizon_end_ns."""
 
-    def find(rows: pa.Table, records: pa.Table) -> dict[str, pa.Array]:
+    def find(records: pa.Table) -> Callable[[pa.Table], dict[str, pa.Array]]:
         t = _Trades(records)
         times, _, number = t.key
-        lo, hi = _ends(rows, times, "fill_ns", "horizon_end_ns")
-        tied, _ = _ends(rows, times, "fill_ns", "horizon_end_ns", open_start=False)
-        # trades at the fill's time: a bisection by number where they stand in its order, else one by one
-        own = longs(rows, "fill_sequence", LAST)
-        some = (lo > tied) & (longs(rows, "horizon_end_ns", FIRST) >= longs(rows, "fill_ns", LAST))
-        first, last = np.where(some, tied, lo), lo.copy()
-        while (open_ := first < last).any():
-            middle = (first + last) >> 1
-            greater = number[np.where(open_, middle, 0)] > own
-            last = np.where(open_ & greater, middle, last)
-            first = np.where(open_ & ~greater, middle + 1, first)
-        begin = last
         same = times[1:] == times[:-1]
         odd = np.concatenate([[False], same & (number[1:] < number[:-1])])[: len(times)] | ~t.sequence_known
         odds = before(odd.astype(np.int64))
-        slow = np.nonzero(some & (odds[lo] > odds[tied]))[0]
-        begin[slow] = lo[slow]
-        stop, profit = t.hits(rows, begin, hi)
-        count, price = hi - begin, t.last(begin, hi)
-        if len(slow):
-            long = is_text(rows, "side", "LONG")
-            low, high = (comparable(*doubles(rows, n)) for n in ("stop_price", "profit_price"))
-            shown, prices = comparable(t.price, t.known), price.to_pylist()
-            for i in slow:
-                ties = np.arange(tied[i], lo[i])
-                ties = ties[(number[ties] > own[i]) & t.sequence_known[ties]]
-                count[i] += len(ties)
-                falls, rises = (low[i], high[i]) if long[i] else (high[i], low[i])
-                below, above = ties[shown[ties] <= falls], ties[shown[ties] >= rises]
-                for place, among in ((stop, below if long[i] else above), (profit, above if long[i] else below)):
-                    place[i] = among[0] if len(among) else place[i]
-                if prices[i] is None and len(valued := ties[t.known[ties]]):
-                    prices[i] = float(t.price[valued[-1]])
-            price = pa.array(prices, pa.float64())
-        return {"stop_key": t.keys(stop, stop < hi), "profit_key": t.keys(profit, profit < hi), "last_price": price, "trades_seen": pa.array(count, pa.int64(), mask=count == 0)}
+
+        def look(rows: pa.Table) -> dict[str, pa.Array]:
+            lo, hi = _ends(rows, times, "fill_ns", "horizon_end_ns")
+            tied, _ = _ends(rows, times, "fill_ns", "horizon_end_ns", open_start=False)
+            # trades at the fill's time: a bisection by number where they stand in its order, else one by one
+            own = longs(rows, "fill_sequence", LAST)
+            some = (lo > tied) & (longs(rows, "horizon_end_ns", FIRST) >= longs(rows, "fill_ns", LAST))
+            first, last = np.where(some, tied, lo), lo.copy()
+            while (open_ := first < last).any():
+                middle = (first + last) >> 1
+                greater = number[np.where(open_, middle, 0)] > own
+                last = np.where(open_ & greater, middle, last)
+                first = np.where(open_ & ~greater, middle + 1, first)
+            begin = last
+            slow = np.nonzero(some & (odds[lo] > odds[tied]))[0]
+            begin[slow] = lo[slow]
+            stop, profit = t.hits(rows, begin, hi)
+            count, price = hi - begin, t.last(begin, hi)
+            if len(slow):
+                long = is_text(rows, "side", "LONG")
+                low, high = (comparable(*doubles(rows, n)) for n in ("stop_price", "profit_price"))
+                shown, prices = comparable(t.price, t.known), price.to_pylist()
+                for i in slow:
+                    ties = np.arange(tied[i], lo[i])
+                    ties = ties[(number[ties] > own[i]) & t.sequence_known[ties]]
+                    count[i] += len(ties)
+                    falls, rises = (low[i], high[i]) if long[i] else (high[i], low[i])
+                    below, above = ties[shown[ties] <= falls], ties[shown[ties] >= rises]
+                    for place, among in ((stop, below if long[i] else above), (profit, above if long[i] else below)):
+                        place[i] = among[0] if len(among) else place[i]
+                    if prices[i] is None and len(valued := ties[t.known[ties]]):
+                        prices[i] = float(t.price[valued[-1]])
+                price = pa.array(prices, pa.float64())
+            return {"stop_key": t.keys(stop, stop < hi), "profit_key": t.keys(profit, profit < hi), "last_price": price, "trades_seen": pa.array(count, pa.int64(), mask=count == 0)}
+
+        return look
 
     return within(fills, trades.select("symbol", "price", *_KEY), ["symbol"], "fill_ns", "horizon_end_ns", _KEY[0], bucket_ns, find, _HITS)
 
