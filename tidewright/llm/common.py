@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -46,6 +47,10 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Codec of tables that are read again soon. zstd asks the C library for megabytes a page, which the arenas of an executor's many threads then hold.
+SCRATCH = "snappy"
+
+
 def materialize(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """Writes df to the shared folder and reads it back, so that its lineage ends in files that outlive any executor."""
     spark = df.sparkSession
@@ -89,6 +94,18 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[dict], list[tuple]]], s
     return df.mapInArrow(run, schema)
 
 
+#: Bytes of an Arrow batch on its way to a Python worker; Spark's own bound is 64 MB, for which JVM and worker both have to have room.
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bounds the session's Arrow batches from now on, as what a caller gets may run later; a smaller bound of the session's stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    found = re.fullmatch(r"(\d+)b?", spark.conf.get(key, None) or "")
+    if not found or not 0 < int(found[1]) <= BATCH_BYTES:
+        spark.conf.set(key, f"{BATCH_BYTES}b")
+
+
 def release() -> None:
     """Gives memory that a task has freed back to the system; the worker lives on for other tasks."""
     import ctypes

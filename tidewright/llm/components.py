@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_folder, new_folder
+from .common import SCRATCH, drop_folder, new_folder
 
 MOST_ROUNDS = 60
 
@@ -40,7 +40,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     def written(df: DataFrame) -> tuple[DataFrame, str]:
         path = new_folder(spark, "edges")
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.option("compression", SCRATCH).parquet(path)
         return spark.read.schema(df.schema).parquet(path), path
 
     current, path = written(ordered)

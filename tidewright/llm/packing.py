@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import FLUSH_ROWS, _arrow_schema, materialize, release, to_batch, whole_text
+from .common import FLUSH_ROWS, SCRATCH, _arrow_schema, materialize, release, to_batch, whole_text
 from .elias_fano import WordEncoder
 
 CAPACITY = 2048
@@ -124,7 +124,7 @@ def measured(docs: DataFrame, tokenizer: str | None = None, length: Column | Non
             release()
 
         rows = rows.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), "cluster", "text").mapInArrow(run, schema)
-    return materialize(rows.select("doc_id", "length", "source", "cluster", F.monotonically_increasing_id().alias("number")), "lengths")
+    return materialize(rows.select("doc_id", "length", "source", "cluster", F.monotonically_increasing_id().alias("number")), "lengths", SCRATCH)
 
 
 def source_bits(rows: DataFrame, capacity: int) -> int:

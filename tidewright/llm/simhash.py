@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import likely, lookup, map_rows, materialize, whole_text
+from .common import SCRATCH, likely, lookup, map_rows, materialize, whole_text
 from .components import components
 
 SEED = 42
@@ -159,7 +159,7 @@ def shards(points: DataFrame, radius: int, most: int = SHARD) -> DataFrame:
     out: DataFrame | None = None
     for dealing in range(1, DEALINGS + 1):
         keyed = keyed.withColumn("value", F.col("fp").bitwiseAND(F.col("mask")))
-        counts = materialize(keyed.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1"), "shard-sizes")
+        counts = materialize(keyed.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1"), "shard-sizes", SCRATCH)
         level = {m: [_signed(c) for c in _children(m & _ALL, radius)] for m in level}
         last = dealing == DEALINGS or not any(level.values())
         cold = counts if last else counts.where(F.col("n") <= most)
@@ -177,7 +177,7 @@ def shards(points: DataFrame, radius: int, most: int = SHARD) -> DataFrame:
 def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
     """doc_id and fp (its bits as a signed integer) of every whole text; written to the shared folder."""
     rows = docs.select("doc_id", whole_text().alias("text"))
-    return materialize(map_rows(rows, lambda: lambda row: [(row["doc_id"], _signed(fingerprint(row["text"], size)))], "doc_id long, fp long"), "fingerprints")
+    return materialize(map_rows(rows, lambda: lambda row: [(row["doc_id"], _signed(fingerprint(row["text"], size)))], "doc_id long, fp long"), "fingerprints", SCRATCH)
 
 
 def link_components(docs: DataFrame, size: int = 3, radius: int = 2) -> DataFrame:
@@ -187,7 +187,7 @@ def link_components(docs: DataFrame, size: int = 3, radius: int = 2) -> DataFram
     fingerprints meet in one task, which builds its tree and asks it.
     """
     fps = fingerprints(docs, size)
-    nodes = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "nodes")
+    nodes = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "nodes", SCRATCH)
     points = nodes.select(F.lit(0).alias("seed"), "fp", F.lit(None).cast("long").alias("node"))
 
     def forest(row: dict) -> list[tuple]:
@@ -199,7 +199,7 @@ def link_components(docs: DataFrame, size: int = 3, radius: int = 2) -> DataFram
     least = linked.groupBy("root").agg(F.min("rep").alias("linked_id"))
     linked = linked.join(least, "root").select(F.col("node").alias("fp"), "linked_id")
     ids = nodes.join(linked, "fp", "left").where(F.col("linked_id").isNotNull() | (F.col("n") > 1)).select("fp", F.coalesce("linked_id", "rep").alias("component_id"), "n")
-    rows = lookup(fps, "fp", materialize(ids, "component-ids"), F.xxhash64("doc_id").cast("string"))
+    rows = lookup(fps, "fp", materialize(ids, "component-ids", SCRATCH), F.xxhash64("doc_id").cast("string"))
     return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
@@ -324,7 +324,7 @@ def sketches(docs: DataFrame, similarity: float, size: int, seeds: int, radius:
 
     found = map_rows(docs.select(class_of().alias("class"), whole_text().alias("text")), make, "class binary, fps array<long>, n int, prefix array<long>, outline array<long>")
     found = found.groupBy("class").agg(*(F.any_value(c).alias(c) for c in ("fps", "n", "prefix", "outline")))
-    return materialize(found.withColumn("id", F.monotonically_increasing_id()), "sketches")  # written once, so the numbers stay
+    return materialize(found.withColumn("id", F.monotonically_increasing_id()), "sketches", SCRATCH)  # written once, so the numbers stay
 
 
 def simhash_pairs(sketched: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -333,7 +333,7 @@ def simhash_pairs(sketched: DataFrame, radius: int = RADIUS) -> DataFrame:
     Trees hold distinct fingerprints; ids with equal ones are each paired with the least of them.
     """
     points = sketched.select("id", F.posexplode("fps").alias("seed", "fp"))
-    nodes = materialize(points.groupBy("seed", "fp").agg(F.min("id").alias("node"), F.max("id").alias("last")), "fingerprint-nodes")
+    nodes = materialize(points.groupBy("seed", "fp").agg(F.min("id").alias("node"), F.max("id").alias("last")), "fingerprint-nodes", SCRATCH)
     shared = nodes.where("last > node").select("seed", "fp", "node")
     equal = points.join(shared, ["seed", "fp"]).where("id <> node").select(F.col("node").alias("a"), F.col("id").alias("b"))
 
@@ -372,7 +372,7 @@ def shared_prefixes(sketched: DataFrame) -> DataFrame:
 
     found = dealt.mapInArrow(run, "shingle long, id long, at long")
     found = found.select("shingle", "id", F.shiftright("at", 32).cast("int").alias("n"), F.col("at").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("place"))
-    return materialize(found.withColumn("past", F.lag("shingle").over(Window.partitionBy("id").orderBy("place"))), "shared-prefixes")
+    return materialize(found.withColumn("past", F.lag("shingle").over(Window.partitionBy("id").orderBy("place"))), "shared-prefixes", SCRATCH)
 
 
 def _rooted(rows: DataFrame, joined: DataFrame) -> DataFrame:
@@ -437,7 +437,7 @@ def verified(pairs: DataFrame, sketched: DataFrame, texts: DataFrame, similarity
     """
     dealt = pairs.select("a", F.pmod(F.xxhash64("b"), F.lit(BLOCKS)).cast("int").alias("block"), "b")
     need = dealt.select("a", "block", F.lit(1).alias("k"), F.col("b").alias("id")).union(dealt.select("a", "block", F.lit(0), "a").distinct())
-    need = materialize(need.join(sketched.select("id", "class"), "id"), "wanted")
+    need = materialize(need.join(sketched.select("id", "class"), "id"), "wanted", SCRATCH)
     wanted = need.select("class").distinct()
     some = likely(texts, wanted, "class").join(wanted.hint("merge"), "class", "left_semi").groupBy("class").agg(F.any_value("text").alias("text"))
     rows = need.hint("merge").join(some, "class").select("a", "block", "k", "id", "text")
@@ -456,7 +456,7 @@ def verified(pairs: DataFrame, sketched: DataFrame, texts: DataFrame, similarity
                     found.append(i)
             yield pa.RecordBatch.from_arrays([pa.array(a[found], pa.int64()), pa.array(ids[found], pa.int64())], names=["a", "b"])
 
-    return materialize(rows.mapInArrow(run, "a long, b long"), "links")
+    return materialize(rows.mapInArrow(run, "a long, b long"), "links", SCRATCH)
 
 
 def similar_classes(docs: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE, seeds: int = SEEDS, radius: int = RADIUS) -> DataFrame:
@@ -478,7 +478,7 @@ def similar_classes(docs: DataFrame, similarity: float = SIMILARITY, size: int =
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if k:
             pairs = pairs.join(asked, ["a", "b"], "left_anti")  # noqa: F821
-        pairs = materialize(plausible_pairs(pairs, sketched, similarity), "pairs")
+        pairs = materialize(plausible_pairs(pairs, sketched, similarity), "pairs", SCRATCH)
         asked = pairs if k == 0 else asked.union(pairs)  # noqa: F821
         if k == 0 or not pairs.isEmpty():
             found = verified(pairs, sketched, texts, similarity, size)
@@ -488,7 +488,7 @@ def similar_classes(docs: DataFrame, similarity: float = SIMILARITY, size: int =
             break
         rows = _rooted(left.drop("root", "o"), joined)
         rows = rows.join(first_shingles(rows), "shingle").join(sketched.select("id", F.col("outline").alias("o")), "id")
-        rows = materialize(rows, "open-shingles")
+        rows = materialize(rows, "open-shingles", SCRATCH)
         if rows.isEmpty():
             break
     return joined.join(sketched.select("id", "class"), F.col("node") == F.col("id")).select("class", "root")
@@ -507,15 +507,15 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     whole = whole.withColumn("place", order)
     groups = similar_classes(docs, similarity)
     sizes = whole.groupBy("class").agg(F.min("place").alias("least"), F.count("*").alias("n"))
-    sizes = materialize(sizes.join(groups, "class", "left").where("root is not null or n > 1"), "classes")
+    sizes = materialize(sizes.join(groups, "class", "left").where("root is not null or n > 1"), "classes", SCRATCH)
     roots = sizes.where("root is not null").groupBy("root").agg(F.min("least").alias("root_least"))
     # only classes with copies or similar ones have rows to drop; of the others most never travel
-    listed = materialize(sizes.join(roots, "root", "left").select("class", F.coalesce("root_least", "least").alias("least"), "n"), "winners")
+    listed = materialize(sizes.join(roots, "root", "left").select("class", F.coalesce("root_least", "least").alias("least"), "n"), "winners", SCRATCH)
     alone = likely(whole, listed, "class", other=True)
     rows = lookup(likely(whole, listed, "class"), "class", listed, F.xxhash64("row").cast("string"), hint="merge")
     kept = rows.where(F.col("least").isNull() | F.col("least").eqNullSafe(F.col("place")))
     # rows that are equal in every column have one class; one of each stays
-    repeated = materialize(likely(whole, listed, "class").groupBy("place").count().where("count > 1").select("place"), "repeated-rows")
+    repeated = materialize(likely(whole, listed, "class").groupBy("place").count().where("count > 1").select("place"), "repeated-rows", SCRATCH)
     if not repeated.isEmpty():
         once = kept.join(repeated, "place", "left_semi").groupBy("place").agg(F.any_value("row").alias("row"))
         kept = kept.join(repeated, "place", "left_anti").select("row").unionByName(once.select("row"))
